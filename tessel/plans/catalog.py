@@ -10,12 +10,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.json import parse_documents
-from ..operators import series
-from ..sources.fixtures import METRIC_KEYS, SERIES_METRICS, document_text
+from ..functions import casts, keys
+from ..functions.json import parse_documents, parse_json
+from ..functions.schema import DOC_SCHEMA, FREQS
+from ..operators import joins, quality, reshape, series
+from ..session import scratch_path
+from ..sinks import writers
+from ..sources import directory, landing
+from ..sources.fixtures import METRIC_KEYS, SERIES_METRICS, document_text, documents
+from ..sources.tables import table
+from ..streaming import ingest
 from . import staging
 
+# Fixed values used by the catalogue's queries.
+SOURCE_NAME = "fundamentals"
+NEW_KEY_CUTOFF = "1996-01-01"
+SNAPSHOTS = ("2024-01-07", "2024-01-14")
+SCAN_DATE = "2024-01-15"
+WAREHOUSE_DB = "core"
+PROPS_SCHEMA = T.StructType([T.StructField("k", T.LongType())])
+EVENT_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+])
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -74,3 +96,284 @@ def fact_annual(spark, sf_dir):
 @query("fact_metric")
 def fact_metric(spark, sf_dir):
     return _facts(spark, sf_dir).metric
+
+
+# --- documents and series reshaping ------------------------------------------
+
+def _docs_gappy(spark, sf_dir):
+    return docs(spark, sf_dir, gappy=True)
+
+
+@query("series_long")
+def series_long(spark, sf_dir):
+    return series.to_long(docs(spark, sf_dir))
+
+
+@query("series_full_outer")
+def series_full_outer(spark, sf_dir):
+    return series.full_outer_series(docs(spark, sf_dir), FREQS, SERIES_METRICS)
+
+
+@query("freq_full_outer")
+def freq_full_outer(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    q = series.align_freq(d, "quarterly", SERIES_METRICS, "period", prefix="q_")
+    a = series.align_freq(d, "annual", SERIES_METRICS, "period", prefix="a_")
+    return series.freq_full_outer(q, a)
+
+
+@query("legacy_wide")
+def legacy_wide(spark, sf_dir):
+    return staging.legacy_wide(docs(spark, sf_dir), METRIC_KEYS, SERIES_METRICS)
+
+
+@query("metric_long")
+def metric_long(spark, sf_dir):
+    return reshape.metric_long(docs(spark, sf_dir))
+
+
+@query("attach_constant")
+def attach_constant(spark, sf_dir):
+    return reshape.attach_constant(docs(spark, sf_dir).select("symbol"), source=SOURCE_NAME)
+
+
+@query("metric_catalog")
+def metric_catalog(spark, sf_dir):
+    return reshape.metric_catalog(docs(spark, sf_dir))
+
+
+@query("metric_width")
+def metric_width(spark, sf_dir):
+    return reshape.metric_width(_docs_gappy(spark, sf_dir))
+
+
+@query("has_series")
+def has_series(spark, sf_dir):
+    return reshape.has_series(_docs_gappy(spark, sf_dir)).select("symbol")
+
+
+def _typed(spark, sf_dir, gappy=False, align_mode="period"):
+    d = docs(spark, sf_dir, gappy)
+    return reshape.typed_union(d, METRIC_KEYS, SERIES_METRICS, align_mode)
+
+
+@query("typed_union")
+def typed_union(spark, sf_dir):
+    return _typed(spark, sf_dir)
+
+
+@query("typed_union_position")
+def typed_union_position(spark, sf_dir):
+    return _typed(spark, sf_dir, align_mode="position")
+
+
+@query("type_counts")
+def type_counts(spark, sf_dir):
+    return reshape.type_counts(_typed(spark, sf_dir))
+
+
+@query("series_bearing")
+def series_bearing(spark, sf_dir):
+    return reshape.series_bearing(_typed(spark, sf_dir, gappy=True))
+
+
+@query("split_typed")
+def split_typed(spark, sf_dir):
+    return reshape.split_typed(_typed(spark, sf_dir))[1]
+
+
+@query("split_typed_gappy_annual")
+def split_typed_gappy_annual(spark, sf_dir):
+    return reshape.split_typed(_typed(spark, sf_dir, gappy=True))[2]
+
+
+@query("ragged_union")
+def ragged_union(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    first = reshape.metric_wide(d, ["s_acctbal", "s_nationkey"]).withColumn("snapshot", F.lit("a"))
+    second = reshape.metric_wide(d, ["firstShip", "s_acctbal"]).withColumn("snapshot", F.lit("b"))
+    return reshape.union_ragged([first, second])
+
+
+# --- directory, keys, joins ---------------------------------------------------
+
+@query("symbol_directory")
+def symbol_directory(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    pred = ((F.col("c_mktsegment") == "BUILDING") & F.col("c_nationkey").between(0, 9)
+            & (F.col("c_acctbal") > 0))
+    return directory.sorted_symbols(directory.directory(c, "c_name", pred))
+
+
+@query("symbol_top100")
+def symbol_top100(spark, sf_dir):
+    return directory.first_symbols(directory.directory(table(spark, sf_dir, "customer"), "c_name"), 100)
+
+
+@query("documents_for_symbols")
+def documents_for_symbols(spark, sf_dir):
+    sup = table(spark, sf_dir, "supplier")
+    wanted = directory.directory(sup, "s_name", F.col("s_acctbal") > 0)
+    picked = directory.for_symbols(docs(spark, sf_dir), wanted)
+    n_freq = F.when(F.col("series").isNull(), F.lit(0)).otherwise(F.size("series"))
+    return picked.select("symbol", n_freq.cast("int").alias("n_freq"))
+
+
+@query("json_parse_props")
+def json_parse_props(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", parse_json(F.col("props"), PROPS_SCHEMA)["k"].alias("k"))
+
+
+@query("parquet_scan")
+def parquet_scan(spark, sf_dir):
+    return table(spark, sf_dir, "nation")
+
+
+@query("path_to_key")
+def path_to_key(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", keys.path_key("url").alias("key"))
+
+
+@query("fanout_key")
+def fanout_key(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    meta = F.concat(F.lit("stock_"), F.col("event_type"),
+                    F.when(F.col("user_id") % 2 == 0, F.lit(".A")).otherwise(F.lit("")), F.lit("_path"))
+    return ev.select("event_id", keys.fanout_key(meta).alias("key"))
+
+
+@query("zip_join")
+def zip_join(spark, sf_dir):
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return joins.zip_join(sup, ["s_suppkey"], nat, ["n_nationkey"]).select("rn", "s_name", "n_name")
+
+
+@query("new_symbols")
+def new_symbols(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    cutoff = F.lit(NEW_KEY_CUTOFF).cast("date")
+    return joins.new_keys(o.filter(F.col("o_orderdate") >= cutoff),
+                          o.filter(F.col("o_orderdate") < cutoff), ["o_custkey"])
+
+
+@query("snapshot_partition")
+def snapshot_partition(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.groupBy(F.to_date("ts").alias("snapshot_date")).agg(F.count(F.lit(1)).alias("n")) \
+        .select("snapshot_date", casts.date_label("snapshot_date").alias("label"), "n")
+
+
+# --- quality -----------------------------------------------------------------
+
+@query("quarantine")
+def quarantine(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    cut = F.when(F.col("event_id") % 7 == 0, F.expr("substring(props, 1, length(props) - 1)")) \
+        .otherwise(F.col("props"))
+    return quality.quarantine_counts(ev.select("event_id", cut.alias("props")), "props", PROPS_SCHEMA)
+
+
+@query("quality_report")
+def quality_report(spark, sf_dir):
+    st = staging.stage(docs(spark, sf_dir), METRIC_KEYS, SERIES_METRICS)
+    return quality.quality_report(st.metric, ["symbol"], list(METRIC_KEYS))
+
+
+@query("quality_report_quarterly")
+def quality_report_quarterly(spark, sf_dir):
+    return quality.quality_report(fact_quarterly(spark, sf_dir), ["symbol", "date"], list(SERIES_METRICS))
+
+
+@query("to_json_doc")
+def to_json_doc(spark, sf_dir):
+    return document_text(spark, sf_dir).select(
+        F.get_json_object("doc", "$.symbol").alias("symbol"), F.col("doc").alias("raw"))
+
+
+# --- sinks and scans (write to a fresh folder under spark.checkpoint.dir) ----
+
+def _events_landing(spark, sf_dir) -> str:
+    ev = table(spark, sf_dir, "events").withColumn(writers.DATE_COL, F.to_date("ts"))
+    return writers.land_json(ev.drop("ts"), scratch_path(spark, "events-landing"))
+
+
+@query("raw_write_read")
+def raw_write_read(spark, sf_dir):
+    root = _events_landing(spark, sf_dir)
+    full = landing.with_partitions(EVENT_SCHEMA, T.StructField(writers.DATE_COL, T.DateType()))
+    return landing.read_json(spark, root, full).select("event_id", writers.DATE_COL, "value")
+
+
+@query("raw_scan_date")
+def raw_scan_date(spark, sf_dir):
+    root = _events_landing(spark, sf_dir)
+    return landing.scan_date(spark, root, EVENT_SCHEMA, SCAN_DATE).select("event_id", writers.DATE_COL, "value")
+
+
+@query("landed_fact_quarterly")
+def landed_fact_quarterly(spark, sf_dir):
+    root = writers.land_json(documents(spark, sf_dir).drop("suppkey"),
+                             scratch_path(spark, "doc-landing"), SNAPSHOTS[0])
+    landed = landing.scan_date(spark, root, DOC_SCHEMA, SNAPSHOTS[0])
+    st = staging.stage(landed, METRIC_KEYS, SERIES_METRICS)
+    return staging.to_facts(st).quarterly_metric
+
+
+@query("write_manifest")
+def write_manifest(spark, sf_dir):
+    root = writers.land_json(documents(spark, sf_dir).drop("suppkey"),
+                             scratch_path(spark, "doc-landing"), SNAPSHOTS[0])
+    landed = landing.scan_date(spark, root, DOC_SCHEMA, SNAPSHOTS[0])
+    return writers.manifest(landed)
+
+
+@query("staging_roundtrip")
+def staging_roundtrip(spark, sf_dir):
+    st = staging.stage(docs(spark, sf_dir), METRIC_KEYS, SERIES_METRICS)
+    root = scratch_path(spark, "staging")
+    writers.stage_write(st.quarterly_metric, root, "quarterly_metric", SNAPSHOTS[0])
+    return landing.stage_read(spark, root, "quarterly_metric", SNAPSHOTS[0])
+
+
+@query("parquet_pair")
+def parquet_pair(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    root = scratch_path(spark, "parquet-pair")
+    wide = series.full_outer_series(d, FREQS, SERIES_METRICS)
+    met = reshape.metric_wide(d, METRIC_KEYS)
+    cols = [writers.DATE_COL, "symbol"]
+    writers.write_partitioned(writers.with_snapshot(met, SNAPSHOTS[0]), f"{root}/metrics", partition_cols=cols)
+    writers.write_partitioned(writers.with_snapshot(wide, SNAPSHOTS[0]), f"{root}/series", partition_cols=cols)
+    schema = T.StructType([f for f in wide.schema.fields if f.name != "symbol"]
+                          + [T.StructField(writers.DATE_COL, T.DateType()), T.StructField("symbol", T.StringType())])
+    return spark.read.schema(schema).parquet(f"{root}/series")
+
+
+@query("warehouse_table")
+def warehouse_table(spark, sf_dir):
+    root = scratch_path(spark, "warehouse")
+    name = writers.warehouse_save(spark, fact_annual(spark, sf_dir), WAREHOUSE_DB,
+                                  "annual_metric_fact", f"{root}/{WAREHOUSE_DB}.db")
+    return spark.table(name)
+
+
+@query("lake_append")
+def lake_append(spark, sf_dir):
+    path = scratch_path(spark, "lake") + "/annual_metric_fact"
+    fact = fact_annual(spark, sf_dir)
+    for d in SNAPSHOTS:
+        writers.lake_append(fact, path, d)
+    return spark.read.parquet(path)
+
+
+@query("stream_ingest")
+def stream_ingest(spark, sf_dir):
+    root = _events_landing(spark, sf_dir)
+    sink = scratch_path(spark, "stream-sink")
+    ckpt = scratch_path(spark, "stream-ckpt")
+    full = landing.with_partitions(EVENT_SCHEMA, T.StructField(writers.DATE_COL, T.DateType()))
+    for _ in range(2):  # the second run finds nothing new
+        ingest.ingest_available(ingest.landing_stream(spark, root, full), sink, ckpt)
+    return spark.read.schema(full).parquet(sink).select("event_id", "value")

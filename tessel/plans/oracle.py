@@ -83,3 +83,135 @@ ORACLE: dict[str, str] = {
         "SELECT symbol, TRY_CAST(firstShip AS FLOAT) AS firstShip, "
         "TRY_CAST(s_acctbal AS FLOAT) AS s_acctbal, TRY_CAST(s_nationkey AS FLOAT) AS s_nationkey FROM met"),
 }
+
+
+def _prefixed_period(freq: str, prefix: str, src: str = "pts") -> str:
+    return (f"SELECT symbol, period AS date, {_filtered('v', prefix=prefix)} "
+            f"FROM {src} WHERE freq = '{freq}' GROUP BY symbol, period")
+
+
+def _full_outer_cols() -> str:
+    out = []
+    for f in ("annual", "quarterly"):
+        for m in M:
+            out.append(f"max(v) FILTER (WHERE freq = '{f}' AND metric = '{m}') AS {f}_{m}")
+    return ", ".join(out)
+
+
+_FULL_OUTER = f"SELECT symbol, period AS date, {_full_outer_cols()} FROM pts GROUP BY symbol, period"
+
+_TYPED = f"""
+  SELECT 'metric' AS type, symbol, firstShip, s_acctbal, s_nationkey FROM met
+  UNION ALL BY NAME
+  SELECT 'quarterly_metric' AS type, * FROM ({_prefixed_period('quarterly', 'quarterly_', '{src}')})
+  UNION ALL BY NAME
+  SELECT 'annual_metric' AS type, * FROM ({_prefixed_period('annual', 'annual_', '{src}')})"""
+
+_TYPED_POSITION = (
+    "\n  SELECT 'metric' AS type, symbol, firstShip, s_acctbal, s_nationkey FROM met"
+    "\n  UNION ALL BY NAME\n  SELECT 'quarterly_metric' AS type, symbol, date, "
+    + ", ".join(f"{m} AS quarterly_{m}" for m in M) + f" FROM ({position_sql('quarterly')})"
+    "\n  UNION ALL BY NAME\n  SELECT 'annual_metric' AS type, symbol, date, "
+    + ", ".join(f"{m} AS annual_{m}" for m in M) + f" FROM ({position_sql('annual')})")
+
+
+def _quality(src: str, keys: str, cols) -> str:
+    aggs = ["count(*) AS n", f"count(*) - count(DISTINCT {keys}) AS dup"]
+    for i, c in enumerate(cols):
+        aggs.append(f"count(*) FILTER (WHERE {c} IS NULL) AS null{i}")
+        aggs.append(f"count(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS FLOAT) IS NULL) AS bad{i}")
+    parts = [f"SELECT '{c}' AS column_name, n, null{i} AS n_null, bad{i} AS n_bad_cast, dup AS n_dup_keys FROM agg"
+             for i, c in enumerate(cols)]
+    return f", agg AS (SELECT {', '.join(aggs)} FROM {src})\n" + "\nUNION ALL ".join(parts)
+
+
+_EVENTS_FANOUT = ("'stock_' || event_type || CASE WHEN user_id % 2 = 0 THEN '.A' ELSE '' END || '_path'")
+
+_FACT_ANNUAL = (f"SELECT date, symbol, quantity, returned, sales FROM ({period_sql('annual', cast='FLOAT')}) "
+                f"WHERE symbol IN {_BEARING}")
+
+ORACLE.update({
+    "series_long": BASE + (
+        "SELECT symbol, freq, metric, "
+        "CAST(row_number() OVER (PARTITION BY symbol, freq, metric ORDER BY period DESC) - 1 AS INTEGER) AS pos, "
+        "period AS date, v FROM pts"),
+    "series_full_outer": BASE + _FULL_OUTER,
+    "freq_full_outer": BASE + (
+        f"SELECT * FROM ({_prefixed_period('quarterly', 'q_')}) q "
+        f"FULL OUTER JOIN ({_prefixed_period('annual', 'a_')}) a USING (symbol, date)"),
+    "legacy_wide": BASE + f"SELECT * FROM ({_FULL_OUTER}) w JOIN (SELECT symbol, firstShip, s_acctbal, "
+                          f"s_nationkey FROM met) m USING (symbol)",
+    "metric_long": BASE + (
+        "SELECT symbol, 'firstShip' AS metric, firstShip AS value FROM met UNION ALL "
+        "SELECT symbol, 's_acctbal', s_acctbal FROM met UNION ALL "
+        "SELECT symbol, 's_nationkey', s_nationkey FROM met"),
+    "attach_constant": BASE + "SELECT symbol, 'fundamentals' AS source FROM met",
+    "metric_catalog": BASE + (
+        "SELECT freq, metric, count(DISTINCT symbol) AS n_symbols, count(*) AS n_points "
+        "FROM pts GROUP BY freq, metric"),
+    "metric_width": BASE + (
+        "SELECT m.symbol, CAST(3 AS INTEGER) AS n_metrics, CAST(coalesce(g.n, 0) AS INTEGER) AS n_series "
+        "FROM met m LEFT JOIN (SELECT symbol, count(DISTINCT (freq, metric)) AS n FROM gpts GROUP BY symbol) g "
+        "USING (symbol)"),
+    "has_series": BASE + "SELECT DISTINCT symbol FROM gpts",
+    "typed_union": BASE + _TYPED.replace("{src}", "pts"),
+    "typed_union_position": BASE + _TYPED_POSITION,
+    "type_counts": BASE + f"SELECT type, count(*) AS n FROM ({_TYPED.replace('{src}', 'pts')}) GROUP BY type",
+    "series_bearing": BASE + (
+        "SELECT symbol, count(DISTINCT period) FILTER (WHERE freq = 'annual') AS n_annual, "
+        "count(DISTINCT period) FILTER (WHERE freq = 'quarterly') AS n_quarterly FROM gpts "
+        "GROUP BY symbol HAVING n_annual > 0 AND n_quarterly > 0"),
+    "split_typed": BASE + (
+        f"SELECT * FROM ({_prefixed_period('quarterly', 'quarterly_')}) WHERE symbol IN {_BEARING}"),
+    "split_typed_gappy_annual": BASE + (
+        f"SELECT * FROM ({_prefixed_period('annual', 'annual_', 'gpts')}) WHERE symbol IN "
+        "(SELECT symbol FROM gpts GROUP BY symbol HAVING count(DISTINCT freq) = 2)"),
+    "ragged_union": BASE + (
+        "SELECT symbol, s_acctbal, s_nationkey, 'a' AS snapshot FROM met UNION ALL BY NAME "
+        "SELECT symbol, firstShip, s_acctbal, 'b' AS snapshot FROM met"),
+    "symbol_directory": (
+        "SELECT c_name AS symbol FROM customer WHERE c_mktsegment = 'BUILDING' "
+        "AND c_nationkey BETWEEN 0 AND 9 AND c_acctbal > 0 ORDER BY c_name"),
+    "symbol_top100": "SELECT c_name AS symbol FROM customer ORDER BY c_name LIMIT 100",
+    "documents_for_symbols": BASE + (
+        "SELECT s.s_name AS symbol, CAST((SELECT count(DISTINCT freq) FROM pts WHERE pts.suppkey = s.s_suppkey) "
+        "AS INTEGER) AS n_freq FROM supplier s WHERE s.s_acctbal > 0"),
+    "json_parse_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
+    "parquet_scan": "SELECT * FROM nation",
+    "path_to_key": "SELECT page_id, split_part(string_split(url, '/')[-1], '.', 1) AS key FROM pages",
+    "fanout_key": (
+        f"SELECT event_id, CASE WHEN contains(meta, '.') THEN split_part(meta, '.', 1) "
+        f"ELSE substr(meta, 1, length(meta) - 5) END AS key FROM (SELECT event_id, {_EVENTS_FANOUT} AS meta "
+        f"FROM events)"),
+    "zip_join": (
+        "SELECT rn, s_name, n_name FROM "
+        "(SELECT s_name, row_number() OVER (ORDER BY s_suppkey) AS rn FROM supplier) "
+        "JOIN (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) AS rn FROM nation) USING (rn)"),
+    "new_symbols": (
+        "SELECT DISTINCT o_custkey FROM orders o WHERE o_orderdate >= DATE '1996-01-01' AND NOT EXISTS "
+        "(SELECT 1 FROM orders p WHERE p.o_custkey = o.o_custkey AND p.o_orderdate < DATE '1996-01-01')"),
+    "snapshot_partition": (
+        "SELECT CAST(ts AS DATE) AS snapshot_date, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS label, "
+        "count(*) AS n FROM events GROUP BY 1"),
+    "quarantine": (
+        "SELECT json_valid(p) AS ok, count(*) AS n FROM (SELECT CASE WHEN event_id % 7 = 0 "
+        "THEN substr(props, 1, length(props) - 1) ELSE props END AS p FROM events) GROUP BY 1"),
+    "quality_report": BASE.rstrip() + _quality("met", "symbol", ("firstShip", "s_acctbal", "s_nationkey")),
+    "quality_report_quarterly": BASE.rstrip() + (
+        f", fq AS (SELECT date, symbol, quantity, returned, sales FROM "
+        f"({period_sql('quarterly', cast='FLOAT')}) WHERE symbol IN {_BEARING})"
+    ) + _quality("fq", "(symbol, date)", M),
+    "raw_write_read": "SELECT event_id, CAST(ts AS DATE) AS snapshot_date, value FROM events",
+    "raw_scan_date": ("SELECT event_id, CAST(ts AS DATE) AS snapshot_date, value FROM events "
+                      "WHERE CAST(ts AS DATE) = DATE '2024-01-15'"),
+    "landed_fact_quarterly": None,  # filled below (same as fact_quarterly)
+    "staging_roundtrip": BASE + (
+        f"SELECT * FROM ({_prefixed_period('quarterly', 'quarterly_')}) WHERE symbol IN {_BEARING}"),
+    "parquet_pair": BASE + f"SELECT *, DATE '2024-01-07' AS snapshot_date FROM ({_FULL_OUTER})",
+    "warehouse_table": BASE + _FACT_ANNUAL,
+    "lake_append": BASE + (
+        f"SELECT *, DATE '2024-01-07' AS snapshot_date FROM ({_FACT_ANNUAL}) UNION ALL "
+        f"SELECT *, DATE '2024-01-14' AS snapshot_date FROM ({_FACT_ANNUAL})"),
+    "stream_ingest": "SELECT event_id, value FROM events",
+})
+ORACLE["landed_fact_quarterly"] = ORACLE["fact_quarterly"]
