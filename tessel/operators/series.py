@@ -19,6 +19,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.schema import POINTS
 
@@ -42,22 +43,24 @@ def aligned_rows(spec: ColumnSpec, align: str = "position", series: str = "serie
     """Per document: ``array<struct<date, <name>...>>`` of aligned series rows."""
     names = list(spec)
     arrays = [series_array(f, m, series) for f, m in spec.values()]
+    if align not in ("position", "period"):
+        raise ValueError(f"align must be 'position' or 'period', not {align!r}")
+    if not names:  # no series columns requested: no series rows
+        return F.array().cast(T.ArrayType(T.StructType([T.StructField("date", T.DateType())])))
     if align == "position":
         zipped = F.arrays_zip(*[a.alias(f"c{i}") for i, a in enumerate(arrays)])
         return F.transform(zipped, lambda z: F.struct(
             F.coalesce(*[z[f"c{i}"]["period"] for i in range(len(names))]).alias("date"),
             *[z[f"c{i}"]["v"].alias(n) for i, n in enumerate(names)],
         ))
-    if align == "period":
-        periods = F.array_sort(F.array_distinct(F.flatten(F.array(
-            *[F.transform(a, lambda p: p["period"]) for a in arrays]))))
-        return F.transform(periods, lambda d: F.struct(
-            d.alias("date"),
-            *[F.array_max(F.transform(F.filter(a, lambda p: p["period"] == d),
-                                      lambda p: p["v"])).alias(n)
-              for a, n in zip(arrays, names)],
-        ))
-    raise ValueError(f"align must be 'position' or 'period', not {align!r}")
+    periods = F.array_sort(F.array_distinct(F.flatten(F.array(
+        *[F.transform(a, lambda p: p["period"]) for a in arrays]))))
+    return F.transform(periods, lambda d: F.struct(
+        d.alias("date"),
+        *[F.array_max(F.transform(F.filter(a, lambda p: p["period"] == d),
+                                  lambda p: p["v"])).alias(n)
+          for a, n in zip(arrays, names)],
+    ))
 
 
 def align(docs: DataFrame, spec: ColumnSpec, align: str = "position",
