@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.schema import TYPE_ANNUAL, TYPE_METRIC, TYPE_QUARTERLY
-from .series import aligned_rows, columns_for
+from .series import aligned_rows_sql, columns_for, has_points_sql, sql_ident, sql_str
 
 
 def metric_wide(docs: DataFrame, keys: Sequence[str], keep: Sequence[str] = ("symbol",)) -> DataFrame:
@@ -46,37 +46,42 @@ def non_empty_series(docs: DataFrame) -> Column:
 
 
 def typed_union(docs: DataFrame, metric_keys: Sequence[str], series_metrics: Sequence[str],
-                align_mode: str = "period") -> DataFrame:
+                align_mode: str = "period", bearing_only: bool = False) -> DataFrame:
     """One wide typed frame for all documents (F1: P11, P12, P13, U1).
 
     Columns: ``type, symbol, date, <metric keys>, quarterly_<m>..., annual_<m>...``.
-    Missing column groups are typed nulls, so no type coercion happens.
+    Missing column groups are typed nulls, so no type coercion happens. Each
+    document becomes its metric row plus its aligned series rows through one
+    ``inline`` of one SQL expression; no shuffle.
+
+    ``bearing_only`` emits series rows only for documents that have both
+    annual and quarterly points (W3 evaluated per document, which is how the
+    reference decides it: per entity).
     """
     q_spec = columns_for("quarterly", series_metrics, "quarterly_")
     a_spec = columns_for("annual", series_metrics, "annual_")
-    s_null = F.lit(None).cast("string")
-    d_null = F.lit(None).cast("double")
-
-    def row(type_name: str, date: Column, metric_vals: list[Column], q_vals: list[Column],
-            a_vals: list[Column]) -> Column:
-        return F.struct(
-            F.lit(type_name).alias("type"), F.col("symbol").alias("symbol"),
-            date.cast("date").alias("date"),
-            *[c.alias(k) for c, k in zip(metric_vals, metric_keys)],
-            *[c.alias(n) for c, n in zip(q_vals, q_spec)],
-            *[c.alias(n) for c, n in zip(a_vals, a_spec)],
-        )
-
-    metric_row = F.array(row(TYPE_METRIC, F.lit(None),
-                             [F.col("metric")[k] for k in metric_keys],
-                             [d_null] * len(q_spec), [d_null] * len(a_spec)))
-    q_rows = F.transform(aligned_rows(q_spec, align_mode), lambda r: row(
-        TYPE_QUARTERLY, r["date"], [s_null] * len(metric_keys),
-        [r[n] for n in q_spec], [d_null] * len(a_spec)))
-    a_rows = F.transform(aligned_rows(a_spec, align_mode), lambda r: row(
-        TYPE_ANNUAL, r["date"], [s_null] * len(metric_keys),
-        [d_null] * len(q_spec), [r[n] for n in a_spec]))
-    return docs.select(F.inline(F.concat(metric_row, q_rows, a_rows)))
+
+    def row(type_name: str, date: str, metric_vals: list[str], q_vals: list[str], a_vals: list[str]) -> str:
+        parts = [f"'type', {sql_str(type_name)}", "'symbol', symbol", f"'date', CAST({date} AS DATE)"]
+        parts += [f"{sql_str(k)}, {v}" for k, v in zip(metric_keys, metric_vals)]
+        parts += [f"{sql_str(n)}, {v}" for n, v in zip(q_spec, q_vals)]
+        parts += [f"{sql_str(n)}, {v}" for n, v in zip(a_spec, a_vals)]
+        return "named_struct(" + ", ".join(parts) + ")"
+
+    s_null, d_null = "CAST(NULL AS STRING)", "CAST(NULL AS DOUBLE)"
+    metric_row = "array(" + row(TYPE_METRIC, "NULL", [f"metric[{sql_str(k)}]" for k in metric_keys],
+                                [d_null] * len(q_spec), [d_null] * len(a_spec)) + ")"
+    q_rows = (f"transform({aligned_rows_sql(q_spec, align_mode)}, _r -> "
+              + row(TYPE_QUARTERLY, "_r.date", [s_null] * len(metric_keys),
+                    [f"_r.{sql_ident(n)}" for n in q_spec], [d_null] * len(a_spec)) + ")")
+    a_rows = (f"transform({aligned_rows_sql(a_spec, align_mode)}, _r -> "
+              + row(TYPE_ANNUAL, "_r.date", [s_null] * len(metric_keys),
+                    [d_null] * len(q_spec), [f"_r.{sql_ident(n)}" for n in a_spec]) + ")")
+    series_rows = f"concat({q_rows}, {a_rows})"
+    if bearing_only:
+        keep = f"{has_points_sql('quarterly', series_metrics)} AND {has_points_sql('annual', series_metrics)}"
+        series_rows = f"IF({keep}, {series_rows}, slice({series_rows}, 1, 0))"
+    return docs.select(F.expr(f"inline(concat({metric_row}, {series_rows}))"))
 
 
 def series_bearing(typed: DataFrame) -> DataFrame:
@@ -92,24 +97,36 @@ def series_bearing(typed: DataFrame) -> DataFrame:
     return counts.filter((F.col("n_annual") > 0) & (F.col("n_quarterly") > 0))
 
 
+def split_by_type(typed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Typed frame -> ``metric``, ``quarterly_metric``, ``annual_metric`` by the
+    ``type`` marker only (W1, P14, P15); column groups come from names."""
+    cols = typed.columns
+    q_cols = [c for c in cols if c.startswith("quarterly_")]
+    a_cols = [c for c in cols if c.startswith("annual_")]
+    m_cols = [c for c in cols if c not in {"type", "symbol", "date", *q_cols, *a_cols}]
+    metric = typed.filter(F.col("type") == TYPE_METRIC).select("symbol", *m_cols)
+    quarterly = typed.filter(F.col("type") == TYPE_QUARTERLY).select("date", "symbol", *q_cols)
+    annual = typed.filter(F.col("type") == TYPE_ANNUAL).select("date", "symbol", *a_cols)
+    return metric, quarterly, annual
+
+
 def split_typed(typed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Typed frame -> ``metric``, ``quarterly_metric``, ``annual_metric`` (F2).
 
-    Column groups come from names, so every column is kept (the reference's
-    off-by-two slice is not reproduced). Series rows are kept only for
-    series-bearing symbols (W3); the bearing set is one row per symbol and is
+    This is the general form for a typed frame whose rows of one symbol may
+    come from anywhere (e.g. read back from storage). Column groups come from
+    names, so every column is kept (the reference's off-by-two slice is not
+    reproduced). Series rows are kept only for series-bearing symbols (W3);
+    the bearing set is one row per symbol, computed with partial counts, and
     joined with a left-semi join (AQE broadcasts it when its runtime size is
     under the broadcast threshold, and splits skewed partitions otherwise).
+    When the typed frame is built from documents, ``typed_union(...,
+    bearing_only=True)`` decides W3 per document instead and no join is needed.
     """
-    cols = typed.columns
-    q_cols = [c for c in cols if c.startswith("quarterly_")]
-    a_cols = [c for c in cols if c.startswith("annual_")]
-    m_cols = [c for c in cols if c not in {"type", "symbol", "date", *q_cols, *a_cols}]
     bearing = series_bearing(typed).select("symbol")
-    metric = typed.filter(F.col("type") == TYPE_METRIC).select("symbol", *m_cols)
+    metric, _, _ = split_by_type(typed)
     series_rows = typed.filter(F.col("type") != TYPE_METRIC).join(bearing, "symbol", "left_semi")
-    quarterly = series_rows.filter(F.col("type") == TYPE_QUARTERLY).select("date", "symbol", *q_cols)
-    annual = series_rows.filter(F.col("type") == TYPE_ANNUAL).select("date", "symbol", *a_cols)
+    _, quarterly, annual = split_by_type(series_rows)
     return metric, quarterly, annual
 
 

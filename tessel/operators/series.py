@@ -19,48 +19,80 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..functions.schema import POINTS
 
 ColumnSpec = Mapping[str, tuple[str, str]]  # output name -> (freq, metric)
 
 
-def series_array(freq: str, metric: str, series: str = "series") -> Column:
+def sql_str(s: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_ident(s: str) -> str:
+    """A Spark SQL identifier (backticked, so dots and spaces are plain text)."""
+    return "`" + s.replace("`", "``") + "`"
+
+
+_POINTS_SQL = "array<struct<period:date,v:double>>"
+
+
+def series_array_sql(freq: str, metric: str, series: str = "series") -> str:
     """``series[freq][metric]``; missing levels give an empty array, never null.
 
     ``arrays_zip`` returns null if any argument is null, which would lose the
     whole document, so every lookup is coalesced to a typed empty array.
     """
-    return F.coalesce(F.col(series)[freq][metric], F.array().cast(POINTS))
+    return (f"coalesce({sql_ident(series)}[{sql_str(freq)}][{sql_str(metric)}], "
+            f"CAST(array() AS {_POINTS_SQL}))")
+
+
+def series_array(freq: str, metric: str, series: str = "series") -> Column:
+    return F.expr(series_array_sql(freq, metric, series))
 
 
 def columns_for(freq: str, metrics: Sequence[str], prefix: str = "") -> dict[str, tuple[str, str]]:
     return {f"{prefix}{m}": (freq, m) for m in metrics}
 
 
-def aligned_rows(spec: ColumnSpec, align: str = "position", series: str = "series") -> Column:
-    """Per document: ``array<struct<date, <name>...>>`` of aligned series rows."""
-    names = list(spec)
-    arrays = [series_array(f, m, series) for f, m in spec.values()]
+def aligned_rows_sql(spec: ColumnSpec, align: str = "position", series: str = "series") -> str:
+    """Per document: SQL for ``array<struct<date, <name>...>>`` of aligned rows.
+
+    Built as one Spark SQL expression (higher-order functions) so the whole
+    expression crosses to the JVM in one call.
+    """
     if align not in ("position", "period"):
         raise ValueError(f"align must be 'position' or 'period', not {align!r}")
+    names = list(spec)
+    arrays = [series_array_sql(f, m, series) for f, m in spec.values()]
     if not names:  # no series columns requested: no series rows
-        return F.array().cast(T.ArrayType(T.StructType([T.StructField("date", T.DateType())])))
+        return "CAST(array() AS array<struct<date:date>>)"
     if align == "position":
-        zipped = F.arrays_zip(*[a.alias(f"c{i}") for i, a in enumerate(arrays)])
-        return F.transform(zipped, lambda z: F.struct(
-            F.coalesce(*[z[f"c{i}"]["period"] for i in range(len(names))]).alias("date"),
-            *[z[f"c{i}"]["v"].alias(n) for i, n in enumerate(names)],
-        ))
-    periods = F.array_sort(F.array_distinct(F.flatten(F.array(
-        *[F.transform(a, lambda p: p["period"]) for a in arrays]))))
-    return F.transform(periods, lambda d: F.struct(
-        d.alias("date"),
-        *[F.array_max(F.transform(F.filter(a, lambda p: p["period"] == d),
-                                  lambda p: p["v"])).alias(n)
-          for a, n in zip(arrays, names)],
-    ))
+        fields = [f"_z.`{i}`" for i in range(len(names))]
+        date = "coalesce(" + ", ".join(f"{x}.period" for x in fields) + ")"
+        values = ", ".join(f"{sql_str(n)}, {x}.v" for n, x in zip(names, fields))
+        return (f"transform(arrays_zip({', '.join(arrays)}), "
+                f"_z -> named_struct('date', {date}, {values}))")
+    periods = ("array_sort(array_distinct(flatten(array("
+               + ", ".join(f"transform({a}, _p -> _p.period)" for a in arrays) + "))))")
+    values = ", ".join(
+        f"{sql_str(n)}, array_max(transform(filter({a}, _p -> _p.period = _d), _p -> _p.v))"
+        for n, a in zip(names, arrays))
+    return f"transform({periods}, _d -> named_struct('date', _d, {values}))"
+
+
+def aligned_rows(spec: ColumnSpec, align: str = "position", series: str = "series") -> Column:
+    return F.expr(aligned_rows_sql(spec, align, series))
+
+
+def has_points_sql(freq: str, metrics: Sequence[str], series: str = "series") -> str:
+    """SQL: does the document have any point for ``freq`` among ``metrics``?
+
+    Equivalent to "aligns to at least one row" in both modes.
+    """
+    if not metrics:
+        return "false"
+    sizes = ", ".join(f"size({series_array_sql(freq, m, series)})" for m in metrics)
+    return f"(greatest({sizes}, 0) > 0)"
 
 
 def align(docs: DataFrame, spec: ColumnSpec, align: str = "position",

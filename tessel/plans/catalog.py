@@ -179,11 +179,13 @@ def series_bearing(spark, sf_dir):
 
 @query("split_typed")
 def split_typed(spark, sf_dir):
-    return reshape.split_typed(_typed(spark, sf_dir))[1]
+    """F2 from documents: W3 decided per document, no shuffle."""
+    return staging.stage(docs(spark, sf_dir), METRIC_KEYS, SERIES_METRICS).quarterly_metric
 
 
 @query("split_typed_gappy_annual")
 def split_typed_gappy_annual(spark, sf_dir):
+    """F2 on an already-typed frame (general form: grouped W3 + semi join)."""
     return reshape.split_typed(_typed(spark, sf_dir, gappy=True))[2]
 
 

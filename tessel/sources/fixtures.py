@@ -4,15 +4,16 @@ Suppliers play the entities (``symbol = s_name``); their lineitems give one
 annual and one quarterly series per metric; supplier attributes give the flat
 ``metric`` object. The derivation is a Spark plan that grows with lineitem:
 
-1. map-side partial aggregation of lineitem on ``(supplier, quarter)``;
-2. an annual roll-up of those quarter rows (decimal sums, so exact);
-3. one shuffle on supplier that builds the nested ``series`` map with
-   higher-order functions (the group is bounded by the number of distinct
-   periods x metrics, not by the number of lineitems);
-4. a join to ``supplier`` for the metric row.
-
-A hot supplier holding a third of lineitem is collapsed by step 1 before any
-row leaves its map task.
+1. one aggregation of lineitem on ``(supplier, quarter)``, partial (map-side)
+   before its shuffle, with exact fixed-point sums, and an annual roll-up of
+   its small result;
+2. one shuffle on supplier that builds the nested ``series`` map with
+   conditional ``collect_list`` (the group is bounded by the number of
+   distinct periods, not by the number of lineitems);
+3. a join to ``supplier`` for the metric row.
+
+A hot supplier holding a third of lineitem is collapsed by the partial
+aggregation before any row leaves its map task.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.schema import DOC_SCHEMA
+from ..functions.schema import DOC_SCHEMA, FREQS
 from .tables import table
 
 # The series metrics of the derived documents (sorted) and the
@@ -28,85 +29,87 @@ from .tables import table
 SERIES_METRICS = ("quantity", "returned", "sales")
 METRIC_KEYS = ("firstShip", "s_acctbal", "s_nationkey")
 
-_DEC = "decimal(18,2)"
 
-
-def _sums(returned_flag: Column, qty: Column, price: Column) -> list[Column]:
-    return [
-        F.sum(qty).alias("quantity"),
-        F.sum(F.when(returned_flag, qty)).alias("returned"),
-        F.sum(price).alias("sales"),
-    ]
+def cents(c: Column | str) -> Column:
+    """Exact fixed-point hundredths as a long: sums of these are associative,
+    so quarterly partial sums roll up to exactly the annual sums (and stay on
+    Spark's fast long aggregation path, unlike wide decimals)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.rint(c * 100).cast("bigint")
 
 
 def series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per supplier, frequency and period: metric sums (decimal) and first ship date.
+    """Per supplier, frequency and period: metric sums and first ship date.
 
-    Columns: suppkey, freq, period, quantity, returned, sales, first_ship.
+    Columns: suppkey, freq, period, quantity, returned, sales (doubles),
+    first_ship. The quarterly aggregation is partial (map-side) before its
+    shuffle; the annual rows roll up the small quarterly result (exact, since
+    the sums are fixed-point), and Spark reuses the quarterly exchange for both.
     """
     li = table(spark, sf_dir, "lineitem")
-    qty = F.col("l_quantity").cast(_DEC)
-    price = F.col("l_extendedprice").cast(_DEC)
+    day = F.to_date("l_shipdate")
+    qty = cents("l_quantity")
     returned = (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.08)
-    quarterly = (
-        li.groupBy(F.col("l_suppkey").alias("suppkey"),
-                   F.trunc(F.to_date("l_shipdate"), "quarter").alias("period"))
-        .agg(*_sums(returned, qty, price), F.min(F.to_date("l_shipdate")).alias("first_ship"))
+    quarterly = li.groupBy(F.col("l_suppkey").alias("suppkey"), F.trunc(day, "quarter").alias("period")).agg(
+        F.sum(qty).alias("qty"), F.sum(F.when(returned, qty)).alias("ret"),
+        F.sum(cents("l_extendedprice")).alias("price"), F.min(day).alias("first_ship"),
     )
-    annual = (
-        quarterly.groupBy("suppkey", F.trunc("period", "year").alias("period"))
-        .agg(F.sum("quantity").alias("quantity"), F.sum("returned").alias("returned"),
-             F.sum("sales").alias("sales"), F.min("first_ship").alias("first_ship"))
+    annual = quarterly.groupBy("suppkey", F.trunc("period", "year").alias("period")).agg(
+        F.sum("qty").alias("qty"), F.sum("ret").alias("ret"), F.sum("price").alias("price"),
+        F.min("first_ship").alias("first_ship"),
     )
-    return (quarterly.withColumn("freq", F.lit("quarterly"))
+    both = (quarterly.withColumn("freq", F.lit("quarterly"))
             .unionByName(annual.withColumn("freq", F.lit("annual"))))
+    return both.select("suppkey", "freq", "period",
+                       (F.col("qty") / 100).alias("quantity"), (F.col("ret") / 100).alias("returned"),
+                       (F.col("price") / 100).alias("sales"), "first_ship")
 
 
 def series_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long points: suppkey, freq, metric, period, v, first_ship (v never null)."""
+    """Long points: suppkey, freq, metric, period, v (v never null)."""
     per = series_periods(spark, sf_dir)
     stacked = per.select(
-        "suppkey", "freq", "period", "first_ship",
-        F.inline(F.array(*[
-            F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v"))
-            for m in SERIES_METRICS
-        ])),
+        "suppkey", "freq", "period",
+        F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in SERIES_METRICS])),
     )
     return stacked.filter(F.col("v").isNotNull())
 
 
-def _series_map(points: Column) -> Column:
-    """Nest collected ``(freq, metric, period, v)`` points into freq -> metric -> array.
+def _per_supplier(per: DataFrame) -> DataFrame:
+    """One row per supplier with its nested ``series`` map.
 
-    Arrays are ordered by period, most recent first.
+    One conditional ``collect_list`` per (freq, metric): the group of a
+    supplier holds one row per period, so it is bounded by the number of
+    periods, not by the supplier's lineitems. Empty arrays and empty
+    frequencies are dropped, as in the landed documents.
     """
-    def per_metric(f, m):
-        pts = F.filter(points, lambda p: (p["freq"] == f) & (p["metric"] == m))
-        arr = F.transform(pts, lambda p: F.struct(p["period"].alias("period"), p["v"].alias("v")))
-        return F.struct(m.alias("key"), F.reverse(F.array_sort(arr)).alias("value"))
-
-    def per_freq(f):
-        metrics = F.array_sort(F.array_distinct(F.transform(
-            F.filter(points, lambda p: p["freq"] == f), lambda p: p["metric"])))
-        return F.struct(f.alias("key"),
-                        F.map_from_entries(F.transform(metrics, lambda m: per_metric(f, m))).alias("value"))
-
-    freqs = F.array_sort(F.array_distinct(F.transform(points, lambda p: p["freq"])))
-    return F.map_from_entries(F.transform(freqs, per_freq))
+    lists = {}
+    aggs = [F.min("first_ship").alias("first_ship")]
+    for f in FREQS:
+        for m in SERIES_METRICS:
+            name = f"{f}_{m}"
+            lists[(f, m)] = name
+            point = F.struct(F.col("period").alias("period"), F.col(m).alias("v"))
+            aggs.append(F.collect_list(F.when((F.col("freq") == f) & F.col(m).isNotNull(), point)).alias(name))
+    g = per.groupBy("suppkey").agg(*aggs)
+    by_freq = []
+    for f in FREQS:
+        metrics = []
+        for m in SERIES_METRICS:
+            metrics += [F.lit(m), F.sort_array(F.col(lists[(f, m)]), asc=False)]
+        by_freq += [F.lit(f), F.map_filter(F.create_map(*metrics), lambda _, a: F.size(a) > 0)]
+    series = F.map_filter(F.create_map(*by_freq), lambda _, mm: F.size(mm) > 0)
+    return g.select("suppkey", "first_ship", series.alias("series"))
 
 
 def documents(spark: SparkSession, sf_dir: str, gappy: bool = False) -> DataFrame:
-    """Parsed-shape documents: symbol, metric, series (plus suppkey for fixtures).
+    """Parsed-shape documents: suppkey, symbol, metric, series.
 
     ``gappy``: series is null for ``s_suppkey % 10 = 0`` and has no quarterly
     entry for ``s_suppkey % 10 = 1`` (documented fixture variant; no row is
     dropped).
     """
-    pts = series_points(spark, sf_dir)
-    per_supplier = pts.groupBy("suppkey").agg(
-        _series_map(F.collect_list(F.struct("freq", "metric", "period", "v"))).alias("series"),
-        F.min("first_ship").alias("first_ship"),
-    )
+    per_supplier = _per_supplier(series_periods(spark, sf_dir))
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     joined = sup.join(per_supplier, sup.s_suppkey == per_supplier.suppkey, "left")
     metric = F.create_map(
