@@ -166,3 +166,12 @@ def test_union_then_split_is_identity(spark):
     q = series.align_freq(d, "quarterly", SERIES_METRICS, "period", prefix="quarterly_")
     _, q2, _ = reshape.split_typed(reshape.typed_union(d, METRIC_KEYS, SERIES_METRICS))
     assert sorted(map(tuple, q.collect())) == sorted(map(tuple, q2.select(*q.columns).collect()))
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_declared_table_schemas_match_files(spark, sf):
+    from tessel.sources.tables import SCHEMAS, table
+    for name in SCHEMAS:
+        inferred = spark.read.parquet(f"{sf}/{name}.parquet").schema
+        declared = table(spark, sf, name).schema
+        assert [(f.name, f.dataType) for f in declared] == [(f.name, f.dataType) for f in inferred], name
