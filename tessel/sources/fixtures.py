@@ -5,12 +5,12 @@ annual and one quarterly series per metric; supplier attributes give the flat
 ``metric`` object. The derivation is a Spark plan that grows with lineitem:
 
 1. one aggregation of lineitem on ``(supplier, quarter)``, partial (map-side)
-   before its shuffle, with exact fixed-point sums, and an annual roll-up of
-   its small result;
-2. one shuffle on supplier that builds the nested ``series`` map with
-   conditional ``collect_list`` (the group is bounded by the number of
-   distinct periods, not by the number of lineitems);
-3. a join to ``supplier`` for the metric row.
+   before its shuffle, with exact fixed-point sums;
+2. one shuffle of that small result on supplier, after which the annual
+   roll-up and the nested ``series`` map (conditional ``collect_list``) run
+   without further exchanges; a supplier's group is bounded by its number of
+   periods, not by its number of lineitems;
+3. a join to ``supplier`` for the metric row (only the supplier side moves).
 
 A hot supplier holding a third of lineitem is collapsed by the partial
 aggregation before any row leaves its map task.
@@ -42,27 +42,37 @@ def series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per supplier, frequency and period: metric sums and first ship date.
 
     Columns: suppkey, freq, period, quantity, returned, sales (doubles),
-    first_ship. The quarterly aggregation is partial (map-side) before its
-    shuffle; the annual rows roll up the small quarterly result (exact, since
-    the sums are fixed-point), and Spark reuses the quarterly exchange for both.
+    first_ship; hash-partitioned by ``suppkey``.
+
+    Plan: one scan of lineitem; partial aggregation on ``(supplier, quarter)``
+    before the first shuffle; each quarter row is then sent to its quarter and
+    to its year, and the small result is repartitioned by supplier once. The
+    roll-up aggregation (and the per-supplier step that follows) reuse that
+    partitioning, so no further exchange is planned. The sums are fixed-point
+    longs, so the annual roll-up equals a direct annual sum exactly.
     """
     li = table(spark, sf_dir, "lineitem")
     day = F.to_date("l_shipdate")
     qty = cents("l_quantity")
     returned = (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.08)
-    quarterly = li.groupBy(F.col("l_suppkey").alias("suppkey"), F.trunc(day, "quarter").alias("period")).agg(
+    quarterly = li.groupBy(F.col("l_suppkey").alias("suppkey"), F.trunc(day, "quarter").alias("quarter")).agg(
         F.sum(qty).alias("qty"), F.sum(F.when(returned, qty)).alias("ret"),
         F.sum(cents("l_extendedprice")).alias("price"), F.min(day).alias("first_ship"),
     )
-    annual = quarterly.groupBy("suppkey", F.trunc("period", "year").alias("period")).agg(
+    both = quarterly.select(
+        "suppkey", "qty", "ret", "price", "first_ship",
+        F.inline(F.array(
+            F.struct(F.lit("quarterly").alias("freq"), F.col("quarter").alias("period")),
+            F.struct(F.lit("annual").alias("freq"), F.trunc("quarter", "year").alias("period")),
+        )),
+    ).repartition("suppkey")
+    rolled = both.groupBy("suppkey", "freq", "period").agg(
         F.sum("qty").alias("qty"), F.sum("ret").alias("ret"), F.sum("price").alias("price"),
         F.min("first_ship").alias("first_ship"),
     )
-    both = (quarterly.withColumn("freq", F.lit("quarterly"))
-            .unionByName(annual.withColumn("freq", F.lit("annual"))))
-    return both.select("suppkey", "freq", "period",
-                       (F.col("qty") / 100).alias("quantity"), (F.col("ret") / 100).alias("returned"),
-                       (F.col("price") / 100).alias("sales"), "first_ship")
+    return rolled.select("suppkey", "freq", "period",
+                         (F.col("qty") / 100).alias("quantity"), (F.col("ret") / 100).alias("returned"),
+                         (F.col("price") / 100).alias("sales"), "first_ship")
 
 
 def series_points(spark: SparkSession, sf_dir: str) -> DataFrame:
