@@ -379,3 +379,40 @@ def stream_ingest(spark, sf_dir):
     for _ in range(2):  # the second run finds nothing new
         ingest.ingest_available(ingest.landing_stream(spark, root, full), sink, ckpt)
     return spark.read.schema(full).parquet(sink).select("event_id", "value")
+
+
+@query("staged_fact_annual")
+def staged_fact_annual(spark, sf_dir):
+    """S7 + F4: the three staging tables written, read back, and cast to facts."""
+    st = staging.stage(docs(spark, sf_dir), METRIC_KEYS, SERIES_METRICS)
+    root = scratch_path(spark, "staging")
+    for name, df in (("metric", st.metric), ("quarterly_metric", st.quarterly_metric),
+                     ("annual_metric", st.annual_metric)):
+        writers.stage_write(df, root, name, SNAPSHOTS[0])
+    staged = staging.Staging(*[landing.stage_read(spark, root, n, SNAPSHOTS[0])
+                               for n in ("metric", "quarterly_metric", "annual_metric")])
+    return staging.to_facts(staged).annual_metric
+
+
+@query("series_long_pivot")
+def series_long_pivot(spark, sf_dir):
+    """J2 in its multi-row form: long points pivoted back to wide (one shuffle)."""
+    long_df = series.to_long(docs(spark, sf_dir)).filter(F.col("freq") == "quarterly")
+    return series.pivot_long(long_df, ["symbol", "date"], "metric", "v", SERIES_METRICS)
+
+
+@query("stream_new_symbols")
+def stream_new_symbols(spark, sf_dir):
+    """J4, streaming form: keys landed after the cutoff that no earlier batch had."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("day"))
+    root = scratch_path(spark, "orders-landing")
+    cutoff = F.lit(NEW_KEY_CUTOFF).cast("date")
+    key_table, ckpt = scratch_path(spark, "key-table"), scratch_path(spark, "key-ckpt")
+    s = T.StructType([T.StructField("o_custkey", T.LongType()), T.StructField("day", T.DateType())])
+
+    o.filter(F.col("day") < cutoff).write.json(f"{root}/before")
+    ingest.track_new_keys(ingest.landing_stream(spark, f"{root}/*", s), ["o_custkey"], key_table, ckpt)
+    first = {r[0] for r in spark.read.parquet(key_table).select("batch_id").distinct().collect()}
+    o.filter(F.col("day") >= cutoff).write.json(f"{root}/after")
+    ingest.track_new_keys(ingest.landing_stream(spark, f"{root}/*", s), ["o_custkey"], key_table, ckpt)
+    return spark.read.parquet(key_table).filter(~F.col("batch_id").isin(list(first))).select("o_custkey")

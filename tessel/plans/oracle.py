@@ -215,3 +215,9 @@ ORACLE.update({
     "stream_ingest": "SELECT event_id, value FROM events",
 })
 ORACLE["landed_fact_quarterly"] = ORACLE["fact_quarterly"]
+
+ORACLE.update({
+    "staged_fact_annual": ORACLE["fact_annual"],
+    "series_long_pivot": BASE + period_sql("quarterly"),
+    "stream_new_symbols": ORACLE["new_symbols"],
+})
