@@ -50,11 +50,19 @@ def stage(docs: DataFrame, metric_keys: Sequence[str], series_metrics: Sequence[
           align_mode: str = "period") -> Staging:
     """F1 + F2: documents -> the three staging tables.
 
-    Series-bearing (W3) is decided per document while the typed rows are
-    generated, so the split is three filters over one row-local plan.
+    Equal to ``split_by_type(typed_union(docs, ..., bearing_only=True))``
+    (tested), but each table is projected straight from the documents, so
+    materialising one table does not generate the rows of the other two.
+    Series-bearing (W3) is decided per document; nothing shuffles.
     """
-    typed = reshape.typed_union(docs, metric_keys, series_metrics, align_mode, bearing_only=True)
-    return Staging(*reshape.split_by_type(typed))
+    bearing = F.expr(f"{series.has_points_sql('quarterly', series_metrics)} AND "
+                     f"{series.has_points_sql('annual', series_metrics)}")
+    metric = reshape.metric_wide(docs, metric_keys)
+    with_series = docs.filter(bearing)
+    quarterly = series.align_freq(with_series, "quarterly", series_metrics, align_mode, prefix="quarterly_")
+    annual = series.align_freq(with_series, "annual", series_metrics, align_mode, prefix="annual_")
+    return Staging(metric, quarterly.select("date", "symbol", *quarterly.columns[2:]),
+                   annual.select("date", "symbol", *annual.columns[2:]))
 
 
 def to_facts(staging: Staging, keep_source: bool = False) -> Facts:

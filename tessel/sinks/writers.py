@@ -21,10 +21,16 @@ def with_snapshot(df: DataFrame, snapshot_date: str) -> DataFrame:
 
 
 def _files(df: DataFrame, partition_cols: Sequence[str], files: int | None) -> DataFrame:
-    """Bound output files (T2) without a single-task bottleneck: hash the
-    partition columns into ``files`` tasks per output partition value."""
+    """Lay out rows for a partitioned write.
+
+    Default: ``REBALANCE`` on the partition columns, so rows of one partition
+    value land in few tasks (few files per folder) while AQE splits a hot
+    value over several tasks instead of one task writing a third of the data.
+    ``files=n``: at most ``n`` tasks (files) per partition value, by hashing
+    the row into ``n`` salts; never a single-task ``coalesce(1)``.
+    """
     if files is None:
-        return df
+        return df.hint("rebalance", *partition_cols) if partition_cols else df
     salt = (F.abs(F.xxhash64(*df.columns)) % files) if files > 1 else F.lit(0)
     return df.repartition(*[F.col(c) for c in partition_cols], salt) if partition_cols \
         else df.repartition(files)

@@ -41,23 +41,29 @@ def track_new_keys(stream: DataFrame, keys: Sequence[str], key_table: str, check
     """Append to ``key_table`` the keys never seen before.
 
     State lives in the key table, not in the streaming state store, so it does
-    not grow in executor memory. Each micro-batch de-duplicates its keys,
-    anti-joins them with the table, and writes the new ones into a folder
-    named by the batch id in overwrite mode, so a replayed batch replaces its
-    own output instead of duplicating it.
+    not grow in executor memory. Each micro-batch de-duplicates its keys and
+    first finds which of them the table already has with a semi join whose
+    build side is the batch (AQE broadcasts it when its runtime size is small,
+    so the growing table is scanned but never shuffled); the anti join that
+    follows only meets batch-sized inputs. New keys go into a folder named by
+    the batch id in overwrite mode, so a replayed batch replaces its own
+    output instead of duplicating it.
     """
     k = list(keys)
     spark = stream.sparkSession
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.select(*k).distinct()
+        keys_in_batch = batch.select(*k).distinct().persist()  # used by both joins
+        fresh = keys_in_batch
         try:
-            seen = spark.read.parquet(key_table).filter(F.col("batch_id") != batch_id).select(*k)
-            fresh = fresh.join(seen.distinct(), k, "left_anti")
+            table = spark.read.parquet(key_table).filter(F.col("batch_id") != batch_id).select(*k)
+            seen = table.join(keys_in_batch, k, "left_semi").distinct()
+            fresh = keys_in_batch.join(seen, k, "left_anti")
         except Exception as e:  # first batch: no table yet
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
         fresh.write.mode("overwrite").parquet(f"{key_table}/batch_id={batch_id}")
+        keys_in_batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -175,3 +175,17 @@ def test_declared_table_schemas_match_files(spark, sf):
         inferred = spark.read.parquet(f"{sf}/{name}.parquet").schema
         declared = table(spark, sf, name).schema
         assert [(f.name, f.dataType) for f in declared] == [(f.name, f.dataType) for f in inferred], name
+
+
+def test_stage_equals_split_of_typed_union(spark):
+    from tessel.plans import staging
+    from tessel.plans.catalog import docs
+    from tessel.sources.fixtures import METRIC_KEYS, SERIES_METRICS
+    d = docs(spark, "/root/testdata/sf0.001", gappy=True)
+    direct = staging.stage(d, METRIC_KEYS, SERIES_METRICS)
+    via = reshape.split_by_type(reshape.typed_union(d, METRIC_KEYS, SERIES_METRICS, bearing_only=True))
+    general = reshape.split_typed(reshape.typed_union(d, METRIC_KEYS, SERIES_METRICS))
+    for a, b, c in zip((direct.metric, direct.quarterly_metric, direct.annual_metric), via, general):
+        assert a.columns == b.columns == c.columns
+        rows = sorted(map(tuple, a.collect()))
+        assert rows == sorted(map(tuple, b.collect())) == sorted(map(tuple, c.collect()))
