@@ -27,9 +27,22 @@ def parse_json(text: Column | str, schema: T.StructType | str, options: dict | N
     return F.from_json(text, schema, opts)
 
 
+def parsed_once(df: DataFrame, keep: list[str], parsed: Column, name: str) -> DataFrame:
+    """``keep`` columns plus the struct ``parsed`` as column ``name``, through a
+    one-element generator.
+
+    Catalyst pushes filters below projections by substituting aliases, which
+    would copy an expensive parse into every predicate that touches it (the
+    text would be parsed once per reference). A generator's output cannot be
+    substituted, so the parse runs exactly once per row and later filters stay
+    above it.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(parsed.alias(name)))))
+
+
 def parse_documents(texts: DataFrame, col: str = "doc") -> DataFrame:
     """Document text -> ``symbol, metric, series`` (declared schema, no inference)."""
-    return texts.select(parse_json(F.col(col), DOC_SCHEMA).alias("_d")).select("_d.*")
+    return parsed_once(texts, [], parse_json(F.col(col), DOC_SCHEMA), "_d").select("_d.*")
 
 
 def with_quarantine(df: DataFrame, text_col: str, schema: T.StructType) -> DataFrame:
@@ -40,7 +53,7 @@ def with_quarantine(df: DataFrame, text_col: str, schema: T.StructType) -> DataF
     """
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     parsed = parse_json(F.col(text_col), with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
-    out = df.withColumn("_p", parsed)
+    out = parsed_once(df, df.columns, parsed, "_p")
     reason = (F.when(F.col(text_col).isNull(), F.lit("null input"))
               .when(F.col(f"_p.{CORRUPT}").isNotNull(), F.lit("malformed json")))
     return out.select(

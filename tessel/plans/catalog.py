@@ -49,9 +49,22 @@ def query(name: str):
     return register
 
 
+_BASE_PLANS: dict[tuple, tuple[SparkSession, DataFrame]] = {}
+
+
 def docs(spark: SparkSession, sf_dir: str, gappy: bool = False) -> DataFrame:
-    """Landed document text parsed with the declared schema."""
-    return parse_documents(document_text(spark, sf_dir, gappy))
+    """Landed document text parsed with the declared schema.
+
+    The base plan is defined once per session and input folder and shared by
+    the queries built on it (a lazy plan, not cached data: every query still
+    runs the whole derivation from the tables).
+    """
+    key = (id(spark), sf_dir.rstrip("/"), gappy)
+    hit = _BASE_PLANS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, parse_documents(document_text(spark, sf_dir, gappy)))
+        _BASE_PLANS[key] = hit
+    return hit[1]
 
 
 # --- series alignment (R1, R2, P5, P8, J2) ------------------------------------

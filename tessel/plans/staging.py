@@ -9,7 +9,6 @@ one projection per fact. Past the parse, no step shuffles.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,18 +16,31 @@ from pyspark.sql import functions as F
 from ..operators import facts, reshape, series
 
 
-@dataclass
 class Staging:
-    metric: DataFrame
-    quarterly_metric: DataFrame
-    annual_metric: DataFrame
+    """The three staging tables. Each is a lazy plan built on first access,
+    so asking for one table never builds (or runs) the other two."""
 
+    def __init__(self, metric, quarterly_metric, annual_metric):
+        self._make = {"metric": metric, "quarterly_metric": quarterly_metric,
+                      "annual_metric": annual_metric}
+        self._built: dict[str, DataFrame] = {}
 
-@dataclass
-class Facts:
-    metric: DataFrame
-    quarterly_metric: DataFrame
-    annual_metric: DataFrame
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._built:
+            make = self._make[name]
+            self._built[name] = make() if callable(make) else make
+        return self._built[name]
+
+    metric = property(lambda self: self._get("metric"))
+    quarterly_metric = property(lambda self: self._get("quarterly_metric"))
+    annual_metric = property(lambda self: self._get("annual_metric"))
+
+    def tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return self.metric, self.quarterly_metric, self.annual_metric
+
+
+class Facts(Staging):
+    """The three fact tables, lazily built like :class:`Staging`."""
 
 
 def discover_metrics(docs: DataFrame) -> tuple[list[str], list[str]]:
@@ -55,22 +67,24 @@ def stage(docs: DataFrame, metric_keys: Sequence[str], series_metrics: Sequence[
     materialising one table does not generate the rows of the other two.
     Series-bearing (W3) is decided per document; nothing shuffles.
     """
-    bearing = F.expr(f"{series.has_points_sql('quarterly', series_metrics)} AND "
-                     f"{series.has_points_sql('annual', series_metrics)}")
-    metric = reshape.metric_wide(docs, metric_keys)
-    with_series = docs.filter(bearing)
-    quarterly = series.align_freq(with_series, "quarterly", series_metrics, align_mode, prefix="quarterly_")
-    annual = series.align_freq(with_series, "annual", series_metrics, align_mode, prefix="annual_")
-    return Staging(metric, quarterly.select("date", "symbol", *quarterly.columns[2:]),
-                   annual.select("date", "symbol", *annual.columns[2:]))
+    bearing = (f"{series.has_points_sql('quarterly', series_metrics)} AND "
+               f"{series.has_points_sql('annual', series_metrics)}")
+
+    def series_table(freq: str) -> DataFrame:
+        out = series.align_freq(docs.filter(F.expr(bearing)), freq, series_metrics, align_mode,
+                                prefix=f"{freq}_")
+        return out.select("date", "symbol", *out.columns[2:])
+
+    return Staging(lambda: reshape.metric_wide(docs, metric_keys),
+                   lambda: series_table("quarterly"), lambda: series_table("annual"))
 
 
 def to_facts(staging: Staging, keep_source: bool = False) -> Facts:
     """staging -> typed facts."""
     return Facts(
-        metric=facts.metric_fact(staging.metric),
-        quarterly_metric=facts.series_fact(staging.quarterly_metric, keep_source),
-        annual_metric=facts.series_fact(staging.annual_metric, keep_source),
+        lambda: facts.metric_fact(staging.metric),
+        lambda: facts.series_fact(staging.quarterly_metric, keep_source),
+        lambda: facts.series_fact(staging.annual_metric, keep_source),
     )
 
 

@@ -10,7 +10,8 @@ annual and one quarterly series per metric; supplier attributes give the flat
    roll-up and the nested ``series`` map (conditional ``collect_list``) run
    without further exchanges; a supplier's group is bounded by its number of
    periods, not by its number of lineitems;
-3. a join to ``supplier`` for the metric row (only the supplier side moves).
+3. a sort-merge join to ``supplier`` for the metric row (only the supplier
+   side moves; the per-supplier side keeps its partitioning).
 
 A hot supplier holding a third of lineitem is collapsed by the partial
 aggregation before any row leaves its map task.
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.schema import DOC_SCHEMA, FREQS
+from ..operators.series import sql_ident, sql_str
 from .tables import table
 
 # The series metrics of the derived documents (sorted) and the
@@ -38,6 +40,20 @@ def cents(c: Column | str) -> Column:
     return F.rint(c * 100).cast("bigint")
 
 
+def _per_entity_partitions(spark: SparkSession) -> int:
+    """Partition count for the per-entity stages.
+
+    Everything after the per-supplier shuffle (nesting, JSON, alignment) is
+    CPU-bound per document while its shuffle data is small, so AQE's by-size
+    coalescing would squeeze it into a few tasks. An explicit count (never
+    coalesced) keeps at least one task per core, and the configured shuffle
+    width on a cluster.
+    """
+    conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    width = int(conf) if str(conf).isdigit() else 200
+    return max(width, spark.sparkContext.defaultParallelism, 1)
+
+
 def series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per supplier, frequency and period: metric sums and first ship date.
 
@@ -65,7 +81,7 @@ def series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.lit("quarterly").alias("freq"), F.col("quarter").alias("period")),
             F.struct(F.lit("annual").alias("freq"), F.trunc("quarter", "year").alias("period")),
         )),
-    ).repartition("suppkey")
+    ).repartition(_per_entity_partitions(spark), "suppkey")
     rolled = both.groupBy("suppkey", "freq", "period").agg(
         F.sum("qty").alias("qty"), F.sum("ret").alias("ret"), F.sum("price").alias("price"),
         F.min("first_ship").alias("first_ship"),
@@ -91,25 +107,21 @@ def _per_supplier(per: DataFrame) -> DataFrame:
     One conditional ``collect_list`` per (freq, metric): the group of a
     supplier holds one row per period, so it is bounded by the number of
     periods, not by the supplier's lineitems. Empty arrays and empty
-    frequencies are dropped, as in the landed documents.
+    frequencies are dropped, as in the landed documents. The expressions are
+    Spark SQL text, so each crosses to the JVM in one call.
     """
-    lists = {}
-    aggs = [F.min("first_ship").alias("first_ship")]
+    aggs = [F.expr("min(first_ship)").alias("first_ship")]
     for f in FREQS:
         for m in SERIES_METRICS:
-            name = f"{f}_{m}"
-            lists[(f, m)] = name
-            point = F.struct(F.col("period").alias("period"), F.col(m).alias("v"))
-            aggs.append(F.collect_list(F.when((F.col("freq") == f) & F.col(m).isNotNull(), point)).alias(name))
-    g = per.groupBy("suppkey").agg(*aggs)
+            aggs.append(F.expr(
+                f"collect_list(CASE WHEN freq = {sql_str(f)} AND {sql_ident(m)} IS NOT NULL "
+                f"THEN named_struct('period', period, 'v', {sql_ident(m)}) END)").alias(f"{f}_{m}"))
     by_freq = []
     for f in FREQS:
-        metrics = []
-        for m in SERIES_METRICS:
-            metrics += [F.lit(m), F.sort_array(F.col(lists[(f, m)]), asc=False)]
-        by_freq += [F.lit(f), F.map_filter(F.create_map(*metrics), lambda _, a: F.size(a) > 0)]
-    series = F.map_filter(F.create_map(*by_freq), lambda _, mm: F.size(mm) > 0)
-    return g.select("suppkey", "first_ship", series.alias("series"))
+        inner = ", ".join(f"{sql_str(m)}, sort_array({sql_ident(f + '_' + m)}, false)" for m in SERIES_METRICS)
+        by_freq.append(f"{sql_str(f)}, map_filter(map({inner}), (_k, _a) -> size(_a) > 0)")
+    series = F.expr(f"map_filter(map({', '.join(by_freq)}), (_k, _m) -> size(_m) > 0)")
+    return per.groupBy("suppkey").agg(*aggs).select("suppkey", "first_ship", series.alias("series"))
 
 
 def documents(spark: SparkSession, sf_dir: str, gappy: bool = False) -> DataFrame:
@@ -121,12 +133,13 @@ def documents(spark: SparkSession, sf_dir: str, gappy: bool = False) -> DataFram
     """
     per_supplier = _per_supplier(series_periods(spark, sf_dir))
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    joined = sup.join(per_supplier, sup.s_suppkey == per_supplier.suppkey, "left")
-    metric = F.create_map(
-        F.lit("firstShip"), F.date_format("first_ship", "yyyy-MM-dd"),
-        F.lit("s_acctbal"), F.col("s_acctbal").cast("decimal(12,2)").cast("string"),
-        F.lit("s_nationkey"), F.col("s_nationkey").cast("string"),
-    )
+    # Sort-merge on suppkey: the per-supplier side is already partitioned by
+    # it, so only the supplier side moves, and the per-document work after the
+    # join runs in as many tasks as the per-supplier aggregate has partitions.
+    joined = sup.join(per_supplier.hint("merge"), sup.s_suppkey == per_supplier.suppkey, "left")
+    metric = F.expr("map('firstShip', date_format(first_ship, 'yyyy-MM-dd'), "
+                    "'s_acctbal', CAST(CAST(s_acctbal AS DECIMAL(12,2)) AS STRING), "
+                    "'s_nationkey', CAST(s_nationkey AS STRING))")
     series = F.col("series")
     if gappy:
         k = F.col("s_suppkey") % 10

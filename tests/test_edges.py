@@ -91,7 +91,7 @@ def test_text_metric_becomes_null(spark):  # D6
 def test_one_annual_metric_keeps_all_columns(spark):  # D3
     d = docs_of(spark, doc("O", {"x": "1"}, annual={"a": [("2024-01-01", 1.0)]},
                            quarterly={"a": [("2024-01-01", 1.0)]}))
-    _, q, a = staging.stage(d, ["x"], ["a"]).__dict__.values()
+    _, q, a = staging.stage(d, ["x"], ["a"]).tables()
     assert a.columns == ["date", "symbol", "annual_a"] and a.count() == 1
 
 
