@@ -3,7 +3,6 @@
 import datetime as dt
 import json
 import os
-import tempfile
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -13,7 +12,7 @@ from pyspark.sql import types as T
 
 from tessel.functions import keys
 from tessel.functions.json import parse_documents
-from tessel.functions.schema import (DOC_SCHEMA, array_leaf_fields, array_struct_fields,
+from tessel.functions.schema import (array_leaf_fields, array_struct_fields,
                                      dedupe_columns, empty_frame, require_columns)
 from tessel.operators import joins, quality, reshape, series
 from tessel.session import checkpoint_root, scratch_path
