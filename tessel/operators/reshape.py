@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.schema import TYPE_ANNUAL, TYPE_METRIC, TYPE_QUARTERLY
-from .series import aligned_rows_sql, columns_for, has_points_sql, sql_ident, sql_str
+from .series import aligned_rows_sql, columns_for, has_points_sql, sql_ident, sql_str, with_period_prep
 
 
 def metric_wide(docs: DataFrame, keys: Sequence[str], keep: Sequence[str] = ("symbol",)) -> DataFrame:
@@ -71,17 +71,18 @@ def typed_union(docs: DataFrame, metric_keys: Sequence[str], series_metrics: Seq
     s_null, d_null = "CAST(NULL AS STRING)", "CAST(NULL AS DOUBLE)"
     metric_row = "array(" + row(TYPE_METRIC, "NULL", [f"metric[{sql_str(k)}]" for k in metric_keys],
                                 [d_null] * len(q_spec), [d_null] * len(a_spec)) + ")"
-    q_rows = (f"transform({aligned_rows_sql(q_spec, align_mode)}, _r -> "
+    q_rows = (f"transform({aligned_rows_sql(q_spec, align_mode, tag='_tq')}, _r -> "
               + row(TYPE_QUARTERLY, "_r.date", [s_null] * len(metric_keys),
                     [f"_r.{sql_ident(n)}" for n in q_spec], [d_null] * len(a_spec)) + ")")
-    a_rows = (f"transform({aligned_rows_sql(a_spec, align_mode)}, _r -> "
+    a_rows = (f"transform({aligned_rows_sql(a_spec, align_mode, tag='_ta')}, _r -> "
               + row(TYPE_ANNUAL, "_r.date", [s_null] * len(metric_keys),
                     [d_null] * len(q_spec), [f"_r.{sql_ident(n)}" for n in a_spec]) + ")")
     series_rows = f"concat({q_rows}, {a_rows})"
     if bearing_only:
         keep = f"{has_points_sql('quarterly', series_metrics)} AND {has_points_sql('annual', series_metrics)}"
         series_rows = f"IF({keep}, {series_rows}, slice({series_rows}, 1, 0))"
-    return docs.select(F.expr(f"inline(concat({metric_row}, {series_rows}))"))
+    prepared = with_period_prep(docs, {"_tq": q_spec, "_ta": a_spec}, align_mode)
+    return prepared.select(F.expr(f"inline(concat({metric_row}, {series_rows}))"))
 
 
 def series_bearing(typed: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ matter because no rows of different documents meet.
   row date is the first non-null period in column order, a shorter array is
   padded with nulls;
 * period mode: one row per distinct period over the chosen series, each value
-  the max of the points with that period (deterministic on duplicates).
+  the max of the points with that period (deterministic on duplicates);
+  one sort of the document's points, then each period's run is sliced.
 """
 
 from __future__ import annotations
@@ -54,34 +55,79 @@ def columns_for(freq: str, metrics: Sequence[str], prefix: str = "") -> dict[str
     return {f"{prefix}{m}": (freq, m) for m in metrics}
 
 
-def aligned_rows_sql(spec: ColumnSpec, align: str = "position", series: str = "series") -> str:
+def period_prep_sql(spec: ColumnSpec, tag: str, series: str = "series") -> list[list[tuple[str, str]]]:
+    """Projections to run *before* period-mode alignment: lists of ``(name, sql)``.
+
+    1. ``{tag}_pts``: every point of the spec's series tagged with its series
+       index, sorted once by ``(period, index, v)``;
+    2. ``{tag}_starts``: the offset where each period's run begins (one pass,
+       null-safe, so a null period is a group of its own as in SQL).
+
+    Alignment then slices each run, so a document costs one sort plus linear
+    work, whatever its series length (daily series included). These must be
+    columns of prior projections: an expression referenced inside a lambda
+    would be re-evaluated for every element.
+    """
+    arrays = [series_array_sql(f, m, series) for f, m in spec.values()]
+    tagged = ", ".join(
+        f"transform({a}, _p -> named_struct('period', _p.period, 'i', {i}, 'v', _p.v))"
+        for i, a in enumerate(arrays))
+    pts, starts = sql_ident(f"{tag}_pts"), sql_ident(f"{tag}_starts")
+    return [
+        [(f"{tag}_pts", f"array_sort(flatten(array({tagged})))")],
+        [(f"{tag}_starts",
+          f"filter(transform({pts}, (_x, _j) -> CASE WHEN _j = 0 THEN _j "
+          f"WHEN _x.period <=> {pts}[_j - 1].period THEN -1 ELSE _j END), _j -> _j >= 0)")],
+    ]
+
+
+def with_period_prep(docs: DataFrame, specs: Mapping[str, ColumnSpec], align: str) -> DataFrame:
+    """``docs`` plus the period-mode preparation columns of each tagged spec."""
+    if align != "period":
+        return docs
+    steps: list[list] = [[], []]
+    for tag, spec in specs.items():
+        if spec:
+            for k, cols in enumerate(period_prep_sql(spec, tag)):
+                steps[k] += [F.expr(sql).alias(name) for name, sql in cols]
+    out = docs
+    for cols in steps:
+        if cols:
+            out = out.select("*", *cols)
+    return out
+
+
+def aligned_rows_sql(spec: ColumnSpec, align: str = "position", series: str = "series",
+                     tag: str = "_al") -> str:
     """Per document: SQL for ``array<struct<date, <name>...>>`` of aligned rows.
 
-    Built as one Spark SQL expression (higher-order functions) so the whole
-    expression crosses to the JVM in one call.
+    One Spark SQL expression (higher-order functions), so it crosses to the
+    JVM in one call. Period mode reads the columns of
+    :func:`with_period_prep` for the same ``tag``.
     """
     if align not in ("position", "period"):
         raise ValueError(f"align must be 'position' or 'period', not {align!r}")
     names = list(spec)
-    arrays = [series_array_sql(f, m, series) for f, m in spec.values()]
     if not names:  # no series columns requested: no series rows
         return "CAST(array() AS array<struct<date:date>>)"
     if align == "position":
+        arrays = [series_array_sql(f, m, series) for f, m in spec.values()]
         fields = [f"_z.`{i}`" for i in range(len(names))]
         date = "coalesce(" + ", ".join(f"{x}.period" for x in fields) + ")"
         values = ", ".join(f"{sql_str(n)}, {x}.v" for n, x in zip(names, fields))
         return (f"transform(arrays_zip({', '.join(arrays)}), "
                 f"_z -> named_struct('date', {date}, {values}))")
-    periods = ("array_sort(array_distinct(flatten(array("
-               + ", ".join(f"transform({a}, _p -> _p.period)" for a in arrays) + "))))")
+    pts, starts = sql_ident(f"{tag}_pts"), sql_ident(f"{tag}_starts")
+    run = f"slice({pts}, _s + 1, coalesce(try_element_at({starts}, _k + 2), size({pts})) - _s)"
     values = ", ".join(
-        f"{sql_str(n)}, array_max(transform(filter({a}, _p -> _p.period = _d), _p -> _p.v))"
-        for n, a in zip(names, arrays))
-    return f"transform({periods}, _d -> named_struct('date', _d, {values}))"
+        f"{sql_str(n)}, array_max(transform(filter({run}, _e -> _e.i = {i}), _e -> _e.v))"
+        for i, n in enumerate(names))
+    return (f"transform({starts}, (_s, _k) -> named_struct('date', {pts}[_s].period, {values}))")
 
 
-def aligned_rows(spec: ColumnSpec, align: str = "position", series: str = "series") -> Column:
-    return F.expr(aligned_rows_sql(spec, align, series))
+def aligned_rows(spec: ColumnSpec, align: str = "position", series: str = "series",
+                 tag: str = "_al") -> Column:
+    return F.expr(aligned_rows_sql(spec, align, series, tag))
 
 
 def has_points_sql(freq: str, metrics: Sequence[str], series: str = "series") -> str:
@@ -98,7 +144,8 @@ def has_points_sql(freq: str, metrics: Sequence[str], series: str = "series") ->
 def align(docs: DataFrame, spec: ColumnSpec, align: str = "position",
           keep: Sequence[str] = ("symbol",)) -> DataFrame:
     """Aligned wide frame: ``*keep, date, <spec names>``."""
-    return docs.select(*keep, F.inline(aligned_rows(spec, align)))
+    prepared = with_period_prep(docs, {"_al": spec}, align)
+    return prepared.select(*keep, F.inline(aligned_rows(spec, align, tag="_al")))
 
 
 def align_freq(docs: DataFrame, freq: str, metrics: Sequence[str], align_mode: str = "position",

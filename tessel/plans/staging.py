@@ -96,5 +96,6 @@ def legacy_wide(docs: DataFrame, metric_keys: Sequence[str], series_metrics: Seq
     spec: dict[str, tuple[str, str]] = {}
     for f in ("annual", "quarterly"):
         spec.update(series.columns_for(f, series_metrics, f"{f}_"))
-    return docs.select("symbol", *[F.col("metric")[k].alias(k) for k in metric_keys],
-                       F.inline(series.aligned_rows(spec, "period")))
+    prepared = series.with_period_prep(docs, {"_lw": spec}, "period")
+    return prepared.select("symbol", *[F.col("metric")[k].alias(k) for k in metric_keys],
+                           F.inline(series.aligned_rows(spec, "period", tag="_lw")))

@@ -227,3 +227,26 @@ def test_landing_overwrite_replaces_only_its_date(spark):  # K1, S3
     back = landing.read_json(spark, per_symbol, full)
     assert sorted((r.symbol, r.v) for r in back.collect()) == [("X.A", 1.0), ("X.B", 2.0)]
     assert landing.with_path_key(back).select("path_symbol").distinct().count() >= 1
+
+
+point = st.tuples(st.integers(0, 6), st.one_of(st.none(), st.integers(-5, 5).map(float)))
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(arrays=st.lists(st.lists(point, max_size=8), min_size=1, max_size=3))
+def test_period_alignment_matches_brute_force(spark, arrays):
+    """Unsorted arrays, duplicate periods and null values against a plain-Python group-by-max."""
+    metrics = [f"m{i}" for i in range(len(arrays))]
+    day = lambda k: dt.date(2020, 1, 1) + dt.timedelta(days=k)
+    body = {"symbol": "S", "series": {"f": {
+        m: [{"period": day(k).isoformat(), "v": v} for k, v in pts] for m, pts in zip(metrics, arrays)}}}
+    d = parse_documents(spark.createDataFrame([(json.dumps(body),)], "doc string"))
+    got = sorted(tuple(r) for r in series.align_freq(d, "f", metrics, "period").drop("symbol").collect())
+    expected = []
+    for k in sorted({k for pts in arrays for k, _ in pts}):
+        row = [day(k)]
+        for pts in arrays:
+            vals = [v for kk, v in pts if kk == k and v is not None]
+            row.append(max(vals) if vals else None)
+        expected.append(tuple(row))
+    assert got == expected
