@@ -80,7 +80,7 @@ def typed_union(docs: DataFrame, metric_keys: Sequence[str], series_metrics: Seq
     series_rows = f"concat({q_rows}, {a_rows})"
     if bearing_only:
         keep = f"{has_points_sql('quarterly', series_metrics)} AND {has_points_sql('annual', series_metrics)}"
-        series_rows = f"IF({keep}, {series_rows}, slice({series_rows}, 1, 0))"
+        series_rows = f"IF({keep}, {series_rows}, array())"
     prepared = with_period_prep(docs, {"_tq": q_spec, "_ta": a_spec}, align_mode)
     return prepared.select(F.expr(f"inline(concat({metric_row}, {series_rows}))"))
 
