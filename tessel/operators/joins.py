@@ -5,6 +5,13 @@ data through one task (a window with no partition would): the frame is range
 partitioned and sorted within partitions, each row gets its position inside
 its partition, and the per-partition counts (one row per partition, so their
 size is bounded by the partition count) give each partition's offset.
+
+The range-partitioned frame is materialised once with a reliable
+``checkpoint()`` (in the session's shared checkpoint folder) before both
+consumers read it. Otherwise the counts and the rows would come from two
+separately planned range exchanges, whose sampled boundaries need not agree,
+and a recomputation after an executor loss could move rows between
+partitions.
 """
 
 from __future__ import annotations
@@ -14,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -25,8 +34,9 @@ def with_row_index(df: DataFrame, order_cols: Sequence[str], name: str = "rn",
     deterministic across task retries.
     """
     cols = list(order_cols)
+    checkpoint_root(df.sparkSession)  # shared folder (set locally only if unset)
     ranged = (df.repartitionByRange(num_partitions, *cols) if num_partitions
-              else df.repartitionByRange(*cols)).sortWithinPartitions(*cols)
+              else df.repartitionByRange(*cols)).sortWithinPartitions(*cols).checkpoint(eager=True)
     # monotonically_increasing_id = partition id in the upper bits, position
     # within the partition in the lower 33 bits.
     mid = F.monotonically_increasing_id()
