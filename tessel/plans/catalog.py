@@ -429,3 +429,18 @@ def stream_new_symbols(spark, sf_dir):
     o.filter(F.col("day") >= cutoff).write.json(f"{root}/after")
     ingest.track_new_keys(ingest.landing_stream(spark, f"{root}/*", s), ["o_custkey"], key_table, ckpt)
     return spark.read.parquet(key_table).filter(~F.col("batch_id").isin(list(first))).select("o_custkey")
+
+
+@query("weekly_fact_quarterly")
+def weekly_fact_quarterly(spark, sf_dir):
+    """T3/F3 end to end on storage: land documents for a date, run the
+    transformation job (metrics discovered from the data), update the lake
+    twice for the same date (idempotent replace), read the quarterly fact."""
+    from . import jobs
+    landing_root = writers.land_json(documents(spark, sf_dir).drop("suppkey"),
+                                     scratch_path(spark, "doc-landing"), SNAPSHOTS[1])
+    staging_root, lake_root = scratch_path(spark, "staging"), scratch_path(spark, "lake")
+    jobs.transform_landing(spark, landing_root, staging_root, SNAPSHOTS[1])
+    for _ in range(2):
+        jobs.update_lake(spark, staging_root, lake_root, SNAPSHOTS[1], selection=["quarterly_metric"])
+    return spark.read.parquet(f"{lake_root}/quarterly_metric_fact")

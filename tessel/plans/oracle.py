@@ -221,3 +221,7 @@ ORACLE.update({
     "series_long_pivot": BASE + period_sql("quarterly"),
     "stream_new_symbols": ORACLE["new_symbols"],
 })
+
+ORACLE["weekly_fact_quarterly"] = BASE + (
+    f"SELECT date, symbol, quantity, returned, sales, DATE '2024-01-14' AS snapshot_date FROM "
+    f"({period_sql('quarterly', cast='FLOAT')}) WHERE symbol IN {_BEARING}")

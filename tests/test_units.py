@@ -250,3 +250,19 @@ def test_period_alignment_matches_brute_force(spark, arrays):
             row.append(max(vals) if vals else None)
         expected.append(tuple(row))
     assert got == expected
+
+
+def test_jobs_warehouse_selection(spark):  # K4, K9 through the job functions
+    from tessel.plans import jobs
+    from tessel.sources.fixtures import documents
+    land = writers.land_json(documents(spark, "/root/testdata/sf0.001").drop("suppkey"),
+                             scratch_path(spark, "doc-landing"), "2024-01-07")
+    st_root = scratch_path(spark, "staging")
+    paths = jobs.transform_landing(spark, land, st_root, "2024-01-07")
+    assert sorted(paths) == sorted(jobs.STAGING_TABLES)
+    names = jobs.update_warehouse(spark, st_root, "tessel_test", "2024-01-07", selection=["metric"],
+                                  location=scratch_path(spark, "wh"))
+    assert names == ["tessel_test.metric_fact"]
+    m = spark.table("tessel_test.metric_fact")
+    assert m.columns == ["symbol", "firstShip", "s_acctbal", "s_nationkey"]
+    assert m.filter(F.col("firstShip").isNotNull()).count() == 0
