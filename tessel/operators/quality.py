@@ -7,6 +7,7 @@ quarantine table. Quality figures come from one aggregation job.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -59,5 +60,5 @@ def quality_report(df: DataFrame, keys: Sequence[str], values: Sequence[str],
 def observed_count(df: DataFrame, name: str = "records") -> tuple[DataFrame, Observation]:
     """Attach a row-count observation (A3): the count is collected by the job
     that consumes the frame, no extra job."""
-    obs = Observation(name)
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")  # names must not repeat within a session
     return df.observe(obs, F.count(F.lit(1)).alias("num_records")), obs

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from ..functions.schema import DOC_SCHEMA
+from ..operators import quality
 from ..sinks import writers
 from ..sources import landing
 from . import staging
@@ -28,16 +29,24 @@ STAGING_TABLES = ("metric", "quarterly_metric", "annual_metric")
 def transform_landing(spark: SparkSession, landing_root: str, staging_root: str, snapshot_date: str,
                       metric_keys: Sequence[str] | None = None,
                       series_metrics: Sequence[str] | None = None,
-                      align_mode: str = "period", fmt: str = "parquet") -> dict[str, str]:
-    """Landed documents of ``snapshot_date`` -> staging tables; returns their paths."""
+                      align_mode: str = "period", fmt: str = "parquet") -> dict[str, dict]:
+    """Landed documents of ``snapshot_date`` -> staging tables.
+
+    Returns per table its ``path`` and ``rows``; the row counts are
+    observations collected by the write jobs themselves (A3), not extra jobs.
+    """
     docs = landing.scan_date(spark, landing_root, DOC_SCHEMA, snapshot_date)
     if metric_keys is None or series_metrics is None:
         found_keys, found_series = staging.discover_metrics(docs)
         metric_keys = found_keys if metric_keys is None else metric_keys
         series_metrics = found_series if series_metrics is None else series_metrics
     st = staging.stage(docs, metric_keys, series_metrics, align_mode)
-    return {name: writers.stage_write(df, staging_root, name, snapshot_date, fmt)
-            for name, df in zip(STAGING_TABLES, st.tables())}
+    out = {}
+    for name, df in zip(STAGING_TABLES, st.tables()):
+        observed, obs = quality.observed_count(df, f"staging_{name}")
+        path = writers.stage_write(observed, staging_root, name, snapshot_date, fmt)
+        out[name] = {"path": path, "rows": obs.get["num_records"]}
+    return out
 
 
 def _read_staging(spark: SparkSession, staging_root: str, snapshot_date: str, fmt: str) -> staging.Staging:
