@@ -28,7 +28,7 @@ HEADLINE = [
     "metric_catalog", "legacy_wide", "freq_full_outer",
     "documents_for_symbols", "json_parse_props", "quarantine", "quality_report_quarterly",
     "new_symbols", "zip_join", "symbol_directory", "snapshot_partition",
-    "raw_write_read", "stream_ingest",
+    "raw_write_read", "stream_ingest", "weekly_fact_quarterly",
 ]
 
 

@@ -46,16 +46,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a private one only if unset."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
-        if root:
+        if root and sc is not None:
             sc.setCheckpointDir(root)
     if not root:
         # Only reached in local runs/tests where no shared folder is configured.
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessel-ckpt-"))
-        root = sc.getCheckpointDir()
+        local = tempfile.mkdtemp(prefix="tessel-ckpt-")
+        if sc is not None:
+            sc.setCheckpointDir(local)
+            root = sc.getCheckpointDir()
+        else:
+            root = local
     return root.rstrip("/")
 
 

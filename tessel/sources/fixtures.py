@@ -51,7 +51,11 @@ def _per_entity_partitions(spark: SparkSession) -> int:
     """
     conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
     width = int(conf) if str(conf).isdigit() else 200
-    return max(width, spark.sparkContext.defaultParallelism, 1)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
+        cores = 1
+    return max(width, cores, 1)
 
 
 def series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
