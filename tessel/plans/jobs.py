@@ -1,8 +1,8 @@
 """Batch jobs over dated storage, one call per job (the reference's job list).
 
-* :func:`transform_landing`: landed documents of one date -> three staging
-  tables (S3 scan with partition pruning, optional metric discovery (P4),
-  F1/F2, K2 writes);
+* :func:`transform_landing`: landed documents of one date -> the staging
+  tables in one pass (S3 scan with partition pruning, optional metric
+  discovery (P4), F1/F2, one K2 write partitioned by ``type``);
 * :func:`update_lake`: staging of one date -> fact tables appended to (or
   replacing the date in) the lake (S7, F4, K3), for a selection of outputs (K9);
 * :func:`update_warehouse`: staging of one date -> catalog tables (K4).
@@ -15,10 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import uuid
 
-from ..functions.schema import DOC_SCHEMA
-from ..operators import quality
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.schema import DOC_SCHEMA, TYPE_ANNUAL, TYPE_METRIC, TYPE_QUARTERLY
+from ..operators import reshape
 from ..sinks import writers
 from ..sources import landing
 from . import staging
@@ -29,29 +32,31 @@ STAGING_TABLES = ("metric", "quarterly_metric", "annual_metric")
 def transform_landing(spark: SparkSession, landing_root: str, staging_root: str, snapshot_date: str,
                       metric_keys: Sequence[str] | None = None,
                       series_metrics: Sequence[str] | None = None,
-                      align_mode: str = "period", fmt: str = "parquet") -> dict[str, dict]:
-    """Landed documents of ``snapshot_date`` -> staging tables.
+                      align_mode: str = "period", fmt: str = "parquet") -> dict:
+    """Landed documents of ``snapshot_date`` -> staging, in one pass.
 
-    Returns per table its ``path`` and ``rows``; the row counts are
-    observations collected by the write jobs themselves (A3), not extra jobs.
+    The typed union (W3 decided per document) is written once, partitioned
+    by ``type``, so the landing is parsed once however many staging tables
+    there are. Returns the staging ``path`` and per-type ``rows``, counted by
+    an observation on the write job itself (A3), not by extra jobs.
     """
     docs = landing.scan_date(spark, landing_root, DOC_SCHEMA, snapshot_date)
     if metric_keys is None or series_metrics is None:
         found_keys, found_series = staging.discover_metrics(docs)
         metric_keys = found_keys if metric_keys is None else metric_keys
         series_metrics = found_series if series_metrics is None else series_metrics
-    st = staging.stage(docs, metric_keys, series_metrics, align_mode)
-    out = {}
-    for name, df in zip(STAGING_TABLES, st.tables()):
-        observed, obs = quality.observed_count(df, f"staging_{name}")
-        path = writers.stage_write(observed, staging_root, name, snapshot_date, fmt)
-        out[name] = {"path": path, "rows": obs.get["num_records"]}
-    return out
+    typed = reshape.typed_union(docs, metric_keys, series_metrics, align_mode, bearing_only=True)
+    obs = Observation(f"staging_{uuid.uuid4().hex[:8]}")
+    counted = typed.observe(obs, *[F.count_if(F.col("type") == t).alias(n) for n, t in
+                                   zip(STAGING_TABLES, (TYPE_METRIC, TYPE_QUARTERLY, TYPE_ANNUAL))])
+    path = writers.stage_write_typed(counted, staging_root, snapshot_date, fmt)
+    return {"path": path, "rows": dict(obs.get)}
 
 
 def _read_staging(spark: SparkSession, staging_root: str, snapshot_date: str, fmt: str) -> staging.Staging:
-    return staging.Staging(*[
-        (lambda n=n: landing.stage_read(spark, staging_root, n, snapshot_date, fmt)) for n in STAGING_TABLES])
+    typed = landing.stage_read_typed(spark, staging_root, snapshot_date, fmt)
+    parts = lambda: reshape.split_by_type(typed)  # noqa: E731  (filters prune to one type folder)
+    return staging.Staging(lambda: parts()[0], lambda: parts()[1], lambda: parts()[2])
 
 
 def update_lake(spark: SparkSession, staging_root: str, lake_root: str, snapshot_date: str,

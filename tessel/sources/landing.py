@@ -56,6 +56,11 @@ def stage_read(spark: SparkSession, root: str, name: str, snapshot_date: str,
     return spark.read.format(fmt).load(stage_path(root, snapshot_date, name))
 
 
+def stage_read_typed(spark: SparkSession, root: str, snapshot_date: str, fmt: str = "parquet") -> DataFrame:
+    """The one-pass typed staging of one date (see ``writers.stage_write_typed``)."""
+    return spark.read.format(fmt).load(stage_path(root, snapshot_date, "typed"))
+
+
 def with_path_key(df: DataFrame, name: str = "path_symbol") -> DataFrame:
     """Entity key from each record's source file name."""
     return df.withColumn(name, path_key(F.col("_metadata.file_path")))
