@@ -242,7 +242,9 @@ def json_parse_props(spark, sf_dir):
 
 @query("parquet_scan")
 def parquet_scan(spark, sf_dir):
-    return table(spark, sf_dir, "nation")
+    """A parquet read; only the selected columns reach the scan."""
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 
 
 @query("path_to_key")
@@ -260,9 +262,10 @@ def fanout_key(spark, sf_dir):
 
 @query("zip_join")
 def zip_join(spark, sf_dir):
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return joins.zip_join(sup, ["s_suppkey"], nat, ["n_nationkey"]).select("rn", "s_name", "n_name")
+    """The i-th customer (by key) beside the i-th order (by key)."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return joins.zip_join(cust, ["c_custkey"], orders, ["o_orderkey"]).select("rn", "c_name", "o_orderkey", "o_totalprice")
 
 
 @query("new_symbols")

@@ -177,16 +177,17 @@ ORACLE.update({
         "SELECT s.s_name AS symbol, CAST((SELECT count(DISTINCT freq) FROM pts WHERE pts.suppkey = s.s_suppkey) "
         "AS INTEGER) AS n_freq FROM supplier s WHERE s.s_acctbal > 0"),
     "json_parse_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
-    "parquet_scan": "SELECT * FROM nation",
+    "parquet_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "path_to_key": "SELECT page_id, split_part(string_split(url, '/')[-1], '.', 1) AS key FROM pages",
     "fanout_key": (
         f"SELECT event_id, CASE WHEN contains(meta, '.') THEN split_part(meta, '.', 1) "
         f"ELSE substr(meta, 1, length(meta) - 5) END AS key FROM (SELECT event_id, {_EVENTS_FANOUT} AS meta "
         f"FROM events)"),
     "zip_join": (
-        "SELECT rn, s_name, n_name FROM "
-        "(SELECT s_name, row_number() OVER (ORDER BY s_suppkey) AS rn FROM supplier) "
-        "JOIN (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) AS rn FROM nation) USING (rn)"),
+        "SELECT rn, c_name, o_orderkey, o_totalprice FROM "
+        "(SELECT c_name, row_number() OVER (ORDER BY c_custkey) AS rn FROM customer) "
+        "JOIN (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) "
+        "USING (rn)"),
     "new_symbols": (
         "SELECT DISTINCT o_custkey FROM orders o WHERE o_orderdate >= DATE '1996-01-01' AND NOT EXISTS "
         "(SELECT 1 FROM orders p WHERE p.o_custkey = o.o_custkey AND p.o_orderdate < DATE '1996-01-01')"),
