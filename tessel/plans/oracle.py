@@ -29,7 +29,8 @@ BASE = (
     + "pts AS (" + "\n  UNION ALL".join(_PTS_ONE.format(m=m) for m in ("quantity", "returned", "sales"))
     + "),\n"
     + """gpts AS (
-  SELECT * FROM pts WHERE suppkey % 10 <> 0 AND NOT (suppkey % 10 = 1 AND freq = 'quarterly')),
+  SELECT p.* FROM pts p JOIN supplier s ON s.s_suppkey = p.suppkey
+  WHERE s.s_acctbal >= 1000 AND NOT (s.s_acctbal < 2000 AND p.freq = 'quarterly')),
 met AS (
   SELECT s.s_name AS symbol, s.s_suppkey AS suppkey,
          strftime(f.first_ship, '%Y-%m-%d') AS firstShip,

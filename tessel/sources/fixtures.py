@@ -30,6 +30,10 @@ from .tables import table
 # keys of their flat metric object (sorted).
 SERIES_METRICS = ("quantity", "returned", "sales")
 METRIC_KEYS = ("firstShip", "s_acctbal", "s_nationkey")
+# Balance bounds of the gappy variant (below the first: no
+# series; below the second: annual only).
+GAPPY_NO_SERIES = 1000
+GAPPY_ANNUAL_ONLY = 2000
 
 
 def cents(c: Column | str) -> Column:
@@ -131,9 +135,9 @@ def _per_supplier(per: DataFrame) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str, gappy: bool = False) -> DataFrame:
     """Parsed-shape documents: suppkey, symbol, metric, series.
 
-    ``gappy``: series is null for ``s_suppkey % 10 = 0`` and has no quarterly
-    entry for ``s_suppkey % 10 = 1`` (documented fixture variant; no row is
-    dropped).
+    ``gappy``: suppliers with ``s_acctbal < 1000`` publish no series (null)
+    and those with ``1000 <= s_acctbal < 2000`` publish annual series only
+    (documented fixture variant; every supplier keeps its document).
     """
     per_supplier = _per_supplier(series_periods(spark, sf_dir))
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
@@ -146,9 +150,9 @@ def documents(spark: SparkSession, sf_dir: str, gappy: bool = False) -> DataFram
                     "'s_nationkey', CAST(s_nationkey AS STRING))")
     series = F.col("series")
     if gappy:
-        k = F.col("s_suppkey") % 10
-        series = (F.when(k == 0, F.lit(None).cast(DOC_SCHEMA["series"].dataType))
-                  .when(k == 1, F.map_filter(series, lambda key, _: key != "quarterly"))
+        bal = F.col("s_acctbal")
+        series = (F.when(bal < GAPPY_NO_SERIES, F.lit(None).cast(DOC_SCHEMA["series"].dataType))
+                  .when(bal < GAPPY_ANNUAL_ONLY, F.map_filter(series, lambda key, _: key != "quarterly"))
                   .otherwise(series))
     return joined.select(
         F.col("s_suppkey").alias("suppkey"),
