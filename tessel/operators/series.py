@@ -199,3 +199,20 @@ def freq_full_outer(quarterly: DataFrame, annual: DataFrame,
     full outer join shuffles both sides on the keys, which are unique per side.
     """
     return quarterly.join(annual, list(keys), "full_outer")
+
+
+def doc_freq_full_outer(docs: DataFrame, metrics: Sequence[str],
+                        prefixes: Mapping[str, str] | None = None,
+                        keep: Sequence[str] = ("symbol",)) -> DataFrame:
+    """J3 when both frequencies come from the same document: row-local.
+
+    Equal to aligning each frequency by period and full-outer joining the
+    two on ``(symbol, date)``, but without the join: the document already
+    holds both sides, so the points of every ``freq x metric`` are aligned
+    by period in one pass and nothing is shuffled.
+    """
+    prefixes = dict(prefixes or {"quarterly": "q_", "annual": "a_"})
+    spec: dict[str, tuple[str, str]] = {}
+    for f, p in prefixes.items():
+        spec.update(columns_for(f, metrics, p))
+    return align(docs, spec, "period", keep)

@@ -129,10 +129,8 @@ def series_full_outer(spark, sf_dir):
 
 @query("freq_full_outer")
 def freq_full_outer(spark, sf_dir):
-    d = docs(spark, sf_dir)
-    q = series.align_freq(d, "quarterly", SERIES_METRICS, "period", prefix="q_")
-    a = series.align_freq(d, "annual", SERIES_METRICS, "period", prefix="a_")
-    return series.freq_full_outer(q, a)
+    """J3 on documents: both frequencies side by side, aligned per document."""
+    return series.doc_freq_full_outer(docs(spark, sf_dir), SERIES_METRICS)
 
 
 @query("legacy_wide")

@@ -268,3 +268,19 @@ def test_jobs_warehouse_selection(spark):  # K4, K9 through the job functions
     m = spark.table("tessel_test.metric_fact")
     assert m.columns == ["symbol", "firstShip", "s_acctbal", "s_nationkey"]
     assert m.filter(F.col("firstShip").isNotNull()).count() == 0
+
+
+def test_doc_freq_full_outer_equals_join(spark):  # J3
+    from tessel.operators import series
+    from tessel.plans.catalog import docs
+    from tessel.sources.fixtures import SERIES_METRICS
+    d = docs(spark, "/root/testdata/sf0.001", gappy=True)
+    q = series.align_freq(d, "quarterly", SERIES_METRICS, "period", prefix="q_")
+    a = series.align_freq(d, "annual", SERIES_METRICS, "period", prefix="a_")
+    joined = series.freq_full_outer(q, a)
+    local = series.doc_freq_full_outer(d, SERIES_METRICS)
+    assert sorted(joined.columns) == sorted(local.columns)
+    cols = sorted(local.columns)
+    rows = lambda df: sorted(map(tuple, df.select(*cols).collect()), key=repr)
+    assert rows(joined) == rows(local)
+    assert "Exchange" not in local._jdf.queryExecution().executedPlan().toString().split("Generate")[0]
