@@ -254,7 +254,7 @@ def path_to_key(spark, sf_dir):
 def fanout_key(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     meta = F.concat(F.lit("stock_"), F.col("event_type"),
-                    F.when(F.col("user_id") % 2 == 0, F.lit(".A")).otherwise(F.lit("")), F.lit("_path"))
+                    F.when(F.col("value") >= 100, F.lit(".A")).otherwise(F.lit("")), F.lit("_path"))
     return ev.select("event_id", keys.fanout_key(meta).alias("key"))
 
 
@@ -286,7 +286,8 @@ def snapshot_partition(spark, sf_dir):
 @query("quarantine")
 def quarantine(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    cut = F.when(F.col("event_id") % 7 == 0, F.expr("substring(props, 1, length(props) - 1)")) \
+    # Error events arrive with a truncated payload (last character lost).
+    cut = F.when(F.col("event_type") == "error", F.expr("substring(props, 1, length(props) - 1)")) \
         .otherwise(F.col("props"))
     return quality.quarantine_counts(ev.select("event_id", cut.alias("props")), "props", PROPS_SCHEMA)
 

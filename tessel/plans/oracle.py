@@ -126,7 +126,7 @@ def _quality(src: str, keys: str, cols) -> str:
     return f", agg AS (SELECT {', '.join(aggs)} FROM {src})\n" + "\nUNION ALL ".join(parts)
 
 
-_EVENTS_FANOUT = ("'stock_' || event_type || CASE WHEN user_id % 2 = 0 THEN '.A' ELSE '' END || '_path'")
+_EVENTS_FANOUT = ("'stock_' || event_type || CASE WHEN value >= 100 THEN '.A' ELSE '' END || '_path'")
 
 _FACT_ANNUAL = (f"SELECT date, symbol, quantity, returned, sales FROM ({period_sql('annual', cast='FLOAT')}) "
                 f"WHERE symbol IN {_BEARING}")
@@ -196,7 +196,7 @@ ORACLE.update({
         "SELECT CAST(ts AS DATE) AS snapshot_date, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS label, "
         "count(*) AS n FROM events GROUP BY 1"),
     "quarantine": (
-        "SELECT json_valid(p) AS ok, count(*) AS n FROM (SELECT CASE WHEN event_id % 7 = 0 "
+        "SELECT json_valid(p) AS ok, count(*) AS n FROM (SELECT CASE WHEN event_type = 'error' "
         "THEN substr(props, 1, length(props) - 1) ELSE props END AS p FROM events) GROUP BY 1"),
     "quality_report": BASE.rstrip() + _quality("met", "symbol", ("firstShip", "s_acctbal", "s_nationkey")),
     "quality_report_quarterly": BASE.rstrip() + (
