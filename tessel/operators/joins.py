@@ -63,9 +63,19 @@ def zip_join(left: DataFrame, left_order: Sequence[str], right: DataFrame,
 def new_keys(current: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys of ``current`` absent from ``seen`` (J4, batch form).
 
-    Both sides are de-duplicated first (partial aggregation before the
-    shuffle), so a hot key is one row per side by the time the anti join
-    meets it.
+    An anti join written as one grouped aggregation: the keys of both sides
+    are tagged with their side, unioned, and grouped by key; a key is new if
+    no ``seen`` row reached its group. There is one exchange, and partial
+    aggregation runs before it on both sides, so a hot key leaves each map
+    task as a single row (an anti join of the de-duplicated sides would not
+    keep that: Catalyst pushes the anti join below the ``distinct``, and a
+    sort-merge join would then move every row of a hot key to one task).
+    Null keys never match, as in the anti join: they are always new.
     """
     k = list(keys)
-    return current.select(*k).distinct().join(seen.select(*k).distinct(), k, "left_anti")
+    known = seen.select(*k)
+    for c in k:
+        known = known.filter(F.col(c).isNotNull())
+    tagged = current.select(*k, F.lit(False).alias("_seen")).unionByName(
+        known.select(*k, F.lit(True).alias("_seen")))
+    return tagged.groupBy(*k).agg(F.max("_seen").alias("_seen")).filter(~F.col("_seen")).select(*k)
