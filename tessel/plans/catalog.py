@@ -329,6 +329,17 @@ def raw_scan_date(spark, sf_dir):
     return landing.scan_date(spark, root, EVENT_SCHEMA, SCAN_DATE).select("event_id", writers.DATE_COL, "value")
 
 
+@query("fallback_scan")
+def fallback_scan(spark, sf_dir):
+    """The date's primary path was never written, so the same date of the
+    backcompat landing is read instead."""
+    legacy = _events_landing(spark, sf_dir)
+    primary = scratch_path(spark, "events-primary")  # nothing lands here
+    part = f"{writers.DATE_COL}={SCAN_DATE}"
+    df = landing.read_with_fallback(spark, f"{primary}/{part}", f"{legacy}/{part}", EVENT_SCHEMA)
+    return df.select("event_id", "value")
+
+
 @query("landed_fact_quarterly")
 def landed_fact_quarterly(spark, sf_dir):
     root = writers.land_json(documents(spark, sf_dir).drop("suppkey"),

@@ -206,6 +206,7 @@ ORACLE.update({
     "raw_write_read": "SELECT event_id, CAST(ts AS DATE) AS snapshot_date, value FROM events",
     "raw_scan_date": ("SELECT event_id, CAST(ts AS DATE) AS snapshot_date, value FROM events "
                       "WHERE CAST(ts AS DATE) = DATE '2024-01-15'"),
+    "fallback_scan": "SELECT event_id, value FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'",
     "landed_fact_quarterly": None,  # filled below (same as fact_quarterly)
     "staging_roundtrip": BASE + (
         f"SELECT * FROM ({_prefixed_period('quarterly', 'quarterly_')}) WHERE symbol IN {_BEARING}"),
