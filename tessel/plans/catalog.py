@@ -444,6 +444,17 @@ def stream_new_symbols(spark, sf_dir):
     return spark.read.parquet(key_table).filter(~F.col("batch_id").isin(list(first))).select("o_custkey")
 
 
+@query("staging_counts")
+def staging_counts(spark, sf_dir):
+    """A3: row counts of the three staging tables, observed on the staging
+    write job itself (no extra count jobs), as a frame."""
+    from . import jobs
+    landing_root = writers.land_json(documents(spark, sf_dir).drop("suppkey"),
+                                     scratch_path(spark, "doc-landing"), SNAPSHOTS[1])
+    out = jobs.transform_landing(spark, landing_root, scratch_path(spark, "staging"), SNAPSHOTS[1])
+    return spark.createDataFrame(sorted(out["rows"].items()), "table_name string, n long")
+
+
 @query("weekly_fact_quarterly")
 def weekly_fact_quarterly(spark, sf_dir):
     """T3/F3 end to end on storage: land documents for a date, run the

@@ -207,6 +207,10 @@ ORACLE.update({
     "raw_scan_date": ("SELECT event_id, CAST(ts AS DATE) AS snapshot_date, value FROM events "
                       "WHERE CAST(ts AS DATE) = DATE '2024-01-15'"),
     "fallback_scan": "SELECT event_id, value FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'",
+    "staging_counts": BASE + (
+        "SELECT 'metric' AS table_name, count(*) AS n FROM met UNION ALL "
+        f"SELECT 'quarterly_metric', count(*) FROM ({period_sql('quarterly')}) WHERE symbol IN {_BEARING} "
+        f"UNION ALL SELECT 'annual_metric', count(*) FROM ({period_sql('annual')}) WHERE symbol IN {_BEARING}"),
     "landed_fact_quarterly": None,  # filled below (same as fact_quarterly)
     "staging_roundtrip": BASE + (
         f"SELECT * FROM ({_prefixed_period('quarterly', 'quarterly_')}) WHERE symbol IN {_BEARING}"),
