@@ -44,14 +44,23 @@ def cents(c: Column | str) -> Column:
     return F.rint(c * 100).cast("bigint")
 
 
-def _per_entity_partitions(spark: SparkSession) -> int:
+# Estimated (projected) lineitem input per partition of the per-entity
+# stages: at ~10x reduction by the (supplier, quarter) aggregate this keeps
+# each partition's shuffle data near 50-100 MB at any input size.
+INPUT_BYTES_PER_ENTITY_PARTITION = 1 << 30
+
+
+def _per_entity_partitions(spark: SparkSession, source: DataFrame | None = None) -> int:
     """Partition count for the per-entity stages.
 
     Everything after the per-supplier shuffle (nesting, JSON, alignment) is
     CPU-bound per document while its shuffle data is small, so AQE's by-size
     coalescing would squeeze it into a few tasks. An explicit count (never
-    coalesced) keeps at least one task per core, and the configured shuffle
-    width on a cluster.
+    coalesced) keeps at least one task per core and the configured shuffle
+    width, and grows with the input: the planner's size estimate of the
+    pruned ``source`` scan (no job runs) gives one partition per
+    :data:`INPUT_BYTES_PER_ENTITY_PARTITION`, so a fixed configured width
+    cannot leave multi-GB partitions at a large scale factor.
     """
     conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
     width = int(conf) if str(conf).isdigit() else 200
@@ -59,7 +68,14 @@ def _per_entity_partitions(spark: SparkSession) -> int:
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
         cores = 1
-    return max(width, cores, 1)
+    by_size = 1
+    if source is not None:
+        try:
+            est = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+            by_size = -(-est // INPUT_BYTES_PER_ENTITY_PARTITION)
+        except Exception:  # no JVM plan access (e.g. Spark Connect): configured width only
+            by_size = 1
+    return max(width, cores, by_size, 1)
 
 
 def series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +91,8 @@ def series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     partitioning, so no further exchange is planned. The sums are fixed-point
     longs, so the annual roll-up equals a direct annual sum exactly.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
     day = F.to_date("l_shipdate")
     qty = cents("l_quantity")
     returned = (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.08)
@@ -89,7 +106,7 @@ def series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.lit("quarterly").alias("freq"), F.col("quarter").alias("period")),
             F.struct(F.lit("annual").alias("freq"), F.trunc("quarter", "year").alias("period")),
         )),
-    ).repartition(_per_entity_partitions(spark), "suppkey")
+    ).repartition(_per_entity_partitions(spark, li), "suppkey")
     rolled = both.groupBy("suppkey", "freq", "period").agg(
         F.sum("qty").alias("qty"), F.sum("ret").alias("ret"), F.sum("price").alias("price"),
         F.min("first_ship").alias("first_ship"),
