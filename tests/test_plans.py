@@ -100,3 +100,16 @@ def test_row_index_broadcasts_only_partition_offsets(spark):
     assert len(bcast) == 1
     # the broadcast side is the per-partition count table (keys: partition id)
     assert "_pid" in p.split("BroadcastExchange", 1)[1].splitlines()[1]
+
+
+def test_dated_scan_prunes_partitions(spark):  # S3
+    p = plan(QUERIES["raw_scan_date"](spark, SF_SMALL))
+    scan = [ln for ln in p.splitlines() if "FileScan json" in ln][0]
+    assert re.search(r"PartitionFilters: \[[^\]]*snapshot_date#\d+ = 2024-01-15", scan), scan
+    assert "ReadSchema: struct<event_id:bigint,value:double>" in scan
+
+
+def test_top_k_is_not_a_global_sort(spark):  # L2
+    p = plan(QUERIES["symbol_top100"](spark, SF_SMALL))
+    assert "TakeOrderedAndProject(limit=100" in p and not exchanges(p)
+    assert "ReadSchema: struct<c_name:string>" in p
