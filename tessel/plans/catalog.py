@@ -27,6 +27,7 @@ from . import staging
 
 # Fixed values used by the catalogue's queries.
 SOURCE_NAME = "fundamentals"
+DIRECTORY_REGION = "AMERICA"
 NEW_KEY_CUTOFF = "1996-01-01"
 SNAPSHOTS = ("2024-01-07", "2024-01-14")
 SCAN_DATE = "2024-01-15"
@@ -212,10 +213,15 @@ def ragged_union(spark, sf_dir):
 
 @query("symbol_directory")
 def symbol_directory(spark, sf_dir):
+    """Equality predicates on the record (segment) and on its
+    listing region (a dimension attribute, as the exchange is for a symbol)."""
     c = table(spark, sf_dir, "customer")
-    pred = ((F.col("c_mktsegment") == "BUILDING") & F.col("c_nationkey").between(0, 9)
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    listed = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    pred = ((F.col("c_mktsegment") == "BUILDING") & (F.col("r_name") == DIRECTORY_REGION)
             & (F.col("c_acctbal") > 0))
-    return directory.sorted_symbols(directory.directory(c, "c_name", pred))
+    return directory.sorted_symbols(directory.directory(listed, "c_name", pred))
 
 
 @query("symbol_top100")

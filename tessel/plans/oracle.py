@@ -171,8 +171,9 @@ ORACLE.update({
         "SELECT symbol, s_acctbal, s_nationkey, 'a' AS snapshot FROM met UNION ALL BY NAME "
         "SELECT symbol, firstShip, s_acctbal, 'b' AS snapshot FROM met"),
     "symbol_directory": (
-        "SELECT c_name AS symbol FROM customer WHERE c_mktsegment = 'BUILDING' "
-        "AND c_nationkey BETWEEN 0 AND 9 AND c_acctbal > 0 ORDER BY c_name"),
+        "SELECT c_name AS symbol FROM customer JOIN nation ON c_nationkey = n_nationkey "
+        "JOIN region ON n_regionkey = r_regionkey WHERE c_mktsegment = 'BUILDING' "
+        "AND r_name = 'AMERICA' AND c_acctbal > 0 ORDER BY c_name"),
     "symbol_top100": "SELECT c_name AS symbol FROM customer ORDER BY c_name LIMIT 100",
     "documents_for_symbols": BASE + (
         "SELECT s.s_name AS symbol, CAST((SELECT count(DISTINCT freq) FROM pts WHERE pts.suppkey = s.s_suppkey) "
