@@ -426,6 +426,19 @@ def staged_fact_annual(spark, sf_dir):
     return staging.to_facts(staged).annual_metric
 
 
+@query("staged_freq_full_outer")
+def staged_freq_full_outer(spark, sf_dir):
+    """J3 in its two-frame form: the staged quarterly and annual tables, read
+    back from storage as independent frames, side by side on (symbol, date)."""
+    st = staging.stage(docs(spark, sf_dir), METRIC_KEYS, SERIES_METRICS)
+    root = scratch_path(spark, "staging")
+    for name, df in (("quarterly_metric", st.quarterly_metric), ("annual_metric", st.annual_metric)):
+        writers.stage_write(df, root, name, SNAPSHOTS[0])
+    q = landing.stage_read(spark, root, "quarterly_metric", SNAPSHOTS[0])
+    a = landing.stage_read(spark, root, "annual_metric", SNAPSHOTS[0])
+    return series.freq_full_outer(q, a)
+
+
 @query("series_long_pivot")
 def series_long_pivot(spark, sf_dir):
     """J2 in its multi-row form: long points pivoted back to wide (one shuffle)."""

@@ -212,6 +212,10 @@ ORACLE.update({
         "SELECT 'metric' AS table_name, count(*) AS n FROM met UNION ALL "
         f"SELECT 'quarterly_metric', count(*) FROM ({period_sql('quarterly')}) WHERE symbol IN {_BEARING} "
         f"UNION ALL SELECT 'annual_metric', count(*) FROM ({period_sql('annual')}) WHERE symbol IN {_BEARING}"),
+    "staged_freq_full_outer": BASE + (
+        f"SELECT * FROM (SELECT * FROM ({_prefixed_period('quarterly', 'quarterly_')}) "
+        f"WHERE symbol IN {_BEARING}) q FULL JOIN (SELECT * FROM ({_prefixed_period('annual', 'annual_')}) "
+        f"WHERE symbol IN {_BEARING}) a USING (symbol, date)"),
     "landed_fact_quarterly": None,  # filled below (same as fact_quarterly)
     "staging_roundtrip": BASE + (
         f"SELECT * FROM ({_prefixed_period('quarterly', 'quarterly_')}) WHERE symbol IN {_BEARING}"),
