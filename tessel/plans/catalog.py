@@ -269,7 +269,8 @@ def zip_join(spark, sf_dir):
     """The i-th customer (by key) beside the i-th order (by key)."""
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return joins.zip_join(cust, ["c_custkey"], orders, ["o_orderkey"]).select("rn", "c_name", "o_orderkey", "o_totalprice")
+    return joins.zip_join(cust, ["c_custkey"], orders, ["o_orderkey"]) \
+        .select("rn", "c_name", "o_orderkey", "o_totalprice")
 
 
 @query("new_symbols")
