@@ -237,3 +237,22 @@ ORACLE.update({
 ORACLE["weekly_fact_quarterly"] = BASE + (
     f"SELECT date, symbol, quantity, returned, sales, DATE '2024-01-14' AS snapshot_date FROM "
     f"({period_sql('quarterly', cast='FLOAT')}) WHERE symbol IN {_BEARING}")
+
+# The landed JSON text itself. Points nested per (freq, metric) in
+# descending period order, map keys in name order, ``series`` left out when
+# a document has none (Spark's writer omits null fields).
+_METRIC_MAP = "map(['firstShip', 's_acctbal', 's_nationkey'], [m.firstShip, m.s_acctbal, m.s_nationkey])"
+ORACLE["to_json_doc"] = BASE + f""",
+arrs AS (SELECT symbol, freq, metric,
+                list(struct_pack(period := period, v := v) ORDER BY period DESC, v DESC) AS pts
+         FROM pts GROUP BY symbol, freq, metric),
+freqs AS (SELECT symbol, freq, map_from_entries(list((metric, pts) ORDER BY metric)) AS fm
+          FROM arrs GROUP BY symbol, freq),
+docs AS (SELECT symbol, map_from_entries(list((freq, fm) ORDER BY freq)) AS series
+         FROM freqs GROUP BY symbol)
+SELECT m.symbol AS symbol,
+       CAST(CASE WHEN d.series IS NULL
+                 THEN to_json(struct_pack(symbol := m.symbol, metric := {_METRIC_MAP}))
+                 ELSE to_json(struct_pack(symbol := m.symbol, metric := {_METRIC_MAP}, series := d.series))
+            END AS VARCHAR) AS raw
+FROM met m LEFT JOIN docs d ON d.symbol = m.symbol"""
