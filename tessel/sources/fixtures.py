@@ -56,26 +56,29 @@ def _per_entity_partitions(spark: SparkSession, source: DataFrame | None = None)
     Everything after the per-supplier shuffle (nesting, JSON, alignment) is
     CPU-bound per document while its shuffle data is small, so AQE's by-size
     coalescing would squeeze it into a few tasks. An explicit count (never
-    coalesced) keeps at least one task per core and the configured shuffle
-    width, and grows with the input: the planner's size estimate of the
-    pruned ``source`` scan (no job runs) gives one partition per
-    :data:`INPUT_BYTES_PER_ENTITY_PARTITION`, so a fixed configured width
-    cannot leave multi-GB partitions at a large scale factor.
+    coalesced) keeps at least one task per core and grows with the input:
+    the planner's size estimate of the pruned ``source`` scan (no job runs)
+    gives one partition per :data:`INPUT_BYTES_PER_ENTITY_PARTITION`. It does
+    not follow ``spark.sql.shuffle.partitions``: a fixed setting would leave
+    multi-GB partitions at a large scale factor, and hundreds of near-empty
+    tasks on small inputs. Without a size estimate (no JVM plan access) the
+    configured width is used.
     """
-    conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
-    width = int(conf) if str(conf).isdigit() else 200
     try:
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
         cores = 1
-    by_size = 1
+    by_size = None
     if source is not None:
         try:
             est = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
             by_size = -(-est // INPUT_BYTES_PER_ENTITY_PARTITION)
-        except Exception:  # no JVM plan access (e.g. Spark Connect): configured width only
-            by_size = 1
-    return max(width, cores, by_size, 1)
+        except Exception:  # no JVM plan access (e.g. Spark Connect)
+            by_size = None
+    if by_size is None:
+        conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
+        by_size = int(conf) if str(conf).isdigit() else 200
+    return max(cores, by_size, 1)
 
 
 def series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -291,7 +291,7 @@ def test_entity_width_grows_with_input(spark, monkeypatch):
     from tessel.sources.tables import table
     li = table(spark, "/root/testdata/sf0.01", "lineitem").select("l_suppkey", "l_quantity")
     base = fixtures._per_entity_partitions(spark, li)
-    assert base >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert base >= spark.sparkContext.defaultParallelism
     est = int(li._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     monkeypatch.setattr(fixtures, "INPUT_BYTES_PER_ENTITY_PARTITION", max(est // (base * 4), 1))
     assert fixtures._per_entity_partitions(spark, li) >= base * 4
