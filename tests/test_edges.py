@@ -153,3 +153,33 @@ def test_fact_keep_source(spark):  # D4
     f = facts.series_fact(st.annual_metric.withColumnRenamed("annual_a", "annual.a"), keep_source=True)
     assert f.columns == ["date", "symbol", "annual.a", "a"]
     assert f.select(F.col("a")).collect()[0][0] == 1.5
+
+
+def test_union_nulls_are_typed(spark):  # D2
+    d = docs_of(spark, doc("S", {"x": "1"}, annual={"a": [("2024-01-01", 1.5)]},
+                           quarterly={"a": [("2024-01-01", 1.0)]}))
+    t = reshape.typed_union(d, ["x"], ["a"])
+    types = dict(t.dtypes)
+    assert types["x"] == "string" and types["quarterly_a"] == "double" and types["annual_a"] == "double"
+    metric_row = t.filter(F.col("type") == "metric").collect()[0]
+    assert metric_row["quarterly_a"] is None and metric_row["x"] == "1"
+    annual_row = t.filter(F.col("type") == "annual_metric").collect()[0]
+    assert annual_row["annual_a"] == 1.5 and isinstance(annual_row["annual_a"], float)
+
+
+def test_fact_symbol_is_a_real_string_cast(spark):  # D5
+    staged = spark.createDataFrame([(D(2024, 1, 1), 42, "2.5")], "date date, symbol int, quarterly_a string")
+    f = facts.series_fact(staged)
+    assert dict(f.dtypes) == {"date": "date", "symbol": "string", "a": "float"}
+    assert f.collect()[0]["symbol"] == "42"
+
+
+def test_symbol_first_in_every_staging_table(spark):  # D21, P15
+    d = docs_of(spark, doc("S", {"x": "1"}, annual={"a": [("2024-01-01", 1.5)]},
+                           quarterly={"a": [("2024-01-01", 1.0)]}),
+                doc("M", {"x": "2"}))
+    st = staging.stage(d, ["x"], ["a"])
+    assert st.metric.columns[0] == "symbol"
+    assert st.quarterly_metric.columns[:2] == ["date", "symbol"]
+    assert st.annual_metric.columns[:2] == ["date", "symbol"]
+    assert sorted(r.symbol for r in st.metric.collect()) == ["M", "S"]
