@@ -38,13 +38,15 @@ def quality_report(df: DataFrame, keys: Sequence[str], values: Sequence[str],
 
     * ``n_null``: null values;
     * ``n_bad_cast``: non-null values that do not cast to ``cast_to``;
-    * ``n_dup_keys``: rows beyond the first per key (same for every column).
+    * ``n_dup_keys``: rows beyond the first per key (same for every column);
+      keys compare null-safely, so a null in a key is a value of its own, not
+      a duplicate.
 
     One aggregation over the frame, then a generator to turn the single
     result row into one row per column.
     """
     aggs = [F.count(F.lit(1)).alias("n"),
-            (F.count(F.lit(1)) - F.count_distinct(*[F.col(k) for k in keys])).alias("dup")]
+            (F.count(F.lit(1)) - F.count_distinct(F.struct(*[F.col(k) for k in keys]))).alias("dup")]
     for i, c in enumerate(values):
         col = F.col(c)
         aggs.append(F.count_if(col.isNull()).alias(f"null{i}"))

@@ -183,3 +183,12 @@ def test_symbol_first_in_every_staging_table(spark):  # D21, P15
     assert st.quarterly_metric.columns[:2] == ["date", "symbol"]
     assert st.annual_metric.columns[:2] == ["date", "symbol"]
     assert sorted(r.symbol for r in st.metric.collect()) == ["M", "S"]
+
+
+def test_quality_duplicates_are_null_safe(spark):  # Q2
+    df = spark.createDataFrame(
+        [("S", None, 1.0), ("T", None, 2.0), ("S", D(2024, 1, 1), 3.0), ("S", D(2024, 1, 1), None),
+         ("U", None, 4.0), ("U", None, 5.0)], "symbol string, date date, a double")
+    r = quality.quality_report(df, ["symbol", "date"], ["a"]).collect()[0]
+    # (S, 2024-01-01) and (U, null) each appear twice: two rows beyond the first
+    assert (r.n, r.n_null, r.n_bad_cast, r.n_dup_keys) == (6, 1, 0, 2)
