@@ -74,7 +74,7 @@ def period_prep_sql(spec: ColumnSpec, tag: str, series: str = "series") -> list[
         for i, a in enumerate(arrays))
     pts, starts = sql_ident(f"{tag}_pts"), sql_ident(f"{tag}_starts")
     return [
-        [(f"{tag}_pts", f"array_sort(flatten(array({tagged})))")],
+        [(f"{tag}_pts", f"sort_array(flatten(array({tagged})), true)")],
         [(f"{tag}_starts",
           f"filter(transform({pts}, (_x, _j) -> CASE WHEN _j = 0 THEN _j "
           f"WHEN _x.period <=> {pts}[_j - 1].period THEN -1 ELSE _j END), _j -> _j >= 0)")],
