@@ -53,7 +53,7 @@ def discover_metrics(docs: DataFrame) -> tuple[list[str], list[str]]:
     names = docs.select(F.explode("series").alias("f", "m")) \
         .select(F.explode(F.map_keys("m")).alias("k")).distinct()
     both = keys.withColumn("side", F.lit("metric")).unionByName(names.withColumn("side", F.lit("series")))
-    rows = both.groupBy("side").agg(F.array_sort(F.collect_set("k")).alias("ks")).collect()
+    rows = both.groupBy("side").agg(F.sort_array(F.collect_set("k")).alias("ks")).collect()
     found = {r["side"]: list(r["ks"]) for r in rows}
     return found.get("metric", []), found.get("series", [])
 
