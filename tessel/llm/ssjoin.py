@@ -30,8 +30,12 @@ A list is never expanded into all its pairs. Lists with the same members count
 once. In each list, the member that shares most lists is the *hub*, all others
 are compared with it, and the links found merge the components. After
 ``HUBS`` such rounds, the lists that still hold members of several components
-have the pairs between those (not within them) compared one by one: no link
-between two components goes unseen, so the components are exact.
+are read in blocks of ``BLOCK`` members: of the pairs between components, those pass whose
+*outlines* differ in no more places than linked sets can. An outline holds a byte for each
+of about as many parts of the space of hashes as the set has shingles, the sum of the hashes in
+that part; each place that differs costs a difference at least, so no linked pair is
+lost. What passes is compared on the sets themselves. No link between two components goes
+unseen, so the components are exact.
 
 Edge cases: a null or empty text, or one of white space only, has no set, links
 with nothing and is its own component; fewer than ``k`` words are one shingle;
@@ -58,7 +62,7 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_small, settle
 from .components import components
 
-LIGHT, LIST_COST, HUBS = 24, 2.0, 2
+LIGHT, LIST_COST, HUBS, BLOCK = 24, 2.0, 2, 512
 GOLDEN = 0x9E3779B97F4A7C15
 MAX = np.iinfo(np.int64).max
 
@@ -154,6 +158,18 @@ class Jaccard:
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
+def outline(u: np.ndarray) -> np.ndarray:
+    """A byte for each of 2 ** ceil(log2(n)) equal parts of the space of hashes: the sum of the (mixed) hashes in it."""
+    bits = max(1, int(u.size - 1).bit_length())
+    out = np.bincount((u >> np.uint64(64 - bits)).astype(np.int64), weights=(mix(u + np.uint64(0x1B873593)) >> np.uint64(56)).astype(float), minlength=1 << bits)
+    return out.astype(np.int64).astype(np.uint8)
+
+
+def folded(x: np.ndarray, size: int) -> np.ndarray:
+    """The outline in fewer parts: sums of neighbours are the sums of the joint parts."""
+    return x if x.size == size else x.reshape(size, -1).sum(1, dtype=np.uint8)
+
+
 _EDGES: dict[int, np.ndarray] = {}
 
 
@@ -229,17 +245,60 @@ def lists(posts: DataFrame) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, classes: DataFrame, keys: DataFrame, j: Jaccard) -> DataFrame:
-    """(key, text) of one document for each of the keys."""
+    """(key, text, outline) of one document for each of the keys."""
     one = classes.join(keys, "key").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     rows = docs.join(one, F.coalesce(docs["doc_id"], F.lit(MAX)) == F.coalesce(one["doc_id"], F.lit(MAX))).select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Several texts may have one id: only the one of the key's set passes."""
         for b in batches:
-            keep = [key_of(u) == k if (u := shingles(t, j.k)).size else False for k, t in zip(b.column(0).to_pylist(), _bytes(b.column(1)), strict=True)]
-            yield b.filter(pa.array(keep))
+            found = [shingles(t, j.k) for t in _bytes(b.column(1))]
+            keep = [u.size > 0 and key_of(u) == k for k, u in zip(b.column(0).to_pylist(), found, strict=True)]
+            outlines = pa.array([outline(u).tobytes() if ok else None for u, ok in zip(found, keep, strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), outlines], ["key", "text", "outline"]).filter(pa.array(keep))
+
+    return rows.mapInArrow(run, "key long, text string, outline binary").dropDuplicates(["key"])
+
+
+def across(rows: DataFrame, outlines: DataFrame, j: Jaccard) -> DataFrame:
+    """Pairs (a, b) of one list and of different roots that their outlines let pass. rows: list, key, root, n."""
+    sizes = rows.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = rows.join(sizes, "list").join(outlines, "key").withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("list", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "key", "root", "n", "outline")
+    names = ["list", "i", "j", "mine", "key", "root", "n", "outline"]
+
+    def pairs(group: list[tuple]) -> Iterator[pa.RecordBatch]:
+        i, k = group[0][1], group[0][2]
+        place, key, root, n = (np.array([g[c] for g in group]) for c in (3, 4, 5, 6))
+        x = [np.frombuffer(g[7], np.uint8) for g in group]
+        size = min(map(len, x))
+        x = np.array([folded(y, size) for y in x])
+        rest = np.flatnonzero(place == k)
+        a, b = [], []
+        for r in np.flatnonzero(place == i):
+            c = rest[(root[rest] != root[r]) & (j.den * np.minimum(n[rest], n[r]) >= j.num * np.maximum(n[rest], n[r]))]
+            if i == k:
+                c = c[c > r]
+            if c.size:
+                c = c[np.count_nonzero(x[c] != x[r], axis=1) <= (j.den - j.num) * (n[c] + n[r]) // (j.den + j.num)]
+                a += [key[r]] * c.size
+                b += key[c].tolist()
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        for batch in batches:
+            for row in zip(*[batch.column(c).to_pylist() for c in names], strict=True):
+                if group and row[:3] != group[0][:3]:
+                    yield from pairs(group)
+                    group = []
+                group.append(row)
+        if group:
+            yield from pairs(group)
 
-    return rows.mapInArrow(run, "key long, text string").dropDuplicates(["key"])
+    return dealt.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j").mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, j: Jaccard) -> DataFrame:
@@ -280,9 +339,7 @@ def links(docs: DataFrame, classes: DataFrame, j: Jaccard) -> DataFrame:
             both = rows.join(hubs, "list").filter((F.col("root") != F.col("h.root")) & _fits(F.col("n"), F.col("h.n"), j))
             pairs = both.select(F.col("key").alias("a"), F.col("h.key").alias("b"))
         else:
-            l, r = (rows.select("list", *[F.col(c).alias(c + s) for c in ("key", "n", "root")]) for s in "ab")
-            pairs = l.join(r, "list").filter((F.col("keya") < F.col("keyb")) & (F.col("roota") != F.col("rootb")) & _fits(F.col("na"), F.col("nb"), j))
-            pairs = pairs.select(F.col("keya").alias("a"), F.col("keyb").alias("b"))
+            pairs = across(rows.select("list", "key", "root", "n"), texts.select("key", "outline"), j)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = settle(pairs.join(done, ["a", "b"], "left_anti") if done is not None else pairs, "join-pairs")
         new = settle(verified(pairs, texts, j), "join-links")
