@@ -51,10 +51,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .bpe import CHUNKS, KEEP
+from .bpe import CHUNKS
 from .common import settle, whole
 
-LENGTH, BATCH, END = 1024, 256, 0
+LENGTH, BATCH, END, KEEP = 1024, 256, 0, 1 << 19
 MANIFEST = "part int, file string, docs_file string, docs long, tokens long"
 
 

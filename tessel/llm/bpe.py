@@ -16,8 +16,9 @@ copies, lacks it; a newer arc ``uv`` is there if the arc ``u`` was when the
 gadget added it.
 
 Encoding: a text is split into words by the vocabulary's pattern; within a
-word, the states along its bytes are filled from left to right by the table
-(each prefix of a word has one token sequence, so one arc into each position).
+word, the table leads from state to state, by the longest label that has an arc, and
+back where there is no way on (each prefix of a word has one token sequence, so a place
+that led nowhere is never entered again).
 Decoding emits the labels of the arcs: the bytes of each token.
 
 Texts are encoded by chunks (white space and what follows up to the next white
@@ -45,7 +46,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 BLANK = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: White space and what follows up to the next white space; the pattern's words cross no such boundary.
 CHUNKS = re.compile(f"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+")
-KEEP = 1 << 19
+KEEP = 1 << 20
 
 
 def alphabet() -> dict[str, int]:
@@ -115,26 +116,41 @@ class Automaton:
         return got
 
     def word(self, w: bytes) -> list[int]:
-        """The tokens of a pre-split word."""
+        """The tokens of a pre-split word: the only way through the automaton that spells it.
+
+        Longest labels first; a place once reached is not entered again, as a
+        prefix has one token sequence and so leads to one state.
+        """
         steps, target, has, arcs, n = self.steps, self.target, self.has, self._arcs, len(w)
-        state, back, token = [0] + [-1] * n, [0] * (n + 1), [0] * (n + 1)
-        for start in range(n):
-            here = state[start]
-            if here < 0:
-                continue
-            for end in range(start + 1, n + 1):
-                t = steps.get(w[start:end])
+        out: list[int] = []
+        open_: list[tuple[int, int, list[tuple[int, int]]]] = []
+        at, state, dead = 0, 0, set()
+        while at < n:
+            labels = []
+            for end in range(at + 1, n + 1):
+                t = steps.get(w[at:end])
                 if t is None:
                     break
-                if t >= 0 and state[end] < 0:
-                    arc = arcs.get(here << 32 | t)
-                    if has(here, t) if arc is None else arc:
-                        state[end], back[end], token[end] = target[t], start, t
-        out = []
-        while n:
-            out.append(token[n])
-            n = back[n]
-        return out[::-1]
+                if t >= 0:
+                    labels.append((end, t))
+            while True:
+                while labels:
+                    end, t = labels.pop()
+                    if end in dead:
+                        continue
+                    arc = arcs.get(state << 32 | t)
+                    if has(state, t) if arc is None else arc:
+                        break
+                else:  # no way on from here
+                    at, state, labels = open_.pop()
+                    out.pop()
+                    continue
+                break
+            open_.append((at, state, labels))
+            out.append(t)
+            at, state = end, target[t]
+            dead.add(end)
+        return out
 
 
 class Codec:
@@ -151,44 +167,50 @@ class Codec:
         self.special = special
         self.words = regex.compile(PATTERN)
         self.marks = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.seen: dict[str, array] = {}
-        self.of_words: dict[str, list[int]] = {}
-
-    def _chunk(self, chunk: str) -> array:
-        ids: list[int] = []
-        for w in self.words.findall(chunk):
-            got = self.of_words.get(w)
-            if got is None:
-                got = self.automaton.word(w.encode())
-                if len(w) < 64:
-                    if len(self.of_words) >= KEEP:
-                        self.of_words.clear()
-                    self.of_words[w] = got
-            ids += got
-        out = array("I", ids)
+        self.seen: dict[str, bytes] = {}
+        self.of_words: dict[str, bytes] = {}
+
+    def _word(self, w: str) -> bytes:
+        return array("I", self.automaton.word(w.encode())).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        words = self.words.findall(chunk)
+        if len(words) == 1:
+            out = self._word(chunk)
+        else:
+            parts = []
+            for w in words:
+                got = self.of_words.get(w)
+                if got is None:
+                    got = self.seen.get(w) or self._word(w)
+                    if len(w) < 64:
+                        if len(self.of_words) >= KEEP // 4:
+                            self.of_words.clear()
+                        self.of_words[w] = got
+                parts.append(got)
+            out = b"".join(parts)
         if len(chunk) < 64:
             if len(self.seen) >= KEEP:
                 self.seen.clear()
             self.seen[chunk] = out
         return out
 
-    def _plain(self, text: str, out: array) -> None:
-        seen, chunk = self.seen, self._chunk
-        for c in CHUNKS.findall(text):
-            got = seen.get(c)
-            out.extend(chunk(c) if got is None else got)
+    def _plain(self, text: str, out: list[bytes]) -> None:
+        get, chunk = self.seen.get, self._chunk
+        out += [get(c) or chunk(c) for c in CHUNKS.findall(text)]
 
     def encode(self, text: str) -> array:
         """The ids. The added tokens' strings in a text become their ids."""
-        out, at = array("I"), 0
+        out: list[bytes] = []
+        at = 0
         if self.marks and any(s in text for s in self.special):
             for m in self.marks.finditer(text):
                 self._plain(text[at : m.start()], out)
-                out.append(self.special[m[0]])
+                out.append(array("I", [self.special[m[0]]]).tobytes())
                 at = m.end()
             text = text[at:]
         self._plain(text, out)
-        return out
+        return array("I", b"".join(out))
 
     def decode(self, ids: array) -> str:
         """The labels of the arcs, as text."""
