@@ -22,9 +22,10 @@ partitioned by hash:
 
 1. by word: every occurrence (h, w, document) goes to the partition of w, which
    holds the complete counts c(w) and c(h, w). A first reading gives the counts
-   of counts; a second one gives each document's sums of all that depends on
-   w: seen bigrams, P(w) of unseen ones, and c(w) once more as the count of the history of what
-   follows;
+   of counts; a second one each document's sums of all that depends on w: seen
+   bigrams, P(w) of unseen ones, and c(w) once more as the count of the history
+   of what follows; a third one what goes to the next table. The shuffle that deals the
+   occurrences is written once and read three times;
 2. by history: the partition of h gets the sums over h's seen words, hence the
    backoff weight a(h), and the unseen occurrences of h, and gives the sums of
    log a(h);
@@ -58,7 +59,7 @@ from .ssjoin import mix
 
 K, KEEP_BACK = 5, 0.05
 BLOCK_TOKENS, HOT_SHARE, HOT = 1 << 21, 0.005, 128
-UNIT = 1e9
+UNIT = 1e8
 U = np.uint64
 END, BEGIN = (U(xxhash.xxh3_64_intdigest(x)) for x in (b"", b" "))  # no word is empty or holds a space
 #: Kinds of rows.
@@ -319,65 +320,60 @@ def log10(x: np.ndarray) -> np.ndarray:
     return np.log10(np.where(x > 0, x, 1.0))
 
 
-def by_word(occ: DataFrame, stats: DataFrame, layout: Layout) -> DataFrame:
-    """Rows of the kinds ABOUT, SUMS (per block), SEEN and UNSEEN (per partition by history)."""
+def by_word(occ: DataFrame, stats: DataFrame, layout: Layout, sums: bool) -> DataFrame:
+    """Rows of the kinds ABOUT and SUMS (per block) or, if not ``sums``, SEEN and UNSEEN (per partition by history).
+
+    The two are read off separately, so that each moves once, to where it is needed.
+    """
     both = occ.withColumn("stats", stats.scalar()).sortWithinPartitions("part", "block")
     parts = layout.parts
 
+    def by_home(h: np.ndarray, kind: int, columns: Callable[[np.ndarray], tuple], sort: bool) -> Iterator[pa.RecordBatch]:
+        """A row for each partition by history; its columns by their places."""
+        home = placed(mix(h), parts)
+        order = np.argsort(home, kind="stable")
+        edges = np.searchsorted(home[order], np.arange(parts + 1))
+        for k in np.flatnonzero(np.diff(edges)):
+            s = order[edges[k] : edges[k + 1]]
+            s = s[np.argsort(h[s], kind="stable")] if sort else s
+            yield one({"part": int(layout.slots[k]), "block": -1, "kind": kind, "blob": pack(deltas(h[s]), *columns(s))})
+
     def make(_: int, rows: list[dict]) -> Iterator[pa.RecordBatch]:
         t, m = Words([(r["block"], r["blob"]) for r in rows], layout), Model(np.array(rows[0]["stats"], np.int64), layout)
-        del rows
+        rows.clear()
         own = t.c_pair.copy()
         hot = t.hot_words >= 0
         t.c_word[hot] = m.hot_words[t.hot_words[hot]]
         hot = t.hot_pairs >= 0
         t.c_pair[hot] = m.hot_pairs[t.hot_pairs[hot]]
-
-        c_w, c_hw = t.c_word[t.word_at], t.c_pair[t.pair_at]
-        seen = c_hw > 0
-        base = np.log10((t.c_word + 0.1) / (m.n + 0.1 * (m.v + 1)))[t.word_at]
-        history = log10(t.c_word.astype(float))[t.word_at]
-        score = np.where(seen, log10(m.kept(t.c_pair, m.d2))[t.pair_at], np.log10(m.p_word(t.c_word))[t.word_at]) - history
-        at = 0
-        missing = ([], [], [])
-        for block, size in zip(t.blocks, t.sizes, strict=True):
-            s = slice(at, at + size)
-            d = t.doc[s]
-            n = int(d.max()) + 1
-            sums = [fixed(np.bincount(d, weights=x[s], minlength=n)) for x in (base, score)]
-            known = np.bincount(d, weights=c_w[s] > 0, minlength=n).astype(np.int64)
-            yield one({"part": int(layout.slots[block % parts]), "block": block, "kind": SUMS, "blob": pack(*sums, known, np.array([m.n]))})
-            gone = ~seen[s]
-            missing[0].append(t.h[s][gone])
-            missing[1].append(np.full(int(gone.sum()), block, np.int64))
-            missing[2].append(d[gone])
-            at += size
+        seen = t.c_pair > 0
+        ends = np.cumsum([0, *t.sizes])
+        if sums:
+            base = np.log10((t.c_word + 0.1) / (m.n + 0.1 * (m.v + 1)))
+            word, history = np.log10(m.p_word(t.c_word)), log10(t.c_word.astype(float))
+            bigram, known = log10(m.kept(t.c_pair, m.d2)), (t.c_word > 0).astype(float)
+            for block, at, end in zip(t.blocks, ends[:-1], ends[1:], strict=True):
+                d, w, p = t.doc[at:end], t.word_at[at:end], t.pair_at[at:end]
+                score = np.where(seen[p], bigram[p], word[w]) - history[w]
+                found = [np.bincount(d, weights=x) for x in (base[w], score, known[w])]
+                yield one({"part": int(layout.slots[block % parts]), "block": block, "kind": SUMS, "blob": pack(fixed(found[0]), fixed(found[1]), found[2].astype(np.int64), np.array([m.n]))})
+            return
         # what the seen pairs add to their history: discounted count, probability of the word, count; a pair in several partitions adds its share
         first = np.empty(t.pairs.size, np.int64)
         first[t.pair_at] = np.arange(t.pair_at.size)
         here = np.flatnonzero(own > 0)
         share = own[here] / t.c_pair[here]
-        h = t.h[first[here]]
-        kept, p = m.kept(t.c_pair[here], m.d2) * share, m.p_word(t.c_word[t.word_at[first[here]]]) * share
-        kinds, to = np.unique(h, return_inverse=True)
-        columns = [np.bincount(to, weights=x, minlength=kinds.size) for x in (kept, p, own[here])]
-        home = placed(mix(kinds), parts)
-        order = np.argsort(home, kind="stable")
-        edges = np.searchsorted(home[order], np.arange(parts + 1))
-        for k in np.flatnonzero(np.diff(edges)):
-            s = order[edges[k] : edges[k + 1]]
-            yield one({"part": int(layout.slots[k]), "block": -1, "kind": SEEN, "blob": pack(deltas(kinds[s]), *(x[s] for x in columns))})
-        h, block, doc = (np.concatenate(x) for x in missing)
-        home = placed(mix(h), parts)
-        order = np.argsort(home, kind="stable")
-        edges = np.searchsorted(home[order], np.arange(parts + 1))
-        for k in np.flatnonzero(np.diff(edges)):
-            s = order[edges[k] : edges[k + 1]]
-            s = s[np.argsort(h[s], kind="stable")]
-            yield one({"part": int(layout.slots[k]), "block": -1, "kind": UNSEEN, "blob": pack(deltas(h[s]), block[s], doc[s])})
+        kinds, to = np.unique(t.h[first[here]], return_inverse=True)
+        p = m.p_word(t.c_word[t.word_at[first[here]]])
+        columns = [np.bincount(to, weights=x, minlength=kinds.size) for x in (m.kept(t.c_pair[here], m.d2) * share, p * share, own[here])]
+        yield from by_home(kinds, SEEN, lambda s: tuple(x[s] for x in columns), False)
+        gone = np.flatnonzero(~seen[t.pair_at])
+        block = np.repeat(np.array(t.blocks, np.int64), t.sizes)[gone]
+        doc = t.doc[gone]
+        yield from by_home(t.h[gone], UNSEEN, lambda s: (block[s], doc[s]), True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from grouped(batches, 0, make, through=(ABOUT,))
+        yield from grouped(batches, 0, make, **{"through" if sums else "without": (ABOUT,)})
 
     return both.mapInArrow(run, OUT)
 
@@ -408,7 +404,7 @@ def by_history(rows: DataFrame, layout: Layout) -> DataFrame:
             yield one({"part": part, "block": int(b), "kind": SUMS, "blob": pack(none, sums, none, none[:1])})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from grouped(batches, 0, make, through=(ABOUT, SUMS))
+        yield from grouped(batches, 0, make)
 
     return rows.mapInArrow(run, OUT)
 
@@ -468,6 +464,7 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     layout = hot(docs, parts)
     occ = emit(docs, layout).repartition(parts, "part")
-    found = by_word(occ, statistics(occ, layout), layout)
-    found = by_history(found.repartition(parts, "part").sortWithinPartitions("part"), layout)
-    return by_block(found.repartition(parts, "block").sortWithinPartitions("block"))
+    stats = statistics(occ, layout)
+    unseen = by_word(occ, stats, layout, False).repartition(parts, "part").sortWithinPartitions("part")
+    sums = by_word(occ, stats, layout, True).unionByName(by_history(unseen, layout))
+    return by_block(sums.repartition(parts, "block").sortWithinPartitions("block"))
