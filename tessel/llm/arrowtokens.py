@@ -54,7 +54,7 @@ from pyspark.sql import functions as F
 from .bpe import CHUNKS
 from .common import settle, whole
 
-LENGTH, BATCH, END, KEEP = 1024, 256, 0, 1 << 19
+LENGTH, BATCH, END, KEEP = 1024, 256, 0, 1 << 20
 MANIFEST = "part int, file string, docs_file string, docs long, tokens long"
 
 
@@ -78,30 +78,32 @@ class Library:
         self.by_chunk = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not j.get("normalizer")
         self.added = [x["content"] for x in j["added_tokens"]]
         self.code = "H" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
-        self.seen: dict[str, array] = {}
+        self.seen: dict[str, bytes] = {}
 
-    def _library(self, texts: list[str]) -> list[array]:
-        return [array(self.code, e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[array]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as its array's bytes."""
         if not self.by_chunk:
             return self._library(texts)
         if len(self.seen) >= KEEP:
             self.seen.clear()
-        seen = self.seen
-        split = [None if any(a in t for a in self.added) else CHUNKS.findall(t) for t in texts]
-        new = list({c for x in split if x is not None for c in x if c not in seen})
+        seen, out, gaps = self.seen, [], []
+        for t in texts:
+            if any(a in t for a in self.added):
+                out.append(self._library([t]))
+                continue
+            chunks = CHUNKS.findall(t)
+            parts = list(map(seen.get, chunks))
+            if None in parts:
+                gaps += [(parts, i, chunks[i]) for i, p in enumerate(parts) if p is None]
+            out.append(parts)
+        new = list({c for _, _, c in gaps})
         seen.update(zip(new, self._library(new), strict=True))
-        out = []
-        for t, chunks in zip(texts, split, strict=True):
-            if chunks is None:
-                out += self._library([t])
-            else:
-                ids = array(self.code)
-                for c in chunks:
-                    ids += seen[c]
-                out.append(ids)
-        return out
+        for parts, i, c in gaps:
+            parts[i] = seen[c]
+        return [b"".join(parts) for parts in out]
 
 
 @functools.cache
@@ -124,10 +126,12 @@ def write(docs: DataFrame, vocabulary: str, folder: str, length: int = LENGTH, b
         fs.create_dir(os.path.dirname(path), recursive=True)
         files = [fs.open_output_stream(f"{path}{x}") for x in (".arrow", ".docs.arrow")]
         out, by_doc = pa.ipc.new_file(files[0], schema), pa.ipc.new_file(files[1], index)
-        docs_, at, kept, full = 0, 0, array(lib.code), length * batch
+        docs_, at, kept = 0, 0, bytearray()
+        width = array(lib.code).itemsize
+        full, last = length * batch * width, array(lib.code, [end]).tobytes()
 
-        def flush(ids: array) -> None:
-            n = len(ids)
+        def flush(ids: bytes) -> None:
+            n = len(ids) // width
             rows_ = -(-n // length)
             padded = np.zeros(rows_ * length, kind.to_pandas_dtype())
             padded[:n] = np.frombuffer(ids, padded.dtype)
@@ -139,18 +143,17 @@ def write(docs: DataFrame, vocabulary: str, folder: str, length: int = LENGTH, b
                 b = big.slice(k, 500)
                 starts, sizes = [], []
                 for ids in lib.encode(b.column(1).to_pylist()):
-                    ids.append(end)
                     starts.append(at)
-                    sizes.append(len(ids))
-                    at += len(ids)
-                    kept += ids
+                    sizes.append(len(ids) // width + 1)
+                    at += sizes[-1]
+                    kept += ids + last
                     while len(kept) >= full:
-                        flush(kept[:full])
-                        kept = kept[full:]
+                        flush(bytes(kept[:full]))
+                        del kept[:full]
                 by_doc.write_batch(pa.RecordBatch.from_arrays([b.column(0), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=index))
                 docs_ += b.num_rows
         if kept:
-            flush(kept)
+            flush(bytes(kept))
         for x in (out, by_doc, *files):
             x.close()
         if docs_:
