@@ -38,10 +38,13 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scans: the spans of secrets are replaced by a mark; all documents stay, clean ones as they are."""
     ledger = scratch_path(spark, "pipeline-ledger")
     secrets.scan(docs, ledger)
-    found = broadcast_if_small(settle(secrets.findings(spark, ledger).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")), "pipeline-findings"))
-    rows = docs.join(found, F.sha2(whole("text"), 256) == F.col("_blob"), "left")
-    text = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(secrets.redact(whole(docs["text"]), F.col("_spans")))
-    return _measured(rows.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns]), docs)
+    found = broadcast_if_small(settle(secrets.findings(spark, ledger), "pipeline-findings"))
+    # the rows as structs, so that no name of theirs clashes
+    packed = docs.select(F.struct("*").alias("row"), F.sha2(whole("text"), 256).alias("blob"))
+    old = F.col("row").getField("text")
+    text = F.when(F.col("spans").isNull(), old).otherwise(secrets.redact(whole(old), F.col("spans")))
+    rows = packed.join(found, "blob", "left").withColumn("body", text)
+    return _measured(rows.select(*[F.col("body").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]), docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -391,15 +391,14 @@ def representatives(docs: DataFrame, j: Jaccard, doc_id: str = "doc_id", text: s
     first = rows.filter("root is not null").groupBy("root").agg(F.min(rank).alias("first"))
     copies = rows.filter("root is not null").groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("c")).join(first, "root")
     is_first = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"), F.col("text_hash").alias("t")) == F.col("first")
-    copies = settle(copies.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "c", is_first.alias("stays")), "join-copies")
-    gone = copies.filter(~F.col("stays")).select("_id", "_hash")
-    same = docs[doc_id].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_hash"))
-    kept = docs.join(broadcast_if_small(settle(gone, "join-gone")), same, "left_anti")
-    again = settle(copies.filter("stays and c > 1").select("_id", "_hash"), "join-again")
-    if again.isEmpty():
-        return kept
-    # equal rows of one id: the first of them stays
-    same = kept[doc_id].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(kept[text]) == F.col("_hash"))
-    packed = kept.join(broadcast_if_small(again), same).select(F.struct(*[kept[c] for c in kept.columns]).alias("row"), "_id", "_hash")
-    one = packed.groupBy("_id", "_hash").agg(F.first("row").alias("row")).select(*[F.col("row").getField(c).alias(c) for c in kept.columns])
-    return kept.join(broadcast_if_small(again), same, "left_anti").unionByName(one)
+    copies = settle(copies.select("doc_id", "text_hash", "c", is_first.alias("stays")), "join-copies")
+    # the rows as structs, so that no name of theirs clashes
+    packed = docs.select(F.struct("*").alias("row"), docs[doc_id].cast("long").alias("i"), F.xxhash64(docs[text]).alias("t"))
+    same = F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_hash"))
+    gone = settle(copies.filter(~F.col("stays")).select("doc_id", "text_hash"), "join-gone")
+    kept = packed.join(broadcast_if_small(gone), same, "left_anti")
+    again = settle(copies.filter("stays and c > 1").select("doc_id", "text_hash"), "join-again")
+    if not again.isEmpty():  # equal rows of one id: the first of them stays
+        one = kept.join(broadcast_if_small(again), same, "left_semi").groupBy("i", "t").agg(F.first("row").alias("row"))
+        kept = kept.join(broadcast_if_small(again), same, "left_anti").select("row").unionByName(one.select("row"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
