@@ -25,8 +25,3 @@ def to_string(c: Column | str) -> Column:
 def date_label(c: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
     """Date formatting for partition labels."""
     return F.date_format(c, fmt)
-
-
-def last_segment(name: str) -> str:
-    """Planning-time: last dotted segment of a column name."""
-    return name.split(".")[-1]

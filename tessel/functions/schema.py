@@ -13,9 +13,9 @@ whatever metrics a document carries, so every later step is a static plan.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 POINT = T.StructType([
@@ -39,44 +39,42 @@ TYPE_QUARTERLY = "quarterly_metric"
 TYPE_ANNUAL = "annual_metric"
 
 
-def array_struct_fields(schema: T.StructType, parent: str = "") -> list[str]:
-    """Dotted names of every array-of-struct field, descending into structs."""
-    out: list[str] = []
-    for f in schema.fields:
-        name = f"{parent}.{f.name}" if parent else f.name
-        dt = f.dataType
-        if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
-            out.append(name)
-        elif isinstance(dt, T.StructType):
-            out.extend(array_struct_fields(dt, name))
-    return out
+# Keys of the column metadata that carry a staging column's group and metric.
+# Metadata travels through projections, filters, joins and Parquet files, so
+# no later step has to read a column's meaning out of its name.
+GROUP, METRIC_NAME = "tessel.group", "tessel.metric"
+QUARANTINE = "quarantine"
+
+
+def tagged(col: Column, name: str, group: str, metric: str) -> Column:
+    return col.alias(name, metadata={GROUP: group, METRIC_NAME: metric})
+
 
+def group_of(field: T.StructField) -> str | None:
+    return (field.metadata or {}).get(GROUP)
 
-def array_leaf_fields(schema: T.StructType, parent: str = "") -> list[str]:
-    """Dotted names of the leaves inside array-of-struct fields."""
-    out: list[str] = []
-    for f in schema.fields:
-        name = f"{parent}.{f.name}" if parent else f.name
-        dt = f.dataType
-        if isinstance(dt, T.ArrayType):
-            if isinstance(dt.elementType, T.StructType):
-                out.extend(f"{name}.{leaf.name}" for leaf in dt.elementType.fields)
-        elif isinstance(dt, T.StructType):
-            out.extend(array_leaf_fields(dt, name))
+
+def metric_of(field: T.StructField) -> str:
+    return (field.metadata or {}).get(METRIC_NAME, field.name)
+
+
+def unique_names(wanted: Sequence[str], taken: Sequence[str] = ()) -> list[str]:
+    """The wanted column names; one that is taken, also in other case, gets
+    ``metric_`` in front until it is free."""
+    used, out = {t.lower() for t in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name = f"metric_{name}"
+        used.add(name.lower())
+        out.append(name)
     return out
 
 
-def dedupe_columns(df: DataFrame) -> DataFrame:
-    """Give repeated column names an index suffix."""
-    seen: dict[str, int] = {}
-    names = []
-    for i, c in enumerate(df.columns):
-        if c in seen:
-            names.append(f"{c}_duplicate_{i}")
-        else:
-            names.append(c)
-        seen[c] = seen.get(c, 0) + 1
-    return df.toDF(*names)
+def by_freq(series_metrics: Mapping[str, Sequence[str]] | Sequence[str]) -> dict[str, list[str]]:
+    """Series metrics of each frequency; a plain list counts for every one."""
+    if isinstance(series_metrics, Mapping):
+        return {f: list(series_metrics.get(f, ())) for f in FREQS}
+    return {f: list(series_metrics) for f in FREQS}
 
 
 def require_columns(df: DataFrame, *cols: str) -> bool:
@@ -93,6 +91,3 @@ def quoted(name: str) -> str:
     """Backtick a column name so dots are never read as struct access."""
     return "`" + name.replace("`", "``") + "`"
 
-
-def sorted_unique(names: Iterable[str]) -> list[str]:
-    return sorted(set(names))

@@ -10,30 +10,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import to_date, to_float, to_string
-from ..functions.schema import quoted
+from ..functions.schema import metric_of, quoted, unique_names
 
 KEYS = ("date", "symbol")
 
 
 def series_fact(staging: DataFrame, keep_source: bool = False) -> DataFrame:
     """``date`` -> date, ``symbol`` -> string, every other column -> float named
-    by its last segment after the frequency prefix (``quarterly_sales`` -> ``sales``,
-    ``quarterly.sales`` -> ``sales``). ``keep_source`` also keeps the source columns.
+    after its metric, which the column's metadata tell (an untagged column keeps
+    its name). A metric called like a key gets ``metric_`` in front.
+    ``keep_source`` also keeps the source columns.
     """
     out = []
+    values = [f for f in staging.schema.fields if f.name not in KEYS]
+    taken = [*KEYS, *(f.name for f in values if keep_source)]
+    names = dict(zip((f.name for f in values), unique_names([metric_of(f) for f in values], taken)))
     for c in staging.columns:
         if c == "date":
             out.append(to_date(quoted(c)).alias("date"))
         elif c == "symbol":
             out.append(to_string(quoted(c)).alias("symbol"))
         else:
-            name = c.split(".")[-1]
-            for prefix in ("quarterly_", "annual_"):
-                if name.startswith(prefix):
-                    name = name[len(prefix):]
             if keep_source:
                 out.append(F.col(quoted(c)))
-            out.append(to_float(F.col(quoted(c))).alias(name))
+            out.append(to_float(F.col(quoted(c))).alias(names[c]))
     return staging.select(*out)
 
 

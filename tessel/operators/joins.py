@@ -51,13 +51,17 @@ def with_row_index(df: DataFrame, order_cols: Sequence[str], name: str = "rn",
 
 
 def zip_join(left: DataFrame, left_order: Sequence[str], right: DataFrame,
-             right_order: Sequence[str], name: str = "rn") -> DataFrame:
+             right_order: Sequence[str], name: str = "rn", pad: bool = False) -> DataFrame:
     """Pair the i-th row of ``left`` with the i-th row of ``right``.
 
-    Rows beyond the shorter side have no partner and are not returned,
-    like a zip.
+    Both sides must have equally many rows, else a ValueError says so before
+    anything is sorted; with ``pad`` the rows beyond the shorter side are
+    paired with nulls. No row is lost.
     """
-    return with_row_index(left, left_order, name).join(with_row_index(right, right_order, name), name)
+    if not pad and (n := left.count()) != (m := right.count()):
+        raise ValueError(f"zip_join: {n} rows on the left, {m} on the right")
+    return with_row_index(left, left_order, name).join(with_row_index(right, right_order, name), name,
+                                                       "full_outer" if pad else "inner")
 
 
 def new_keys(current: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,19 +9,22 @@ into its metric row plus its aligned series rows, all of one struct type.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.schema import TYPE_ANNUAL, TYPE_METRIC, TYPE_QUARTERLY
+from ..functions.schema import (QUARANTINE, TYPE_ANNUAL, TYPE_METRIC, TYPE_QUARTERLY, by_freq, group_of, quoted, tagged,
+                                unique_names)
 from .series import aligned_rows_sql, columns_for, has_points_sql, sql_ident, sql_str, with_period_prep
 
 
 def metric_wide(docs: DataFrame, keys: Sequence[str], keep: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Flat metric object -> one column per key (P17 for a map)."""
-    return docs.select(*keep, *[F.col("metric")[k].alias(k) for k in keys])
+    """Flat metric object -> one column per key (P17 for a map); a key called
+    like a column of ``keep`` gets ``metric_`` in front."""
+    names = unique_names(keys, keep)
+    return docs.select(*keep, *[tagged(F.col("metric")[k], n, TYPE_METRIC, k) for k, n in zip(keys, names)])
 
 
 def metric_long(docs: DataFrame, keep: Sequence[str] = ("symbol",)) -> DataFrame:
@@ -45,44 +48,63 @@ def non_empty_series(docs: DataFrame) -> Column:
                               lambda _, m: F.map_filter(m, lambda _k, a: F.size(a) > 0))
 
 
-def typed_union(docs: DataFrame, metric_keys: Sequence[str], series_metrics: Sequence[str],
-                align_mode: str = "period", bearing_only: bool = False) -> DataFrame:
+def typed_union(docs: DataFrame, metric_keys: Sequence[str],
+                series_metrics: Mapping[str, Sequence[str]] | Sequence[str],
+                align_mode: str = "period", bearing_only: bool = False, corrupt: str | None = None) -> DataFrame:
     """One wide typed frame for all documents (F1: P11, P12, P13, U1).
 
-    Columns: ``type, symbol, date, <metric keys>, quarterly_<m>..., annual_<m>...``.
-    Missing column groups are typed nulls, so no type coercion happens. Each
-    document becomes its metric row plus its aligned series rows through one
-    ``inline`` of one SQL expression; no shuffle.
+    Columns: ``type, symbol, date, <metric keys>, quarterly_<m>..., annual_<m>...``,
+    each tagged with its group and metric (column metadata), which is what the
+    later steps go by; a name already taken gets ``metric_`` in front.
+    ``series_metrics`` may differ by frequency. Missing column groups are typed
+    nulls, so no type coercion happens. Each document becomes its metric row
+    plus its aligned series rows through one ``inline`` of one SQL expression;
+    no shuffle.
 
     ``bearing_only`` emits series rows only for documents that have both
     annual and quarterly points (W3 evaluated per document, which is how the
-    reference decides it: per entity).
+    reference decides it: per entity). ``corrupt`` names a column with the text
+    of a malformed record: such a record becomes one row of type
+    ``quarantine`` that holds the text, and nothing else.
     """
-    q_spec = columns_for("quarterly", series_metrics, "quarterly_")
-    a_spec = columns_for("annual", series_metrics, "annual_")
+    metrics = by_freq(series_metrics)
+    wanted = [*metric_keys, *[f"quarterly_{m}" for m in metrics["quarterly"]], *[f"annual_{m}" for m in metrics["annual"]]]
+    keys = ["type", "symbol", "date", *([QUARANTINE] if corrupt else [])]
+    names = unique_names(wanted, keys)
+    k, q = len(metric_keys), len(metric_keys) + len(metrics["quarterly"])
+    m_names, q_names, a_names = names[:k], names[k:q], names[q:]
+    q_spec = {n: ("quarterly", m) for n, m in zip(q_names, metrics["quarterly"])}
+    a_spec = {n: ("annual", m) for n, m in zip(a_names, metrics["annual"])}
+    s_null, d_null = "CAST(NULL AS STRING)", "CAST(NULL AS DOUBLE)"
 
-    def row(type_name: str, date: str, metric_vals: list[str], q_vals: list[str], a_vals: list[str]) -> str:
+    def row(type_name: str, date: str, metric_vals: list[str], q_vals: list[str], a_vals: list[str], text: str = s_null) -> str:
         parts = [f"'type', {sql_str(type_name)}", "'symbol', symbol", f"'date', CAST({date} AS DATE)"]
-        parts += [f"{sql_str(k)}, {v}" for k, v in zip(metric_keys, metric_vals)]
+        parts += [f"{sql_str(QUARANTINE)}, {text}"] if corrupt else []
+        parts += [f"{sql_str(n)}, {v}" for n, v in zip(m_names, metric_vals)]
         parts += [f"{sql_str(n)}, {v}" for n, v in zip(q_spec, q_vals)]
         parts += [f"{sql_str(n)}, {v}" for n, v in zip(a_spec, a_vals)]
         return "named_struct(" + ", ".join(parts) + ")"
 
-    s_null, d_null = "CAST(NULL AS STRING)", "CAST(NULL AS DOUBLE)"
-    metric_row = "array(" + row(TYPE_METRIC, "NULL", [f"metric[{sql_str(k)}]" for k in metric_keys],
-                                [d_null] * len(q_spec), [d_null] * len(a_spec)) + ")"
+    m_null, q_null, a_null = [s_null] * k, [d_null] * len(q_spec), [d_null] * len(a_spec)
+    metric_row = "array(" + row(TYPE_METRIC, "NULL", [f"metric[{sql_str(x)}]" for x in metric_keys], q_null, a_null) + ")"
     q_rows = (f"transform({aligned_rows_sql(q_spec, align_mode, tag='_tq')}, _r -> "
-              + row(TYPE_QUARTERLY, "_r.date", [s_null] * len(metric_keys),
-                    [f"_r.{sql_ident(n)}" for n in q_spec], [d_null] * len(a_spec)) + ")")
+              + row(TYPE_QUARTERLY, "_r.date", m_null, [f"_r.{sql_ident(n)}" for n in q_spec], a_null) + ")")
     a_rows = (f"transform({aligned_rows_sql(a_spec, align_mode, tag='_ta')}, _r -> "
-              + row(TYPE_ANNUAL, "_r.date", [s_null] * len(metric_keys),
-                    [d_null] * len(q_spec), [f"_r.{sql_ident(n)}" for n in a_spec]) + ")")
+              + row(TYPE_ANNUAL, "_r.date", m_null, q_null, [f"_r.{sql_ident(n)}" for n in a_spec]) + ")")
     series_rows = f"concat({q_rows}, {a_rows})"
     if bearing_only:
-        keep = f"{has_points_sql('quarterly', series_metrics)} AND {has_points_sql('annual', series_metrics)}"
+        keep = f"{has_points_sql('quarterly', metrics['quarterly'])} AND {has_points_sql('annual', metrics['annual'])}"
         series_rows = f"IF({keep}, {series_rows}, array())"
-    prepared = with_period_prep(docs, {"_tq": q_spec, "_ta": a_spec}, align_mode)
-    return prepared.select(F.expr(f"inline(concat({metric_row}, {series_rows}))"))
+    rows = f"concat({metric_row}, {series_rows})"
+    if corrupt:
+        text = sql_ident(corrupt)
+        rows = f"IF({text} IS NULL, {rows}, array({row(QUARANTINE, 'NULL', m_null, q_null, a_null, text)}))"
+    typed = with_period_prep(docs, {"_tq": q_spec, "_ta": a_spec}, align_mode).select(F.expr(f"inline({rows})"))
+    groups = [TYPE_METRIC] * k + [TYPE_QUARTERLY] * len(q_spec) + [TYPE_ANNUAL] * len(a_spec)
+    originals = [*metric_keys, *metrics["quarterly"], *metrics["annual"]]
+    out = [tagged(F.col(QUARANTINE), QUARANTINE, QUARANTINE, QUARANTINE)] if corrupt else []
+    out += [tagged(F.col(quoted(n)), n, g, m) for n, g, m in zip(names, groups, originals)]
+    return typed.select("type", "symbol", "date", *out)
 
 
 def series_bearing(typed: DataFrame) -> DataFrame:
@@ -100,24 +122,29 @@ def series_bearing(typed: DataFrame) -> DataFrame:
 
 def split_by_type(typed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Typed frame -> ``metric``, ``quarterly_metric``, ``annual_metric`` by the
-    ``type`` marker only (W1, P14, P15); column groups come from names."""
-    cols = typed.columns
-    q_cols = [c for c in cols if c.startswith("quarterly_")]
-    a_cols = [c for c in cols if c.startswith("annual_")]
-    m_cols = [c for c in cols if c not in {"type", "symbol", "date", *q_cols, *a_cols}]
-    metric = typed.filter(F.col("type") == TYPE_METRIC).select("symbol", *m_cols)
-    quarterly = typed.filter(F.col("type") == TYPE_QUARTERLY).select("date", "symbol", *q_cols)
-    annual = typed.filter(F.col("type") == TYPE_ANNUAL).select("date", "symbol", *a_cols)
+    ``type`` marker only (W1, P14, P15); a column's group is in its metadata
+    (an untagged column counts as a metric)."""
+    fields = [f for f in typed.schema.fields if f.name not in ("type", "symbol", "date")]
+    of = lambda *groups: [quoted(f.name) for f in fields if group_of(f) in groups]
+    metric = typed.filter(F.col("type") == TYPE_METRIC).select("symbol", *of(TYPE_METRIC, None))
+    quarterly = typed.filter(F.col("type") == TYPE_QUARTERLY).select("date", "symbol", *of(TYPE_QUARTERLY))
+    annual = typed.filter(F.col("type") == TYPE_ANNUAL).select("date", "symbol", *of(TYPE_ANNUAL))
     return metric, quarterly, annual
 
 
+def quarantined(typed: DataFrame) -> DataFrame:
+    """``text, reason`` of the malformed records in a typed frame (Q1)."""
+    return typed.filter(F.col("type") == QUARANTINE).select(
+        F.col(QUARANTINE).alias("text"), F.lit("malformed json").alias("reason"))
+
+
 def split_typed(typed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Typed frame -> ``metric``, ``quarterly_metric``, ``annual_metric`` (F2).
 
     This is the general form for a typed frame whose rows of one symbol may
     come from anywhere (e.g. read back from storage). Column groups come from
-    names, so every column is kept (the reference's off-by-two slice is not
-    reproduced). Series rows are kept only for series-bearing symbols (W3);
+    the columns' metadata, so every column is kept (the reference's off-by-two
+    slice is not reproduced). Series rows are kept only for series-bearing symbols (W3);
     the bearing set is one row per symbol, computed with partial counts, and
     joined with a left-semi join (AQE broadcasts it when its runtime size is
     under the broadcast threshold, and splits skewed partitions otherwise).

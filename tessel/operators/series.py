@@ -59,25 +59,29 @@ def period_prep_sql(spec: ColumnSpec, tag: str, series: str = "series") -> list[
     """Projections to run *before* period-mode alignment: lists of ``(name, sql)``.
 
     1. ``{tag}_pts``: every point of the spec's series tagged with its series
-       index, sorted once by ``(period, index, v)``;
-    2. ``{tag}_starts``: the offset where each period's run begins (one pass,
-       null-safe, so a null period is a group of its own as in SQL).
-
-    Alignment then slices each run, so a document costs one sort plus linear
-    work, whatever its series length (daily series included). These must be
-    columns of prior projections: an expression referenced inside a lambda
-    would be re-evaluated for every element.
+       index, and an empty point for every period and index, sorted by
+       ``(period, index, v)`` (nulls first);
+    2. ``{tag}_runs``: the last point of each (period, index), so every period
+       has exactly one entry per series, in index order, null-safe in period.
+
+    Alignment reads entry ``k * n + i`` for series i of the k-th period: besides
+    the sort, the work is the size of the dense result, whatever the number of
+    series. These must be columns of prior projections: an expression
+    referenced inside a lambda would be re-evaluated for every element.
     """
     arrays = [series_array_sql(f, m, series) for f, m in spec.values()]
     tagged = ", ".join(
         f"transform({a}, _p -> named_struct('period', _p.period, 'i', {i}, 'v', _p.v))"
         for i, a in enumerate(arrays))
-    pts, starts = sql_ident(f"{tag}_pts"), sql_ident(f"{tag}_starts")
+    periods = ", ".join(f"transform({a}, _p -> _p.period)" for a in arrays)
+    empty = (f"flatten(transform(array_distinct(flatten(array({periods}))), _d -> transform(sequence(0, {len(arrays) - 1}), "
+             f"_i -> named_struct('period', _d, 'i', _i, 'v', CAST(NULL AS DOUBLE)))))")
+    pts = sql_ident(f"{tag}_pts")
     return [
-        [(f"{tag}_pts", f"sort_array(flatten(array({tagged})), true)")],
-        [(f"{tag}_starts",
-          f"filter(transform({pts}, (_x, _j) -> CASE WHEN _j = 0 THEN _j "
-          f"WHEN _x.period <=> {pts}[_j - 1].period THEN -1 ELSE _j END), _j -> _j >= 0)")],
+        [(f"{tag}_pts", f"sort_array(concat(flatten(array({tagged})), {empty}), true)")],
+        [(f"{tag}_runs",
+          f"filter({pts}, (_x, _j) -> _j + 1 = size({pts}) OR get({pts}, _j + 1).i <> _x.i "
+          f"OR NOT (get({pts}, _j + 1).period <=> _x.period))")],
     ]
 
 
@@ -117,12 +121,10 @@ def aligned_rows_sql(spec: ColumnSpec, align: str = "position", series: str = "s
         values = ", ".join(f"{sql_str(n)}, {x}.v" for n, x in zip(names, fields))
         return (f"transform(arrays_zip({', '.join(arrays)}), "
                 f"_z -> named_struct('date', {date}, {values}))")
-    pts, starts = sql_ident(f"{tag}_pts"), sql_ident(f"{tag}_starts")
-    run = f"slice({pts}, _s + 1, coalesce(try_element_at({starts}, _k + 2), size({pts})) - _s)"
-    values = ", ".join(
-        f"{sql_str(n)}, array_max(transform(filter({run}, _e -> _e.i = {i}), _e -> _e.v))"
-        for i, n in enumerate(names))
-    return (f"transform({starts}, (_s, _k) -> named_struct('date', {pts}[_s].period, {values}))")
+    runs, n = sql_ident(f"{tag}_runs"), len(names)
+    values = ", ".join(f"{sql_str(x)}, {runs}[CAST(_k * {n} + {i} AS INT)].v" for i, x in enumerate(names))
+    places = f"filter(sequence(0, size({runs}) DIV {n}), _k -> _k * {n} < size({runs}))"
+    return (f"transform({places}, _k -> named_struct('date', {runs}[CAST(_k * {n} AS INT)].period, {values}))")
 
 
 def aligned_rows(spec: ColumnSpec, align: str = "position", series: str = "series",

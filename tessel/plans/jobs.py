@@ -13,14 +13,15 @@ except the distinct metric names when they are discovered.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import uuid
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.schema import DOC_SCHEMA, TYPE_ANNUAL, TYPE_METRIC, TYPE_QUARTERLY
+from ..functions.json import CORRUPT
+from ..functions.schema import DOC_SCHEMA, QUARANTINE, TYPE_ANNUAL, TYPE_METRIC, TYPE_QUARTERLY
 from ..operators import reshape
 from ..sinks import writers
 from ..sources import landing
@@ -31,24 +32,26 @@ STAGING_TABLES = ("metric", "quarterly_metric", "annual_metric")
 
 def transform_landing(spark: SparkSession, landing_root: str, staging_root: str, snapshot_date: str,
                       metric_keys: Sequence[str] | None = None,
-                      series_metrics: Sequence[str] | None = None,
+                      series_metrics: Mapping[str, Sequence[str]] | Sequence[str] | None = None,
                       align_mode: str = "period", fmt: str = "parquet") -> dict:
     """Landed documents of ``snapshot_date`` -> staging, in one pass.
 
     The typed union (W3 decided per document) is written once, partitioned
     by ``type``, so the landing is parsed once however many staging tables
-    there are. Returns the staging ``path`` and per-type ``rows``, counted by
-    an observation on the write job itself (A3), not by extra jobs.
+    there are. Malformed records go, as text, to the ``quarantine`` type of
+    the same write and to no other table. Returns the staging ``path`` and
+    per-type ``rows``, counted by an observation on the write job itself (A3),
+    not by extra jobs.
     """
-    docs = landing.scan_date(spark, landing_root, DOC_SCHEMA, snapshot_date)
+    docs = landing.scan_date_flagged(spark, landing_root, DOC_SCHEMA, snapshot_date)
     if metric_keys is None or series_metrics is None:
-        found_keys, found_series = staging.discover_metrics(docs)
+        found_keys, found_series = staging.discover_metrics(docs.filter(F.col(CORRUPT).isNull()))
         metric_keys = found_keys if metric_keys is None else metric_keys
         series_metrics = found_series if series_metrics is None else series_metrics
-    typed = reshape.typed_union(docs, metric_keys, series_metrics, align_mode, bearing_only=True)
+    typed = reshape.typed_union(docs, metric_keys, series_metrics, align_mode, bearing_only=True, corrupt=CORRUPT)
     obs = Observation(f"staging_{uuid.uuid4().hex[:8]}")
     counted = typed.observe(obs, *[F.count_if(F.col("type") == t).alias(n) for n, t in
-                                   zip(STAGING_TABLES, (TYPE_METRIC, TYPE_QUARTERLY, TYPE_ANNUAL))])
+                                   zip((*STAGING_TABLES, QUARANTINE), (TYPE_METRIC, TYPE_QUARTERLY, TYPE_ANNUAL, QUARANTINE))])
     path = writers.stage_write_typed(counted, staging_root, snapshot_date, fmt)
     return {"path": path, "rows": dict(obs.get)}
 
@@ -59,6 +62,11 @@ def _read_staging(spark: SparkSession, staging_root: str, snapshot_date: str, fm
     return staging.Staging(lambda: parts()[0], lambda: parts()[1], lambda: parts()[2])
 
 
+def read_quarantine(spark: SparkSession, staging_root: str, snapshot_date: str, fmt: str = "parquet") -> DataFrame:
+    """``text, reason`` of the records of a date that did not parse (Q1)."""
+    return reshape.quarantined(landing.stage_read_typed(spark, staging_root, snapshot_date, fmt))
+
+
 def update_lake(spark: SparkSession, staging_root: str, lake_root: str, snapshot_date: str,
                 selection: Sequence[str] = STAGING_TABLES, replace: bool = True,
                 fmt: str = "parquet") -> list[str]:

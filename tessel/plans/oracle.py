@@ -188,7 +188,7 @@ ORACLE.update({
     "zip_join": (
         "SELECT rn, c_name, o_orderkey, o_totalprice FROM "
         "(SELECT c_name, row_number() OVER (ORDER BY c_custkey) AS rn FROM customer) "
-        "JOIN (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) "
+        "FULL JOIN (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) "
         "USING (rn)"),
     "new_symbols": (
         "SELECT DISTINCT o_custkey FROM orders o WHERE o_orderdate >= DATE '1996-01-01' AND NOT EXISTS "
@@ -198,7 +198,7 @@ ORACLE.update({
         "count(*) AS n FROM events GROUP BY 1"),
     "quarantine": (
         "SELECT json_valid(p) AS ok, count(*) AS n FROM (SELECT CASE WHEN event_type = 'error' "
-        "THEN substr(props, 1, length(props) - 1) ELSE props END AS p FROM events) GROUP BY 1"),
+        "THEN event_type ELSE props END AS p FROM events) GROUP BY 1"),
     "quality_report": BASE.rstrip() + _quality("met", "symbol", ("firstShip", "s_acctbal", "s_nationkey")),
     "quality_report_quarterly": BASE.rstrip() + (
         f", fq AS (SELECT date, symbol, quantity, returned, sales FROM "
@@ -256,3 +256,21 @@ SELECT m.symbol AS symbol,
                  ELSE to_json(struct_pack(symbol := m.symbol, metric := {_METRIC_MAP}, series := d.series))
             END AS VARCHAR) AS raw
 FROM met m LEFT JOIN docs d ON d.symbol = m.symbol"""
+
+ORACLE.update({
+    "write_manifest": "SELECT s_name AS symbol, DATE '2024-01-07' AS snapshot_date, '2024-01-07' AS path_date FROM supplier",
+    "parquet_pair_metrics": BASE + "SELECT symbol, firstShip, s_acctbal, s_nationkey, DATE '2024-01-07' AS snapshot_date FROM met",
+    "lake_drift": BASE + (
+        f"SELECT date, symbol, quantity, returned, NULL AS sales, DATE '2024-01-07' AS snapshot_date FROM ({_FACT_ANNUAL}) UNION ALL "
+        f"SELECT date, symbol, quantity, returned, sales, DATE '2024-01-14' AS snapshot_date FROM ({_FACT_ANNUAL})"),
+    "awkward_keys": BASE + (
+        "SELECT symbol, CAST(s_acctbal AS FLOAT) AS annual_yield, CAST(s_nationkey AS FLOAT) AS quarterly_x_y, "
+        "CAST(s_acctbal AS FLOAT) AS metric_date, CAST(s_nationkey AS FLOAT) AS metric_type FROM met"),
+    "landing_quarantine": (
+        "SELECT s_name AS symbol, NULL AS text, NULL AS reason FROM supplier UNION ALL "
+        "SELECT NULL, n_name, 'malformed json' FROM nation"),
+    "discovered_metrics": BASE + (
+        "SELECT unnest(['firstShip', 's_acctbal', 's_nationkey']) AS name, 'metric' AS side UNION ALL "
+        "SELECT DISTINCT metric, freq FROM pts WHERE NOT (freq = 'quarterly' AND metric = 'sales')"),
+    "warehouse_selected": ORACLE["fact_quarterly"],
+})

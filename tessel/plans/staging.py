@@ -8,12 +8,13 @@ one projection per fact. Past the parse, no step shuffles.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import facts, reshape, series
+from ..functions.schema import FREQS, TYPE_ANNUAL, TYPE_METRIC, TYPE_QUARTERLY, by_freq, quoted, tagged, unique_names
+from ..operators import facts, series
 
 
 class Staging:
@@ -43,23 +44,27 @@ class Facts(Staging):
     """The three fact tables, lazily built like :class:`Staging`."""
 
 
-def discover_metrics(docs: DataFrame) -> tuple[list[str], list[str]]:
-    """Metric keys and series metric names from the data.
+def discover_metrics(docs: DataFrame) -> tuple[list[str], dict[str, list[str]]]:
+    """Metric keys, and series metric names of each frequency, from the data.
 
-    One small aggregation job over distinct names; callers that know the names
-    pass them instead and no extra job runs.
+    One scan: the names of both kinds are tagged with their side and exploded
+    together, then reduced before the shuffle. The driver gets the distinct
+    names, which the static schema needs. Callers that know the names pass
+    them instead and no extra job runs.
     """
-    keys = docs.select(F.explode(F.map_keys("metric")).alias("k")).distinct()
-    names = docs.select(F.explode("series").alias("f", "m")) \
-        .select(F.explode(F.map_keys("m")).alias("k")).distinct()
-    both = keys.withColumn("side", F.lit("metric")).unionByName(names.withColumn("side", F.lit("series")))
-    rows = both.groupBy("side").agg(F.sort_array(F.collect_set("k")).alias("ks")).collect()
-    found = {r["side"]: list(r["ks"]) for r in rows}
-    return found.get("metric", []), found.get("series", [])
-
-
-def stage(docs: DataFrame, metric_keys: Sequence[str], series_metrics: Sequence[str],
-          align_mode: str = "period") -> Staging:
+    names = F.expr(
+        "concat(transform(coalesce(map_keys(metric), array()), _k -> named_struct('side', 'metric', 'k', _k)), "
+        "flatten(transform(coalesce(map_entries(series), array()), _e -> transform(coalesce(map_keys(_e.value), array()), "
+        "_k -> named_struct('side', _e.key, 'k', _k)))))")
+    rows = docs.select(F.inline(names)).distinct().collect()
+    found: dict[str, list[str]] = {}
+    for r in sorted(rows):
+        found.setdefault(r["side"], []).append(r["k"])
+    return found.get("metric", []), {f: found.get(f, []) for f in FREQS}
+
+
+def stage(docs: DataFrame, metric_keys: Sequence[str],
+          series_metrics: Mapping[str, Sequence[str]] | Sequence[str], align_mode: str = "period") -> Staging:
     """F1 + F2: documents -> the three staging tables.
 
     Equal to ``split_by_type(typed_union(docs, ..., bearing_only=True))``
@@ -67,16 +72,22 @@ def stage(docs: DataFrame, metric_keys: Sequence[str], series_metrics: Sequence[
     materialising one table does not generate the rows of the other two.
     Series-bearing (W3) is decided per document; nothing shuffles.
     """
-    bearing = (f"{series.has_points_sql('quarterly', series_metrics)} AND "
-               f"{series.has_points_sql('annual', series_metrics)}")
-
-    def series_table(freq: str) -> DataFrame:
-        out = series.align_freq(docs.filter(F.expr(bearing)), freq, series_metrics, align_mode,
-                                prefix=f"{freq}_")
-        return out.select("date", "symbol", *out.columns[2:])
-
-    return Staging(lambda: reshape.metric_wide(docs, metric_keys),
-                   lambda: series_table("quarterly"), lambda: series_table("annual"))
+    metrics = by_freq(series_metrics)
+    bearing = " AND ".join(series.has_points_sql(f, metrics[f]) for f in ("quarterly", "annual"))
+    wanted = [*metric_keys, *[f"quarterly_{m}" for m in metrics["quarterly"]], *[f"annual_{m}" for m in metrics["annual"]]]
+    names = unique_names(wanted, ("type", "symbol", "date"))
+    k, q = len(metric_keys), len(metric_keys) + len(metrics["quarterly"])
+
+    def metric_table() -> DataFrame:
+        return docs.select("symbol", *[tagged(F.col("metric")[m], n, TYPE_METRIC, m) for n, m in zip(names[:k], metric_keys)])
+
+    def series_table(freq: str, group: str, of: list[str]) -> DataFrame:
+        spec = {n: (freq, m) for n, m in zip(of, metrics[freq])}
+        out = series.align(docs.filter(F.expr(bearing)), spec, align_mode)
+        return out.select("date", "symbol", *[tagged(F.col(quoted(n)), n, group, m) for n, (_, m) in spec.items()])
+
+    return Staging(metric_table, lambda: series_table("quarterly", TYPE_QUARTERLY, names[k:q]),
+                   lambda: series_table("annual", TYPE_ANNUAL, names[q:]))
 
 
 def to_facts(staging: Staging, keep_source: bool = False) -> Facts:

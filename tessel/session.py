@@ -56,7 +56,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         if root and sc is not None:
             sc.setCheckpointDir(root)
     if not root:
-        # Only reached in local runs/tests where no shared folder is configured.
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        # Local runs and tests: one machine, so a private folder is shared.
         local = tempfile.mkdtemp(prefix="tessel-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(local)
@@ -69,12 +72,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/tessel/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few local-filesystem helpers in tests."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -59,9 +59,9 @@ def land_json(df: DataFrame, root: str, snapshot_date: str | None = None,
     entities share a file, which keeps file counts sane at scale.
     """
     if snapshot_date is not None:
-        df = with_snapshot(df, snapshot_date)
-    cols = [DATE_COL, "symbol"] if per_symbol else [DATE_COL]
-    return write_partitioned(df, root, "json", cols)
+        write_partitioned(df, f"{root}/{DATE_COL}={snapshot_date}", "json", ["symbol"] if per_symbol else [])
+        return root
+    return write_partitioned(df, root, "json", [DATE_COL, "symbol"] if per_symbol else [DATE_COL])
 
 
 def stage_path(root: str, snapshot_date: str, name: str) -> str:
@@ -88,22 +88,35 @@ def stage_write_typed(typed: DataFrame, root: str, snapshot_date: str, fmt: str
 
 def lake_append(df: DataFrame, path: str, snapshot_date: str, fmt: str = "parquet") -> str:
     """Append a fact for one snapshot date (K3). Unlike the reference, rows
-    carry ``snapshot_date`` so re-runs are distinguishable."""
-    return write_partitioned(with_snapshot(df, snapshot_date), path, fmt, (DATE_COL,), "append")
+    carry ``snapshot_date`` so re-runs are distinguishable. The date is known,
+    so the rows go straight to its folder, without a shuffle."""
+    df.write.format(fmt).mode("append").save(f"{path}/{DATE_COL}={snapshot_date}")
+    return path
 
 
 def lake_replace(df: DataFrame, path: str, snapshot_date: str, fmt: str = "parquet") -> str:
-    """Idempotent variant of :func:`lake_append`: replaces that date only."""
-    return write_partitioned(with_snapshot(df, snapshot_date), path, fmt, (DATE_COL,), "overwrite")
+    """Idempotent variant of :func:`lake_append`: replaces that date only, by
+    nothing if there are no rows."""
+    df.write.format(fmt).mode("overwrite").save(f"{path}/{DATE_COL}={snapshot_date}")
+    return path
+
+
+def lake_read(spark: SparkSession, path: str) -> DataFrame:
+    """A lake table over all its dates, with the columns of all of them."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def warehouse_save(spark: SparkSession, df: DataFrame, database: str, table: str,
                    location: str | None = None) -> str:
-    """Catalog table ``<database>.<table>`` (K4), replaced on each run."""
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
+    """Catalog table ``<database>.<table>`` (K4), replaced on each run.
+
+    With a ``location`` the table's files are at ``<location>/<table>``,
+    wherever the database (which may exist already) has its folder.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     name = f"{database}.{table}"
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    w = df.write.mode("overwrite").format("parquet")
+    (w.option("path", f"{location.rstrip('/')}/{table}") if location else w).saveAsTable(name)
     return name
 
 

@@ -119,16 +119,6 @@ def series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("price") / 100).alias("sales"), "first_ship")
 
 
-def series_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long points: suppkey, freq, metric, period, v (v never null)."""
-    per = series_periods(spark, sf_dir)
-    stacked = per.select(
-        "suppkey", "freq", "period",
-        F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in SERIES_METRICS])),
-    )
-    return stacked.filter(F.col("v").isNotNull())
-
-
 def _per_supplier(per: DataFrame) -> DataFrame:
     """One row per supplier with its nested ``series`` map.
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.json import JSON_OPTIONS
+from ..functions.json import CORRUPT, JSON_OPTIONS
 from ..functions.keys import path_key
 from ..sinks.writers import DATE_COL, stage_path
 
@@ -30,13 +30,24 @@ def with_partitions(schema: T.StructType, *extra: T.StructField) -> T.StructType
 
 def scan_date(spark: SparkSession, root: str, schema: T.StructType, snapshot_date: str,
               options: dict | None = None) -> DataFrame:
-    """One date prefix of a dated landing (S3). The equality on the partition
-    column prunes every other date folder before any file is opened."""
+    """One date prefix of a dated landing (S3). Only that date's folder is
+    listed; a date without a folder gives no rows."""
     full = with_partitions(schema, T.StructField(DATE_COL, T.DateType()))
-    df = read_json(spark, root, full, options)
+    try:
+        df = read_json(spark, f"{root.rstrip('/')}/{DATE_COL}={snapshot_date}", full, {"basePath": root, **(options or {})})
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], full)
     return df.filter(F.col(DATE_COL) == F.lit(snapshot_date).cast("date"))
 
 
+def scan_date_flagged(spark: SparkSession, root: str, schema: T.StructType, snapshot_date: str) -> DataFrame:
+    """:func:`scan_date` with the text of malformed records in ``_corrupt_record`` (Q1)."""
+    return scan_date(spark, root, with_partitions(schema, T.StructField(CORRUPT, T.StringType())), snapshot_date,
+                     {"columnNameOfCorruptRecord": CORRUPT})
+
+
 def read_with_fallback(spark: SparkSession, path: str, backcompat: str | None,
                        schema: T.StructType) -> DataFrame:
     """Read ``path``; if it does not exist, read ``backcompat`` instead."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,8 +60,8 @@ def track_new_keys(stream: DataFrame, keys: Sequence[str], key_table: str, check
             table = spark.read.parquet(key_table).filter(F.col("batch_id") != batch_id).select(*k)
             seen = table.join(keys_in_batch, k, "left_semi").distinct()
             fresh = keys_in_batch.join(seen, k, "left_anti")
-        except Exception as e:  # first batch: no table yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+        except AnalysisException as e:  # first batch: no table yet
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
         fresh.write.mode("overwrite").parquet(f"{key_table}/batch_id={batch_id}")
         keys_in_batch.unpersist()

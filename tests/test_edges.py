@@ -170,7 +170,7 @@ def test_union_nulls_are_typed(spark):  # D2
 def test_fact_symbol_is_a_real_string_cast(spark):  # D5
     staged = spark.createDataFrame([(D(2024, 1, 1), 42, "2.5")], "date date, symbol int, quarterly_a string")
     f = facts.series_fact(staged)
-    assert dict(f.dtypes) == {"date": "date", "symbol": "string", "a": "float"}
+    assert dict(f.dtypes) == {"date": "date", "symbol": "string", "quarterly_a": "float"}
     assert f.collect()[0]["symbol"] == "42"
 
 

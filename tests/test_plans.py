@@ -113,3 +113,22 @@ def test_top_k_is_not_a_global_sort(spark):  # L2
     p = plan(QUERIES["symbol_top100"](spark, SF_SMALL))
     assert "TakeOrderedAndProject(limit=100" in p and not exchanges(p)
     assert "ReadSchema: struct<c_name:string>" in p
+
+
+def test_a_known_date_is_written_without_a_shuffle(spark):  # K1, K3
+    from tessel.session import scratch_path
+    from tessel.sinks import writers
+    df = spark.range(1000).repartition(4)
+    path = scratch_path(spark, "lake-files")
+    writers.lake_replace(df, path, "2024-01-07")
+    assert spark.read.parquet(path).rdd.getNumPartitions() >= 1
+    assert spark.read.parquet(path).select("_metadata.file_path").distinct().count() == 4  # one file a task
+    writers.lake_replace(df.limit(0), path, "2024-01-07")
+    assert writers.lake_read(spark, path).count() == 0
+
+
+def test_discovery_reads_the_documents_once(spark):  # P4
+    from tessel.functions.json import parse_documents
+    from tessel.plans import staging
+    texts = spark.createDataFrame([('{"symbol":"A","metric":{"x":1},"series":{"annual":{"a":[],"b":[]},"quarterly":{"c":[]}}}',), ('{"symbol":"B"}',)], "doc string")
+    assert staging.discover_metrics(parse_documents(texts)) == (["x"], {"annual": ["a", "b"], "quarterly": ["c"]})
