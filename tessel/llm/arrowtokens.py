@@ -21,9 +21,9 @@ files of those that succeeded. Lost executors cost their tasks only. The files
 go to a folder that all machines share.
 
 The library encodes each distinct chunk (white space and the text up to the
-next white space, or to the next space) once per worker and the ids are put
-together from these: pre-tokenization by the byte-level pattern never joins
-text across the beginning of white space. Texts that hold an added token's string, or any text under another
+next white space) once per worker and the ids are put together from these:
+pre-tokenization by the byte-level pattern never joins text across such a
+boundary. Texts that hold an added token's string, or any text under another
 kind of vocabulary, are encoded whole.
 
 Edge cases: a null or empty text has the end id alone; null ids come first;
@@ -55,8 +55,7 @@ from pyspark.sql import functions as F
 from .bpe import BLANK, CHUNKS
 from .common import settle, whole
 
-#: Where a space does not begin a chunk: at the start, and after white space.
-GLUED = re.compile(f"^ |[{BLANK}] ")
+SPACES = frozenset(x for x in map(chr, range(0x3001)) if re.match(f"[{BLANK}]", x))
 LENGTH, BATCH, END, KEEP = 1024, 256, 0, 1 << 20
 MANIFEST = "part int, file string, docs_file string, docs long, tokens long"
 
@@ -81,48 +80,48 @@ class Library:
         self.by_chunk = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not j.get("normalizer")
         self.added = [x["content"] for x in j["added_tokens"]]
         self.code = "H" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
-        #: ids of a piece of text, and of a space and the piece
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
         self.seen: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, chunks: list[str]) -> None:
+        """Ids of new chunks. Those of one space and no other white space are encoded many at a time, a line
+        break between them: the pattern makes each break a word of its own, and its id parts their ids."""
+        spaced = [c for c in chunks if len(c) > 1 and c[0] == " " and c[1] not in SPACES] if self.line is not None else []
+        rest = list(set(chunks).difference(spaced))
+        self.seen.update(zip(rest, self._library(rest), strict=True))
+        groups = [spaced[i : i + 1000] for i in range(0, len(spaced), 1000)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.dtype(self.code))
+            ends = np.append(np.flatnonzero(ids == self.line), ids.size)
+            starts = np.concatenate([[0], ends[:-1] + 1])
+            body, width = ids.tobytes(), ids.itemsize
+            found = [body[x:y] for x, y in zip((starts * width).tolist(), (ends * width).tolist(), strict=True)]
+            self.seen.update(zip(group, found, strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as its array's bytes."""
         if not self.by_chunk:
             return self._library(texts)
-        for store in (self.seen, self.spaced):
-            if len(store) >= KEEP:
-                store.clear()
-        out, gaps, spaced = [], [], []
+        if len(self.seen) >= KEEP:
+            self.seen.clear()
+        seen, out, gaps = self.seen, [], []
         for t in texts:
             if any(a in t for a in self.added):
                 out.append(self._library([t]))
-            elif GLUED.search(t):
-                out.append(self._look_up(self.seen, CHUNKS.findall(t), gaps))
-            else:
-                head, *rest = t.split(" ")
-                parts = self._look_up(self.spaced, rest, spaced)
-                first = self._look_up(self.seen, [head] if head else [], gaps)
-                out += [first, parts]
                 continue
-            out.append([])
-        new, more = list({c for _, _, c in gaps}), list({c for _, _, c in spaced})
-        ids = self._library(new + [f" {c}" for c in more])
-        self.seen.update(zip(new, ids))
-        self.spaced.update(zip(more, ids[len(new) :], strict=True))
-        for store, found in ((self.seen, gaps), (self.spaced, spaced)):
-            for parts, i, c in found:
-                parts[i] = store[c]
-        return [b"".join(first + rest) for first, rest in zip(out[::2], out[1::2], strict=True)]
-
-    @staticmethod
-    def _look_up(store: dict[str, bytes], pieces: list[str], gaps: list[tuple]) -> list[bytes | None]:
-        parts = list(map(store.get, pieces))
-        if None in parts:
-            gaps += [(parts, i, pieces[i]) for i, p in enumerate(parts) if p is None]
-        return parts
+            chunks = CHUNKS.findall(t)
+            parts = list(map(seen.get, chunks))
+            if None in parts:
+                gaps += [(parts, i, chunks[i]) for i, p in enumerate(parts) if p is None]
+            out.append(parts)
+        self._learn(list({c for _, _, c in gaps}))
+        for parts, i, c in gaps:
+            parts[i] = seen[c]
+        return [b"".join(parts) for parts in out]
 
 
 @functools.cache
