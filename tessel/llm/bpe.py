@@ -22,8 +22,8 @@ that led nowhere is never entered again).
 Decoding emits the labels of the arcs: the bytes of each token.
 
 Texts are encoded by chunks (white space and what follows up to the next white
-space), as no word crosses such a boundary; each task keeps the ids of the
-chunks it has seen, and empties that store when it is full.
+space), as no word crosses such a boundary; each worker keeps the ids of the
+chunks it used last, in a store of bounded size.
 """
 
 from __future__ import annotations
@@ -46,7 +46,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 BLANK = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: White space and what follows up to the next white space; the pattern's words cross no such boundary.
 CHUNKS = re.compile(f"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+")
-KEEP = 1 << 20
+#: Chunks that a worker keeps, half of them in each generation.
+KEEP = 1 << 19
 
 
 def alphabet() -> dict[str, int]:
@@ -153,6 +154,26 @@ class Automaton:
         return out
 
 
+class Store:
+    """Ids by text, in two generations: when the younger is full, the older goes. What is used again moves to the younger."""
+
+    def __init__(self, size: int):
+        self.half, self.young, self.old = size // 2, {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        got = self.young.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is not None:
+                self.put(key, got)
+        return got
+
+    def put(self, key: str, ids: bytes) -> None:
+        if len(self.young) >= self.half:
+            self.old, self.young = self.young, {}
+        self.young[key] = ids
+
+
 class Codec:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -167,13 +188,16 @@ class Codec:
         self.special = special
         self.words = regex.compile(PATTERN)
         self.marks = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.seen: dict[str, bytes] = {}
-        self.of_words: dict[str, bytes] = {}
+        self.seen, self.of_words = Store(KEEP), Store(KEEP // 4)
 
     def _word(self, w: str) -> bytes:
         return array("I", self.automaton.word(w.encode())).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
+        """The ids of a chunk that the younger generation may lack."""
+        out = self.seen.get(chunk)
+        if out is not None:
+            return out
         words = self.words.findall(chunk)
         if len(words) == 1:
             out = self._word(chunk)
@@ -184,19 +208,15 @@ class Codec:
                 if got is None:
                     got = self.seen.get(w) or self._word(w)
                     if len(w) < 64:
-                        if len(self.of_words) >= KEEP // 4:
-                            self.of_words.clear()
-                        self.of_words[w] = got
+                        self.of_words.put(w, got)
                 parts.append(got)
             out = b"".join(parts)
         if len(chunk) < 64:
-            if len(self.seen) >= KEEP:
-                self.seen.clear()
-            self.seen[chunk] = out
+            self.seen.put(chunk, out)
         return out
 
     def _plain(self, text: str, out: list[bytes]) -> None:
-        get, chunk = self.seen.get, self._chunk
+        get, chunk = self.seen.young.get, self._chunk
         out += [get(c) or chunk(c) for c in CHUNKS.findall(text)]
 
     def encode(self, text: str) -> array:
