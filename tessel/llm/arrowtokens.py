@@ -23,8 +23,9 @@ go to a folder that all machines share.
 The library encodes each distinct chunk (white space and the text up to the
 next white space) once per worker and the ids are put together from these:
 pre-tokenization by the byte-level pattern never joins text across such a
-boundary. Texts that hold an added token's string, or any text under another
-kind of vocabulary, are encoded whole.
+boundary. Texts are cut into chunks by their bytes, a batch at a time, and each
+batch's distinct chunks are looked up once. Texts that hold an added token's
+string, or any text under another kind of vocabulary, are encoded whole.
 
 Edge cases: a null or empty text has the end id alone; null ids come first;
 repeated ids are ordered by a hash of the text, equal rows are interchangeable;
@@ -46,16 +47,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .bpe import BLANK, CHUNKS
+from .bpe import BLANK
 from .common import settle, whole
 
 SPACES = frozenset(x for x in map(chr, range(0x3001)) if re.match(f"[{BLANK}]", x))
+#: By byte: ASCII white space, and the middle byte of white space that has three.
+ASCII_BLANK, MIDDLE = (np.isin(np.arange(256), x) for x in ([*range(9, 14), 32], [0x9A, 0x80, 0x81]))
 LENGTH, BATCH, END, KEEP = 1024, 256, 0, 1 << 20
 MANIFEST = "part int, file string, docs_file string, docs long, tokens long"
 
@@ -88,9 +92,9 @@ class Library:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: list[str]) -> None:
-        """Ids of new chunks. Those of one space and no other white space are encoded many at a time, a line
-        break between them: the pattern makes each break a word of its own, and its id parts their ids."""
-        spaced = [c for c in chunks if len(c) > 1 and c[0] == " " and c[1] not in SPACES] if self.line is not None else []
+        """Ids of new chunks. Those led by one space, without a line break or white space at the end, are encoded many
+        at a time, a line break between them: the pattern makes each break a word of its own, and its id parts their ids."""
+        spaced = [c for c in chunks if len(c) > 1 and c[0] == " " and c[1] not in SPACES and c[-1] not in SPACES and "\n" not in c] if self.line is not None else []
         rest = list(set(chunks).difference(spaced))
         self.seen.update(zip(rest, self._library(rest), strict=True))
         groups = [spaced[i : i + 1000] for i in range(0, len(spaced), 1000)]
@@ -102,26 +106,56 @@ class Library:
             found = [body[x:y] for x, y in zip((starts * width).tolist(), (ends * width).tolist(), strict=True)]
             self.seen.update(zip(group, found, strict=True))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, as its array's bytes."""
         if not self.by_chunk:
-            return self._library(texts)
+            return self._library(texts.to_pylist())
+        marked = functools.reduce(pc.or_, [pc.match_substring(texts, a) for a in self.added], pa.array([False] * len(texts), pa.bool_()))
+        aside = np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist()
+        out = self._by_chunk(pc.if_else(marked, "", texts) if aside else texts)
+        for i, ids in zip(aside, self._library([texts[i].as_py() for i in aside]), strict=True):
+            out[i] = ids
+        return out
+
+    def _by_chunk(self, texts: pa.Array) -> list[bytes]:
+        if not len(texts):
+            return []
+        texts = texts.cast(pa.large_string())
+        _, places, body = texts.buffers()
+        bounds = np.frombuffer(places, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        if bounds[0] == bounds[-1]:
+            return [b""] * len(texts)
+        cuts = chunk_starts(np.frombuffer(body, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]) + bounds[0]
+        chunks = pa.LargeStringArray.from_buffers(len(cuts), pa.py_buffer(np.append(cuts, bounds[-1])), body).dictionary_encode()
+        distinct, codes = chunks.dictionary.to_pylist(), chunks.indices.to_numpy()
         if len(self.seen) >= KEEP:
             self.seen.clear()
-        seen, out, gaps = self.seen, [], []
-        for t in texts:
-            if any(a in t for a in self.added):
-                out.append(self._library([t]))
-                continue
-            chunks = CHUNKS.findall(t)
-            parts = list(map(seen.get, chunks))
-            if None in parts:
-                gaps += [(parts, i, chunks[i]) for i, p in enumerate(parts) if p is None]
-            out.append(parts)
-        self._learn(list({c for _, _, c in gaps}))
-        for parts, i, c in gaps:
-            parts[i] = seen[c]
-        return [b"".join(parts) for parts in out]
+        self._learn([c for c in distinct if c not in self.seen])
+        # the ids of the distinct chunks in a row, then of each chunk its run of them
+        ids = [self.seen[c] for c in distinct]
+        flat = np.frombuffer(b"".join(ids), np.dtype(self.code))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // flat.itemsize
+        runs = sizes[codes]
+        ends = np.cumsum(runs)
+        at = np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[codes] - (ends - runs), runs)
+        made = flat[at].tobytes()
+        edges = (np.append(0, ends)[np.searchsorted(cuts, bounds)] * flat.itemsize).tolist()
+        return [made[x:y] for x, y in zip(edges, edges[1:])]
+
+
+def chunk_starts(body: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Places in UTF-8 bytes where a text begins (``bounds``), or a run of white space that an ASCII one leads.
+
+    A place that follows what may be a longer code of white space is left out: two chunks then count as one.
+    """
+    blank = ASCII_BLANK[body]
+    cut = blank.copy()
+    cut[1:] &= ~blank[:-1]
+    cut[2:] &= body[:-2] != 0xC2
+    cut[3:] &= ~(((body[:-3] >= 0xE1) & (body[:-3] <= 0xE3)) & MIDDLE[body[1:-2]])
+    starts = bounds[:-1]
+    cut[starts[starts < bounds[1:]]] = True
+    return np.flatnonzero(cut)
 
 
 @functools.cache
@@ -160,7 +194,7 @@ def write(docs: DataFrame, vocabulary: str, folder: str, length: int = LENGTH, b
             for k in range(0, big.num_rows, 500):
                 b = big.slice(k, 500)
                 starts, sizes = [], []
-                for ids in lib.encode(b.column(1).to_pylist()):
+                for ids in lib.encode(b.column(1)):
                     starts.append(at)
                     sizes.append(len(ids) // width + 1)
                     at += sizes[-1]

@@ -2,17 +2,19 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from scripts.oracle_check import compare
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tessel.llm import katz, ssjoin
+from tessel.llm import arrowtokens, katz, ssjoin
 from tessel.llm.oracle import ORACLE
 from tessel.llm.queries import QUERIES, VOCABULARY
 
@@ -113,6 +115,17 @@ def test_arrow_files(spark, small, docs):
     assert [r.start for r in got] == list(np.cumsum([0] + [r.n_tokens for r in got])[:-1])
 
 
+def test_arrow_chunks_as_the_library():
+    """Texts of all kinds of white space, added tokens and letters whose bytes look like parts of white space."""
+    draw = random.Random(1)
+    lib = arrowtokens.library(VOCABULARY)
+    signs = [*" \t\n\x0b\r\x85\xa0\u1680\u2003\u2028\u3000\u200bab'sé\xe0Z0.,漢\u0100\x1c\x00\u1021", " ", " ", *lib.added]
+    texts = ["", *["".join(draw.choices(signs, k=draw.randrange(40))) for _ in range(3000)]]
+    got = lib.encode(pa.array(["aside", *texts]).slice(1))
+    assert [np.frombuffer(x, lib.code).tolist() for x in got] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert lib.encode(pa.array([], pa.string())) == []
+
+
 def groups(texts, k, num, den):
     """Brute force: root of each text; None without words."""
     sets = []
