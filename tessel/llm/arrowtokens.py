@@ -247,9 +247,9 @@ class Sequences:
 
 def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files."""
-    # one row per file
+    # one row per file; a given number of partitions is not merged into one, however short the rows
     base = manifest.withColumn("base", F.sum("tokens").over(W.orderBy("part")) - F.col("tokens"))
-    rows = base.select("file", "docs_file", "tokens", "base").repartition("file")
+    rows = base.select("file", "docs_file", "tokens", "base").repartition(max(1, manifest.count()), "file")
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
