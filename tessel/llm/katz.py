@@ -58,7 +58,7 @@ from pyspark.sql import functions as F
 from .ssjoin import mix
 
 K, KEEP_BACK = 5, 0.05
-BLOCK_TOKENS, HOT_SHARE, HOT = 1 << 21, 0.005, 128
+BLOCK_TOKENS, HOT_SHARE = 1 << 21, 0.005
 UNIT = 1e8
 U = np.uint64
 END, BEGIN = (U(xxhash.xxh3_64_intdigest(x)) for x in (b"", b" "))  # no word is empty or holds a space
@@ -445,7 +445,8 @@ def hot(docs: DataFrame, parts: int, sample: int = 2_000) -> Layout:
 
     counts = docs.select("text").sample(0.05, 11).limit(sample).mapInArrow(run, "pairs boolean, key long, n long").groupBy("pairs", "key").agg(F.sum("n").alias("n")).persist()
     total = counts.filter("pairs").agg(F.sum("n")).first()[0] or 0
-    found = [counts.filter(F.col("pairs") == k).filter(F.col("n") >= HOT_SHARE * total).orderBy(F.desc("n"), "key").limit(HOT).collect() for k in (False, True)]
+    # the share bounds both lists; a pair's word is at least as frequent as the pair, and so always listed with it
+    found = [counts.filter(F.col("pairs") == k).filter(F.col("n") >= HOT_SHARE * total).collect() for k in (False, True)]
     counts.unpersist()
     # a number for each partition that hash partitioning deals to a partition of its own
     slot = docs.sparkSession.range(16 * parts).select(F.col("id").cast("int").alias("id"), F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("p"))
