@@ -31,9 +31,10 @@ partitioned by hash:
    log a(h);
 3. by block of documents: the sums meet.
 
-Words that make up more than HOT_SHARE of a bounded sample are split by their history, and
-pairs that do by block; their totals come with the counts of counts. The
-sample decides the layout only.
+Words that make up more of a sample than half the mean partition by word (HOT_SHARE at
+most) are split by their history, and pairs that do by block; their totals come with the
+counts of counts. The sample is drawn from all of the table and grows with the partitions;
+it decides the layout only.
 
 Edge cases: null and empty texts have the end alone; rows without an id count as
 training rows and are scored; repeated rows count each; without training rows
@@ -46,6 +47,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -325,7 +327,9 @@ def by_word(occ: DataFrame, stats: DataFrame, layout: Layout, sums: bool) -> Dat
 
     The two are read off separately, so that each moves once, to where it is needed.
     """
-    both = occ.withColumn("stats", stats.scalar()).sortWithinPartitions("part", "block")
+    # the totals grow with the partitions, so they go to the first row of each only
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    both = occ.sortWithinPartitions("part", "block").withColumn("stats", F.when(first, stats.scalar()))
     parts = layout.parts
 
     def by_home(h: np.ndarray, kind: int, columns: Callable[[np.ndarray], tuple], sort: bool) -> Iterator[pa.RecordBatch]:
@@ -338,8 +342,8 @@ def by_word(occ: DataFrame, stats: DataFrame, layout: Layout, sums: bool) -> Dat
             s = s[np.argsort(h[s], kind="stable")] if sort else s
             yield one({"part": int(layout.slots[k]), "block": -1, "kind": kind, "blob": pack(deltas(h[s]), *columns(s))})
 
-    def make(_: int, rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        t, m = Words([(r["block"], r["blob"]) for r in rows], layout), Model(np.array(rows[0]["stats"], np.int64), layout)
+    def make(m: Model, rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        t = Words([(r["block"], r["blob"]) for r in rows], layout)
         rows.clear()
         own = t.c_pair.copy()
         hot = t.hot_words >= 0
@@ -373,7 +377,10 @@ def by_word(occ: DataFrame, stats: DataFrame, layout: Layout, sums: bool) -> Dat
         yield from by_home(t.h[gone], UNSEEN, lambda s: (block[s], doc[s]), True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from grouped(batches, 0, make, **{"through" if sums else "without": (ABOUT,)})
+        filled = (b for b in batches if b.num_rows)
+        for b in filled:
+            m = Model(np.array(b.column(b.schema.get_field_index("stats"))[0].as_py(), np.int64), layout)
+            yield from grouped(chain([b], filled), 0, lambda _, rows: make(m, rows), **{"through" if sums else "without": (ABOUT,)})
 
     return both.mapInArrow(run, OUT)
 
@@ -432,7 +439,7 @@ def by_block(rows: DataFrame) -> DataFrame:
 
 
 def hot(docs: DataFrame, parts: int, sample: int = 2_000) -> Layout:
-    """The layout, with the words and pairs that are frequent in a bounded sample."""
+    """The layout, with the words and pairs that are frequent in a sample of about ``sample`` rows, or two a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -443,10 +450,13 @@ def hot(docs: DataFrame, parts: int, sample: int = 2_000) -> Layout:
                 kinds, n = np.unique(key, return_counts=True)
                 yield pa.RecordBatch.from_pydict({"pairs": pa.array([pairs] * kinds.size), "key": pa.array(kinds.view(np.int64)), "n": pa.array(n, pa.int64())})
 
-    counts = docs.select("text").sample(0.05, 11).limit(sample).mapInArrow(run, "pairs boolean, key long, n long").groupBy("pairs", "key").agg(F.sum("n").alias("n")).persist()
+    # rows of every partition, so that no order of the table hides a word
+    fraction = min(0.05, max(sample, 2 * parts) / max(1, docs.count()))
+    counts = docs.select("text").sample(fraction, 11).mapInArrow(run, "pairs boolean, key long, n long").groupBy("pairs", "key").agg(F.sum("n").alias("n")).persist()
     total = counts.filter("pairs").agg(F.sum("n")).first()[0] or 0
     # the share bounds both lists; a pair's word is at least as frequent as the pair, and so always listed with it
-    found = [counts.filter(F.col("pairs") == k).filter(F.col("n") >= HOT_SHARE * total).collect() for k in (False, True)]
+    often = counts.filter(F.col("n") >= min(HOT_SHARE, 0.5 / parts) * total).select("pairs", "key").collect()
+    found = [[r for r in often if r["pairs"] == k] for k in (False, True)]
     counts.unpersist()
     # a number for each partition that hash partitioning deals to a partition of its own
     slot = docs.sparkSession.range(16 * parts).select(F.col("id").cast("int").alias("id"), F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("p"))
@@ -459,7 +469,9 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row; rows for which ``held_out`` is true are not learned from.
 
     There are as many table partitions as shuffle partitions; a partition is
-    held in memory, so size them to the data as for any shuffle.
+    held in memory, so size them to the data as for any shuffle. By word, no key
+    that is not split exceeds about half a mean partition; by history, all
+    unseen held-out occurrences after one word are in one partition.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text).alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -46,3 +46,29 @@ def test_more_than_128_equally_frequent_words(spark):
     docs = [(i, i % 10 == 0, " ".join(words)) for i in range(200)]
     docs += [(1000 + i, i % 2 == 0, f"w{i} w{i + 2} new{i} w{i}") for i in range(100)]
     same(spark, docs, 8)
+
+
+def has(layout, word):
+    return katz.member(layout.words, katz.hashes(word.encode()))[0] >= 0
+
+
+def test_hot_words_of_an_ordered_table(spark):
+    """The frequent words of the last partitions are found too."""
+    df = spark.range(0, 120_000, 1, 8).select(F.when(F.col("id") < 90_000, "the cat").otherwise("le chat").alias("text"))
+    layout = katz.hot(df, 8)
+    assert all(has(layout, w) for w in ("the", "cat", "le", "chat"))
+
+
+def test_hot_share_follows_the_partitions(spark):
+    """A word of 0.2% is small for 8 partitions, and twice the mean of 1000."""
+    docs = [(" ".join([*(f"w{i}x{k}" for k in range(48)), "often" if i % 10 == 0 else "seldom%d" % i]),) for i in range(8000)]
+    df = spark.createDataFrame(docs, "text string").repartition(8, "text")
+    assert not has(katz.hot(df, 8), "often")
+    assert has(katz.hot(df, 1000), "often")
+
+
+def test_long_lists_of_hot_words(spark, monkeypatch):
+    """Most words and pairs of the sample are split, of few partitions too."""
+    monkeypatch.setattr(katz, "HOT_SHARE", 1e-4)
+    docs = [(i, i % 7 == 0, " ".join(f"w{(i * k + k * k) % 211}" for k in range(i % 40))) for i in range(400)]
+    same(spark, docs, 6)
