@@ -69,6 +69,12 @@ def stage_path(root: str, snapshot_date: str, name: str) -> str:
     return f"{root.rstrip('/')}/{snapshot_date}/{name}"
 
 
+def stage_options(fmt: str) -> dict[str, str]:
+    """Options with which text comes back as it was written, by both sides."""
+    csv = {"escape": '"', "multiLine": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    return csv if fmt == "csv" else {}
+
+
 def stage_write(df: DataFrame, root: str, name: str, snapshot_date: str, fmt: str = "parquet") -> str:
     """Staging overwrite at the dated path (K2). Parquet by default (no Delta jar)."""
     path = stage_path(root, snapshot_date, name)
@@ -80,9 +86,14 @@ def stage_write_typed(typed: DataFrame, root: str, snapshot_date: str, fmt: str
     """All three staging tables in one pass (K2): the typed union written once,
     partitioned by ``type``, at ``<root>/<date>/typed``. One parse of the
     landing and one write job instead of three; reading one table back prunes
-    to its ``type`` folder and its columns."""
+    to its ``type`` folder and its columns. Only Parquet files keep the column
+    metadata (groups, metrics); for other formats the schema is written beside
+    the table, at ``<root>/<date>/typed_columns``."""
     path = stage_path(root, snapshot_date, "typed")
-    typed.write.format(fmt).mode("overwrite").partitionBy("type").save(path)
+    if fmt != "parquet":
+        one = typed.sparkSession.createDataFrame([(typed.schema.json(),)], "value string")
+        one.coalesce(1).write.mode("overwrite").text(stage_path(root, snapshot_date, "typed_columns"))
+    typed.write.format(fmt).options(**stage_options(fmt)).mode("overwrite").partitionBy("type").save(path)
     return path
 
 

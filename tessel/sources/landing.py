@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,7 +12,8 @@ from pyspark.sql import types as T
 
 from ..functions.json import CORRUPT, JSON_OPTIONS
 from ..functions.keys import path_key
-from ..sinks.writers import DATE_COL, stage_path
+from ..functions.schema import TYPE_ANNUAL, TYPE_QUARTERLY, group_of
+from ..sinks.writers import DATE_COL, stage_options, stage_path
 
 
 def read_json(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
@@ -68,8 +70,25 @@ def stage_read(spark: SparkSession, root: str, name: str, snapshot_date: str,
 
 
 def stage_read_typed(spark: SparkSession, root: str, snapshot_date: str, fmt: str = "parquet") -> DataFrame:
-    """The one-pass typed staging of one date (see ``writers.stage_write_typed``)."""
-    return spark.read.format(fmt).load(stage_path(root, snapshot_date, "typed"))
+    """The one-pass typed staging of one date (see ``writers.stage_write_typed``).
+
+    Raises if no column tells its group but there are series rows, whose values
+    would else be lost.
+    """
+    path, reader = stage_path(root, snapshot_date, "typed"), spark.read.format(fmt).options(**stage_options(fmt))
+    if fmt != "parquet":
+        try:
+            columns = spark.read.text(stage_path(root, snapshot_date, "typed_columns")).first()[0]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            raise ValueError(f"no column groups beside {path}: write the staging again") from e
+        reader = reader.schema(T.StructType.fromJson(json.loads(columns)))
+    typed = reader.load(path)
+    if not any(group_of(f) for f in typed.schema.fields):
+        if not typed.filter(F.col("type").isin(TYPE_QUARTERLY, TYPE_ANNUAL)).isEmpty():
+            raise ValueError(f"series rows, but no column groups in {path}: write the staging again")
+    return typed
 
 
 def with_path_key(df: DataFrame, name: str = "path_symbol") -> DataFrame:
