@@ -148,4 +148,23 @@ SELECT w.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(o.doc_id
 FROM w LEFT JOIN n ON n.rid = w.rid JOIN c ON c.rid = w.rid JOIN w o ON o.rid = c.other GROUP BY w.rid, w.doc_id
 """
 
-ORACLE = {"op2_mixing": _op2(), "op4_secrets": _op4(), "op5_urls": _op5(), "op7_quality": OP7, "op10_jaccard": OP10}
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT rid) AS docs FROM (SELECT rid, lang, source, unnest(ws) AS term FROM d) GROUP BY ALL),
+k AS (SELECT lang, term, sum(n)::HUGEINT AS total FROM c GROUP BY lang, term HAVING sum(docs) >= 30),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+cell AS (SELECT g.lang, g.source, k.term, k.total, coalesce(c.n, 0)::HUGEINT AS n FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT *, sum(n) OVER (PARTITION BY lang, source)::HUGEINT AS own FROM cell),
+p AS (SELECT s.lang, s.source, s.term, s.n, 1 + (1000000000 * (s.n + 5)) // (s.own + 5 * v.v) AS p, 1 + (1000000000 * (s.total + 5)) // (v.n + 5 * v.v) AS q FROM s JOIN v USING (lang)),
+w AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(w.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN w ON w.lang = a.lang AND w.source = a.source AND w.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 50
+"""
+
+ORACLE = {"op2_mixing": _op2(), "op4_secrets": _op4(), "op5_urls": _op5(), "op7_quality": OP7, "op10_jaccard": OP10, "op12_divergence": OP12}

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import ann, arrowtokens, bpe, katz, mixing, quality, secrets, ssjoin, toxicity, urlfilter
+from . import ann, arrowtokens, bpe, divergence, katz, mixing, quality, secrets, ssjoin, tokencounts, toxicity, urlfilter, whitening
 from .common import settle, table, whole, words
 from .oracle import ORACLE
 
@@ -85,7 +85,19 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ssjoin.join(table(spark, sf_dir, "documents"), ssjoin.Jaccard(4, 85, 100)).drop("class_id")
 
 
+def op11_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.count(table(spark, sf_dir, "documents"), VOCABULARY, 1024)
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_mixing, op3_katz, op4_secrets, op5_urls, op6_ann, op7_quality, op8_bpe, op9_arrow, op10_jaccard)
+    f.__name__: f for f in (op1_toxicity, op2_mixing, op3_katz, op4_secrets, op5_urls, op6_ann, op7_quality, op8_bpe, op9_arrow, op10_jaccard, op11_counts, op12_divergence, op13_whitening)
 }
 __all__ = ["ORACLE", "QUERIES"]
