@@ -4,9 +4,12 @@
    exceeds ``most`` times its source's size (water filling).
 2. The targets are apportioned in blocks of equal token counts: each block goes
    to the source with the highest quotient ``target / (2 * blocks + 1)``.
-3. A source's documents are dealt over shards by a seeded hash. The source's
-   blocks are apportioned over its shards by the same quotients of their sizes,
-   which gives every shard an integer quota.
+3. A source's documents are dealt over shards by a seeded hash of id and text.
+   A shard's tokens are cut into whole blocks of equal size, as near to the
+   block size as goes. The source's quota, restated in these blocks, is
+   apportioned over its shards by the same quotients of their blocks, which
+   gives every shard an integer quota. No quota exceeds ``most`` times the
+   shard's blocks, as the highest quotients never give more, so no seat is lost.
 4. Within a shard the documents stand in a seeded order and form one stream of
    tokens, cut into blocks of equal size. The quota takes every block
    ``quota div blocks`` times, and the rest as a run of blocks from a seeded
@@ -17,16 +20,21 @@ The highest quotients are found without listing all of them: at the divisor
 ``total / (blocks - sources / 2)`` the rounded shares sum to at most the blocks,
 and only the few quotients between that divisor and
 ``total / (blocks + sources / 2)`` are ranked. Everything is arithmetic over
-running sums; a source with a third of all rows is many shards. The tables of
-sources and of shards (at most ``most_shards`` a source) are small next to the
-documents.
+running sums; a source with a third of all rows is many shards. Their number and
+their documents both grow with the square root of the source's documents, so
+that neither the shards of a source nor the documents of a shard, which are
+window groups, outgrow the other. The tables of sources and of shards are small
+next to the documents.
 
 Block size: ``block`` tokens, less if a small source's target is under
-``per_source`` blocks.
+``per_source`` blocks. A shard has about ``shard_blocks`` blocks or more, so that
+rounding it to whole blocks moves what it takes by half a hundredth at most; a
+source too small for that is one shard.
 
 Edge cases: null text or no words is size 0 and takes nothing; null is a source
 of its own, last in order; repeated rows are documents of their own (equal rows
-are interchangeable); an empty table gives an empty result; all sizes 0 give
+are interchangeable, and meet in one shard); rows without an id or with one id
+are dealt by their texts; an empty table gives an empty result; all sizes 0 give
 targets 0; other columns pass
 through within the row, whatever their names.
 """
@@ -51,7 +59,7 @@ class Mix:
     block: int = 256
     per_source: int = 200
     shard_docs: int = 64
-    most_shards: int = 4096
+    shard_blocks: int = 100
     seed: str = "mix"
 
 
@@ -110,29 +118,35 @@ def apportion(rows: DataFrame, share: str, seats: Column, by: list[str], key: li
     return r.join(q, same, "left").select(*keep, got.cast("long").alias(name))
 
 
-def mix(docs: DataFrame, doc_id: Column, source: Column, size: Column, m: Mix = Mix()) -> DataFrame:
+def mix(docs: DataFrame, doc_id: Column, source: Column, size: Column, text_hash: Column, m: Mix = Mix()) -> DataFrame:
     """(row, plan): every row of ``docs`` as a struct, and what the mix takes of it.
 
+    ``text_hash`` tells texts of one id apart.
+
     plan: size, source_size, target, copies (whole), the run's part of the
     document as tokens a0 to a1 and, if the run wraps, 0 to b1 (ends exclusive), and taken.
     """
-    docs = docs.select(F.struct("*").alias("row"), doc_id.alias("_id"), source.alias("_source"), size.cast("long").alias("_size"))
+    docs = docs.select(F.struct("*").alias("row"), doc_id.alias("_id"), source.alias("_source"), size.cast("long").alias("_size"), text_hash.alias("_text"))
     per_source = docs.groupBy(F.col("_source").alias("src")).agg(F.sum("_size").alias("source_size"), F.count("*").alias("docs"))
     sources = targets(settle(per_source, "mix-sources"), m)
     seats = F.round(F.sum("target").over(W.partitionBy()) / F.col("block"))
     sources = apportion(sources.withColumn("_all", seats), "target", F.col("_all"), [], ["src"], "quota").drop("_all")
-    sources = settle(sources.withColumn("shards", F.least(F.lit(m.most_shards), F.ceil(F.col("docs") / m.shard_docs)).cast("long")), "mix-quotas")
+    by_docs = F.least(F.ceil(F.col("docs") / m.shard_docs), F.ceil(4 * F.sqrt("docs")))
+    shards = F.greatest(F.lit(1), F.least(by_docs, F.floor(F.col("source_size") / (m.shard_blocks * F.col("block")))))
+    sources = settle(sources.withColumn("shards", shards.cast("long")), "mix-quotas")
     few = sources.count() <= 10_000  # a name and a few numbers each: proven small before it is broadcast
 
     def placed(rows: DataFrame) -> DataFrame:
-        """With the source's figures and the document's shard, on the seeded digest of its id."""
+        """With the source's figures and the document's shard, on the seeded digest of its id and text."""
         joined = rows.join(sources.hint("broadcast") if few else sources, F.col("_source").eqNullSafe(F.col("src")))
-        return joined.withColumn("_h", _digest(F.lit(m.seed), F.col("_id"))).withColumn("_shard", F.pmod(_number(F.col("_h")), F.col("shards")))
-
-    per_shard = placed(docs.drop("row")).groupBy("src", "_shard", "quota", "block").agg(F.sum("_size").alias("shard_size"))
-    shards = apportion(settle(per_shard, "mix-shards"), "shard_size", F.col("quota"), ["src"], ["_shard"], "q")
-    blocks = F.greatest(F.lit(1), F.round(F.col("shard_size") / F.col("block"))).cast("long")
-    shards = shards.withColumn("blocks", blocks).withColumn("q", F.least(F.col("q"), m.most * F.col("blocks")))
+        return joined.withColumn("_h", _digest(F.lit(m.seed), F.col("_id"), F.col("_text"))).withColumn("_shard", F.pmod(_number(F.col("_h")), F.col("shards")))
+
+    per_shard = placed(docs.drop("row")).groupBy("src", "_shard", "quota", "block", "source_size").agg(F.sum("_size").alias("shard_size"))
+    blocks = F.when(F.col("shard_size") > 0, F.greatest(F.lit(1), F.round(F.col("shard_size") / F.col("block")))).otherwise(0).cast("long")
+    shards = settle(per_shard.withColumn("blocks", blocks), "mix-shards")
+    every = F.sum("blocks").over(W.partitionBy("src"))
+    seats = F.least(m.most * every, F.when(every > 0, F.round(F.col("quota") * F.col("block") * every / F.col("source_size"))).otherwise(0))
+    shards = apportion(shards.withColumn("seats", seats), "blocks", F.col("seats"), ["src"], ["_shard"], "q").filter("blocks > 0")
     shards = shards.withColumn("first", F.pmod(_number(_digest(F.lit(m.seed), F.col("src"), F.col("_shard"))), F.col("blocks")))
     cut = lambda j: F.floor(j * F.col("shard_size") / F.col("blocks")).cast("long")
     end = F.col("first") + F.pmod("q", "blocks")
@@ -140,15 +154,16 @@ def mix(docs: DataFrame, doc_id: Column, source: Column, size: Column, m: Mix =
         F.col("src").alias("_s"), F.col("_shard").alias("_k"), F.floor(F.col("q") / F.col("blocks")).cast("long").alias("copies"),
         cut(F.col("first")).alias("r0"), cut(F.least(end, F.col("blocks"))).alias("r1"), cut(F.greatest(F.lit(0), end - F.col("blocks"))).alias("w1")), "mix-shard-quotas")
 
-    order = W.partitionBy("src", "_shard").orderBy("_h", F.col("_id").asc_nulls_first(), "_size")
+    order = W.partitionBy("src", "_shard").orderBy("_h", F.col("_id").asc_nulls_first(), "_text", "_size")
     stream = placed(docs).withColumn("_end", F.sum("_size").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    both = stream.join(shards, F.col("src").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_k")))
+    both = stream.join(shards, F.col("src").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_k")), "left")
     begin = F.col("_end") - F.col("_size")
     inside = lambda x: F.least(F.greatest(x - begin, F.lit(0)), F.col("_size")).cast("long")
-    a0, a1, b1 = inside(F.col("r0")), inside(F.col("r1")), inside(F.col("w1"))
-    taken = F.col("copies") * F.col("_size") + (a1 - a0) + b1
+    none = F.lit(0).cast("long")  # a shard without a word has no blocks
+    a0, a1, b1, copies = (F.coalesce(c, none) for c in (inside(F.col("r0")), inside(F.col("r1")), inside(F.col("w1")), F.col("copies")))
+    taken = copies * F.col("_size") + (a1 - a0) + b1
     return both.select("row", F.struct(
-        F.col("_size").alias("size"), "source_size", "target", "copies", a0.alias("a0"), a1.alias("a1"), b1.alias("b1"), taken.cast("long").alias("taken")).alias("plan"))
+        F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"), a0.alias("a0"), a1.alias("a1"), b1.alias("b1"), taken.cast("long").alias("taken")).alias("plan"))
 
 
 def realise(mixed: DataFrame, text: str, columns: Sequence[str]) -> DataFrame:

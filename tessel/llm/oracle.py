@@ -70,7 +70,7 @@ def _op2(m: Mix = Mix()) -> str:
     number = lambda x: f"('0x' || substr({x}, 1, 8))::BIGINT"
     seed = f"'{m.seed}'"
     return f"""
-WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size FROM documents),
+WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5(coalesce(text, '')) AS tie FROM documents),
 s0 AS (SELECT source AS src, sum(size)::BIGINT AS source_size, count(*) AS docs FROM d GROUP BY source),
 s1 AS (SELECT *, ({weights})[(row_number() OVER (ORDER BY src NULLS LAST) - 1) % {len(m.weights)} + 1] AS w, {m.most}.0 * source_size AS cap, {m.share} * sum(source_size) OVER () AS total FROM s0),
 s2 AS (SELECT *, cap / w AS ratio FROM s1),
@@ -81,18 +81,20 @@ s5 AS (SELECT src, source_size, docs, CASE WHEN full_ OR sharing = 0 THEN cap EL
 s6 AS (SELECT *, greatest(1, least({m.block}, floor(coalesce(min(target) FILTER (target > 0) OVER (), 1.0) / {m.per_source})))::BIGINT AS block FROM s5),
 s7 AS (SELECT *, round(sum(target) OVER () / block) AS all_ FROM s6),
 {apportioned("s7", "s8", "target", "", "src", "all_", "quota")},
-s9 AS (SELECT src, source_size, target, block, quota, least({m.most_shards}, ceil(docs / {m.shard_docs}.0))::BIGINT AS shards FROM s8),
-p AS (SELECT d.*, s9.*, {digest(seed, "d.doc_id")} AS h, {number(digest(seed, "d.doc_id"))} % s9.shards AS shard FROM d JOIN s9 ON d.source IS NOT DISTINCT FROM s9.src),
-h0 AS (SELECT src, shard, any_value(quota) AS quota, any_value(block) AS block, sum(size)::BIGINT AS shard_size FROM p GROUP BY src, shard),
-{apportioned("h0", "h1", "shard_size", "src", "shard", "quota", "q0")},
-h2 AS (SELECT src, shard, shard_size, q0, greatest(1, round(shard_size / block::DOUBLE))::BIGINT AS blocks FROM h1),
-h3 AS (SELECT *, least(q0, {m.most} * blocks) AS q, {number(digest(seed, "src", "shard"))} % blocks AS first_ FROM h2),
+s9 AS (SELECT src, source_size, target, block, quota, greatest(1, least(ceil(docs / {m.shard_docs}.0), ceil(4 * sqrt(docs)), floor(source_size / ({m.shard_blocks}.0 * block))))::BIGINT AS shards FROM s8),
+p AS (SELECT d.*, s9.*, {digest(seed, "d.doc_id", "d.tie")} AS h, {number(digest(seed, "d.doc_id", "d.tie"))} % s9.shards AS shard FROM d JOIN s9 ON d.source IS NOT DISTINCT FROM s9.src),
+h00 AS (SELECT src, shard, any_value(quota) AS quota, any_value(block) AS block, any_value(source_size) AS source_size, sum(size)::BIGINT AS shard_size FROM p GROUP BY src, shard),
+h01 AS (SELECT *, CASE WHEN shard_size > 0 THEN greatest(1, round(shard_size / block::DOUBLE)) ELSE 0 END::BIGINT AS blocks FROM h00),
+h0 AS (SELECT *, least({m.most} * sum(blocks) OVER (PARTITION BY src), CASE WHEN sum(blocks) OVER (PARTITION BY src) > 0
+  THEN round((quota * block * sum(blocks) OVER (PARTITION BY src))::DOUBLE / source_size) ELSE 0 END) AS seats FROM h01),
+{apportioned("h0", "h1", "blocks", "src", "shard", "seats", "q")},
+h3 AS (SELECT *, {number(digest(seed, "src", "shard"))} % blocks AS first_ FROM h1 WHERE blocks > 0),
 h4 AS (SELECT *, q // blocks AS copies, first_ + q % blocks AS end_ FROM h3),
 h5 AS (SELECT src AS s_, shard AS k_, copies, (first_ * shard_size) // blocks AS r0, (least(end_, blocks) * shard_size) // blocks AS r1, (greatest(0, end_ - blocks) * shard_size) // blocks AS w1 FROM h4),
-o AS (SELECT *, sum(size) OVER (PARTITION BY src, shard ORDER BY h, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS begin_ FROM p)
+o AS (SELECT *, sum(size) OVER (PARTITION BY src, shard ORDER BY h, doc_id NULLS FIRST, tie, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS begin_ FROM p)
 SELECT doc_id, size, source_size, target,
-  (copies * size + least(greatest(r1 - begin_, 0), size) - least(greatest(r0 - begin_, 0), size) + least(greatest(w1 - begin_, 0), size))::BIGINT AS taken
-FROM o JOIN h5 ON o.src IS NOT DISTINCT FROM h5.s_ AND o.shard = h5.k_
+  coalesce(copies * size + least(greatest(r1 - begin_, 0), size) - least(greatest(r0 - begin_, 0), size) + least(greatest(w1 - begin_, 0), size), 0)::BIGINT AS taken
+FROM o LEFT JOIN h5 ON o.src IS NOT DISTINCT FROM h5.s_ AND o.shard = h5.k_
 """
 
 

@@ -29,8 +29,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.size(words(whole("text"))).cast("long").alias("size"))
-    rows = mixing.mix(settle(docs, "mix-sizes"), F.col("doc_id"), F.col("source"), F.col("size"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.size(words(whole("text"))).cast("long").alias("size"), F.md5(whole("text")).alias("text_hash"))
+    rows = mixing.mix(settle(docs, "mix-sizes"), F.col("doc_id"), F.col("source"), F.col("size"), F.col("text_hash"))
     return rows.select("row.doc_id", *[F.col(f"plan.{c}") for c in ("size", "source_size", "target", "taken")])
 
 

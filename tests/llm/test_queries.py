@@ -14,7 +14,7 @@ from scripts.oracle_check import compare
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tessel.llm import arrowtokens, katz, ssjoin
+from tessel.llm import arrowtokens, katz, mixing, ssjoin
 from tessel.llm.oracle import ORACLE
 from tessel.llm.queries import QUERIES, VOCABULARY
 
@@ -233,3 +233,36 @@ def test_pipeline(spark, small, duck):
     final = corpus_pipeline.encoded(spark, mixed, small)
     want = Counter((r.doc_id, len(LIBRARY.encode(r.text, add_special_tokens=False).ids)) for r in mixed.select("doc_id", "text").collect())
     assert Counter((r.doc_id, r.n_tokens) for r in final.collect()) == want
+
+
+def _mixed(spark, texts):
+    """texts: source -> texts; (taken, target) of each source, at the query's parameters, with a third of the ids null."""
+    made = [(None if k % 3 == 0 else k, s, t) for s, x in texts.items() for k, t in enumerate(x)]
+    df = spark.createDataFrame(made, "doc_id long, source string, text string").repartition(4)
+    size = mixing.F.size(mixing.words(mixing.whole("text"))).cast("long")
+    rows = mixing.mix(df, df.doc_id, df.source, size, mixing.F.md5("text"))
+    got = rows.select("row.source", "plan.*").groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
+    return {r.source: (r["sum(taken)"], r["max(target)"]) for r in got}
+
+
+@pytest.mark.parametrize("kind", ["one word", "two words beside", "long", "mixed", "tiny"])
+def test_mixing_takes_its_target(spark, kind):
+    draw = random.Random(9)
+    say = lambda n: " ".join("w%d" % draw.randrange(10**6) for _ in range(n))
+    texts = {
+        "one word": {"a": [say(1) for _ in range(20_000)]},
+        "two words beside": {"a": [say(1) for _ in range(4000)], "b": [say(2) for _ in range(4000)], "c": [say(2) for _ in range(4000)]},
+        "long": {"a": [say(20_000) for _ in range(8)], "b": [say(1) for _ in range(3000)], "c": [say(300) for _ in range(100)]},
+        "mixed": {s: [say(draw.choice([0, 1, 5, 80, 900])) for _ in range(400 * k)] for k, s in enumerate("abcd", 1)},
+        "tiny": {"a": [say(1)], "b": [say(2), ""], "c": [""], "d": [say(50) for _ in range(200)]},
+    }[kind]
+    for taken, target in _mixed(spark, texts).values():
+        assert abs(taken - target) <= max(1, 0.02 * target)
+
+
+def test_mixing_shards_of_rows_without_an_id(spark):
+    texts = ["w%d v%d" % (k, k % 7) for k in range(20_000)]
+    df = spark.createDataFrame([(None if k % 3 == 0 else k, "a", t) for k, t in enumerate(texts)], "doc_id long, source string, text string")
+    digest = mixing._digest(mixing.F.lit("mix"), df.doc_id, mixing.F.md5("text"))
+    sizes = [r["count"] for r in df.groupBy(mixing.F.pmod(mixing._number(digest), mixing.F.lit(100))).count().collect()]
+    assert len(sizes) == 100 and max(sizes) <= 2 * 20_000 / 100
