@@ -49,7 +49,7 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights: a row per whole copy and per cut part that the mix takes."""
-    plan = mixing.mix(docs, F.col("doc_id"), F.col("source"), F.size(words(whole("text"))))
+    plan = mixing.mix(docs, F.col("doc_id"), F.col("source"), F.size(words(whole("text"))), F.md5(whole("text")))
     return _measured(mixing.realise(plan, "text", docs.columns), docs)
 
 
