@@ -64,7 +64,6 @@ from .components import components
 
 LIGHT, LIST_COST, HUBS, BLOCK = 24, 2.0, 2, 512
 GOLDEN = 0x9E3779B97F4A7C15
-MAX = np.iinfo(np.int64).max
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -244,20 +243,28 @@ def lists(posts: DataFrame) -> DataFrame:
     return rows.filter("low < high").select(F.xxhash64("low", "high", "s1", "s2").alias("list"), "key").distinct()
 
 
+def named(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, text) of one document for each of the keys, and of its copies under the same id.
+
+    A row is named by id and hash of its text, as ids may be null or repeat.
+    """
+    one = classes.join(keys, "key").groupBy("key").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    one = one.select("key", F.col("one.doc_id").alias("i"), F.col("one.text_hash").alias("t"))
+    return docs.join(one, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("t"))).select("key", "text")
+
+
 def texts_of(docs: DataFrame, classes: DataFrame, keys: DataFrame, j: Jaccard) -> DataFrame:
-    """(key, text, outline) of one document for each of the keys."""
-    one = classes.join(keys, "key").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    rows = docs.join(one, F.coalesce(docs["doc_id"], F.lit(MAX)) == F.coalesce(one["doc_id"], F.lit(MAX))).select("key", "text")
+    """(key, text, outline) of one document for each of the keys. docs: doc_id, text, text_hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Several texts may have one id: only the one of the key's set passes."""
+        """Two texts may have one hash: only the one of the key's set passes."""
         for b in batches:
             found = [shingles(t, j.k) for t in _bytes(b.column(1))]
             keep = [u.size > 0 and key_of(u) == k for k, u in zip(b.column(0).to_pylist(), found, strict=True)]
             outlines = pa.array([outline(u).tobytes() if ok else None for u, ok in zip(found, keep, strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), outlines], ["key", "text", "outline"]).filter(pa.array(keep))
 
-    return rows.mapInArrow(run, "key long, text string, outline binary").dropDuplicates(["key"])
+    return named(docs, classes, keys).mapInArrow(run, "key long, text string, outline binary").dropDuplicates(["key"])
 
 
 def across(rows: DataFrame, outlines: DataFrame, j: Jaccard) -> DataFrame:
@@ -362,8 +369,8 @@ def links(docs: DataFrame, classes: DataFrame, j: Jaccard) -> DataFrame:
 
 def grouped(docs: DataFrame, j: Jaccard) -> DataFrame:
     """(doc_id, n, key, text_hash, class_id, component_id, root) of every row of (doc_id, text); root names the component, null without a set."""
-    docs = docs.select("doc_id", "text")
-    classes = settle(sets(docs.withColumn("text_hash", F.xxhash64("text")), j), "join-sets")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    classes = settle(sets(docs, j), "join-sets")
     small = {x["n"]: x["c"] for x in classes.filter(F.col("n").between(1, LIGHT)).groupBy("n").agg(F.countDistinct("key").alias("c")).collect()}
     j = Jaccard(j.k, j.num, j.den, boundary(j, small))
     roots = components(links(docs, classes, j), "a", "b")

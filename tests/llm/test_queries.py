@@ -35,8 +35,6 @@ def test_empty_tables(spark, empty, name):
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql(spark, small, duck, name):
-    if name == "op10_jaccard":
-        pytest.skip("rows without an id differ in SQL's grouping; see test_jaccard")
     df = QUERIES[name](spark, small)
     columns, want = duck(ORACLE[name], **corpus())
     assert compare(df.columns, [tuple(r) for r in df.collect()], columns, want) == []
@@ -266,3 +264,19 @@ def test_mixing_shards_of_rows_without_an_id(spark):
     digest = mixing._digest(mixing.F.lit("mix"), df.doc_id, mixing.F.md5("text"))
     sizes = [r["count"] for r in df.groupBy(mixing.F.pmod(mixing._number(digest), mixing.F.lit(100))).count().collect()]
     assert len(sizes) == 100 and max(sizes) <= 2 * 20_000 / 100
+
+
+@pytest.mark.parametrize("n", [100, 400])
+def test_rows_without_an_id_meet_their_own_class_alone(spark, n):
+    draw = random.Random(n)
+    base = ["w%d" % k for k in range(60)]
+    texts = [" ".join([*base[: (at := draw.randrange(60))], "x%d" % k, *base[at + 1 :]]) for k in range(n)] * 2
+    rows = [(None if k % 3 == 0 else k, t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_hash", mixing.F.xxhash64("text"))
+    j = ssjoin.Jaccard(4, 85, 100)
+    classes = ssjoin.sets(docs, j)
+    read = ssjoin.named(docs, classes, classes.select("key").distinct()).groupBy("key").count().collect()
+    assert len(read) == n and sum(r["count"] for r in read) <= 2 * n
+    root, _ = groups(texts[:n], 4, 85, 100)
+    got = ssjoin.join(docs.select("doc_id", "text"), j)
+    assert got.select("component_id").distinct().count() == len(set(root))
