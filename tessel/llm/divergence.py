@@ -20,10 +20,10 @@ language and the terms that most set a source apart from its language. All
 arithmetic is on longs and decimals, so results do not depend on partitioning.
 
 Distances are sums over all kept terms, those absent from both sources too.
-They are added up over buckets of terms, for two blocks of at most BLOCK
-sources at a time: a task holds at most 2 x BLOCK x (about ENTRIES / (2 x
-BLOCK)) numbers, however frequent a term or large a language or source. The
-result itself has a row for each two sources of a language.
+They are added up over buckets of about TERMS terms, for two blocks of at most
+BLOCK sources at a time: a task holds about ENTRIES numbers at most, however
+frequent a term or large a language or source. The result itself has a row for
+each two sources of a language.
 
 Edge cases: null text, lang and source count as empty; a group without terms
 has its rows; a language without kept terms has distances of 0 and no term
@@ -52,7 +52,8 @@ FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 FIRST = np.array([(1 << 64) - (1 << 64 - 8 * k) for k in range(9)], np.uint64)
 #: Bytes of a shard; bytes from which on the rest of a word is compared as one string.
 SHARD, DEEP = 8 << 20, 64
-BLOCK, ENTRIES = 512, 1 << 22
+#: Sources of a block; terms of a bucket, fewer where a cell would have over ENTRIES numbers.
+BLOCK, TERMS, ENTRIES = 512, 2048, 1 << 21
 COUNTS = "lang string, source string, term string, docs long, count long"
 
 
@@ -254,7 +255,7 @@ def _ranked(rows: DataFrame) -> DataFrame:
 def distances(groups: DataFrame, scored: DataFrame) -> DataFrame:
     """Sum over a language's kept terms of the difference of p, for every two sources, both ways."""
     wide = F.least(F.col("sources"), F.lit(2 * BLOCK))
-    buckets = F.greatest(F.lit(1), F.ceil(F.col("v") * wide / ENTRIES)).cast("int")
+    buckets = F.greatest(F.lit(1), F.ceil(F.col("v") / F.least(F.lit(float(TERMS)), ENTRIES / wide))).cast("int")
     block = F.floor(F.col("no") / BLOCK).cast("int")
     blocks = F.ceil(F.col("sources") / BLOCK).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")

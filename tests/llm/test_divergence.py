@@ -13,7 +13,7 @@ from tessel.llm import divergence
 TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 
 
-def terms(text):
+def words(text):
     return [w.translate({k: k + 32 for k in range(65, 91)}) for w in TERM.findall(text or "")]
 
 
@@ -26,7 +26,7 @@ def brute(rows, least, top):
     """rows: (lang, source, text)."""
     docs, count, out = Counter(), Counter(), []
     for lang, source, text in rows:
-        w = terms(text)
+        w = words(text)
         docs.update({(lang or "", t) for t in w})
         count.update((lang or "", source or "", t) for t in w)
     groups = sorted({(lang or "", source or "") for lang, source, _ in rows})
@@ -58,8 +58,8 @@ def test_runs():
     got_terms, got_group, docs, count = divergence.runs(np.frombuffer(body, np.uint8), bounds, group)
     want_docs, want_count = Counter(), Counter()
     for t, g in zip(some, group.tolist(), strict=True):
-        want_docs.update({(w, g) for w in terms(t)})
-        want_count.update((w, g) for w in terms(t))
+        want_docs.update({(w, g) for w in words(t)})
+        want_count.update((w, g) for w in words(t))
     keys = list(zip(got_terms.to_pylist(), got_group.tolist(), strict=True))
     assert dict(zip(keys, docs.tolist(), strict=True)) == want_docs and dict(zip(keys, count.tolist(), strict=True)) == want_count
     assert [k[0].encode() for k in keys] == sorted(k[0].encode() for k in keys)
@@ -76,15 +76,15 @@ def test_shards_of_any_size(monkeypatch, shard):
             for r in b.to_pylist():
                 docs[r["source"], r["term"]] += r["docs"]
                 count[r["source"], r["term"]] += r["count"]
-    want = Counter((s, w) for s, t in zip("st" * 20, some, strict=True) for w in set(terms(t)))
+    want = Counter((s, w) for s, t in zip("st" * 20, some, strict=True) for w in set(words(t)))
     assert docs == want
-    assert count == Counter((s, w) for s, t in zip("st" * 20, some, strict=True) for w in terms(t))
+    assert count == Counter((s, w) for s, t in zip("st" * 20, some, strict=True) for w in words(t))
 
 
-@pytest.mark.parametrize(("block", "entries"), [(512, 1 << 22), (2, 30)])
-def test_audit(spark, monkeypatch, block, entries):
-    monkeypatch.setattr(divergence, "BLOCK", block)
-    monkeypatch.setattr(divergence, "ENTRIES", entries)
+@pytest.mark.parametrize(("block", "terms", "entries"), [(512, 2048, 1 << 21), (2, 5, 8)])
+def test_audit(spark, monkeypatch, block, terms, entries):
+    for name, value in (("BLOCK", block), ("TERMS", terms), ("ENTRIES", entries)):
+        monkeypatch.setattr(divergence, name, value)
     rng = random.Random(4)
     rows = [(rng.choice(["en", "de", None]), rng.choice(["a", "b", "c", "d", "É", None]), t) for t in [*texts(rng, 150), None, "", "12 34"]]
     rows += [("fr", "lone", "seldom"), ("fr", None, None), ("it", "one", "x")]
