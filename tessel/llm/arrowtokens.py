@@ -21,11 +21,17 @@ files of those that succeeded. Lost executors cost their tasks only. The files
 go to a folder that all machines share.
 
 The library encodes each distinct chunk (white space and the text up to the
-next white space) once per worker and the ids are put together from these:
-pre-tokenization by the byte-level pattern never joins text across such a
-boundary. Texts are cut into chunks by their bytes, a batch at a time, and each
-batch's distinct chunks are looked up once. Texts that hold an added token's
-string, or any text under another kind of vocabulary, are encoded whole.
+next white space) and the ids are put together from these: pre-tokenization by
+the byte-level pattern never joins text across such a boundary. Texts are cut
+into chunks by their bytes, a slice of some MB at a time, and each slice's
+distinct chunks are looked up once. A worker keeps the ids of short chunks, up
+to KEEP of them, and begins anew when these are full; long ones are encoded in
+each slice that has them. Texts that hold an added token's string, or any text
+under another kind of vocabulary, are encoded whole.
+
+The folder may be on a local or shared disk (a path or file:), hdfs:, s3: or
+s3a:, gs:, abfs: or abfss:, by pyarrow's own clients; another scheme raises
+before any row is read.
 
 Edge cases: a null or empty text has the end id alone; null ids come first;
 repeated ids are ordered by a hash of the text, equal rows are interchangeable;
@@ -55,17 +61,25 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bpe import BLANK
-from .common import settle, whole
+from .common import settle, slices, whole
 
 SPACES = frozenset(x for x in map(chr, range(0x3001)) if re.match(f"[{BLANK}]", x))
 #: By byte: ASCII white space, and the middle byte of white space that has three.
 ASCII_BLANK, MIDDLE = (np.isin(np.arange(256), x) for x in ([*range(9, 14), 32], [0x9A, 0x80, 0x81]))
-LENGTH, BATCH, END, KEEP = 1024, 256, 0, 1 << 20
+LENGTH, BATCH, END = 1024, 256, 0
+#: Chunks that a worker keeps and the longest of them (bytes); rows and bytes that are encoded at once.
+KEEP, KEPT_LENGTH, ROWS, BYTES = 1 << 19, 64, 10_000, 8 << 20
 MANIFEST = "part int, file string, docs_file string, docs long, tokens long"
 
 
 def place(uri: str) -> tuple[pa.fs.FileSystem, str]:
-    return pa.fs.FileSystem.from_uri(uri) if ":/" in uri else (pa.fs.LocalFileSystem(), uri)
+    """The file system of a folder or file, and its path there. Hadoop's s3a: is pyarrow's s3:."""
+    if ":/" not in uri:
+        return pa.fs.LocalFileSystem(), uri
+    try:
+        return pa.fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+    except pa.ArrowInvalid as e:
+        raise ValueError(f"{uri}: files go to a path, file:, hdfs:, s3:, s3a:, gs:, abfs: or abfss:") from e
 
 
 class Library:
@@ -91,12 +105,12 @@ class Library:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Ids of new chunks. Those led by one space, without a line break or white space at the end, are encoded many
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks. Those led by one space, without a line break or white space at the end, are encoded many
         at a time, a line break between them: the pattern makes each break a word of its own, and its id parts their ids."""
         spaced = [c for c in chunks if len(c) > 1 and c[0] == " " and c[1] not in SPACES and c[-1] not in SPACES and "\n" not in c] if self.line is not None else []
         rest = list(set(chunks).difference(spaced))
-        self.seen.update(zip(rest, self._library(rest), strict=True))
+        out = dict(zip(rest, self._library(rest), strict=True))
         groups = [spaced[i : i + 1000] for i in range(0, len(spaced), 1000)]
         for group, e in zip(groups, self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, np.dtype(self.code))
@@ -104,7 +118,8 @@ class Library:
             starts = np.concatenate([[0], ends[:-1] + 1])
             body, width = ids.tobytes(), ids.itemsize
             found = [body[x:y] for x, y in zip((starts * width).tolist(), (ends * width).tolist(), strict=True)]
-            self.seen.update(zip(group, found, strict=True))
+            out.update(zip(group, found, strict=True))
+        return out
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, as its array's bytes."""
@@ -128,11 +143,15 @@ class Library:
         cuts = chunk_starts(np.frombuffer(body, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]) + bounds[0]
         chunks = pa.LargeStringArray.from_buffers(len(cuts), pa.py_buffer(np.append(cuts, bounds[-1])), body).dictionary_encode()
         distinct, codes = chunks.dictionary.to_pylist(), chunks.indices.to_numpy()
-        if len(self.seen) >= KEEP:
+        ids = list(map(self.seen.get, distinct))
+        new = self._learn([c for c, known in zip(distinct, ids, strict=True) if known is None])
+        ids = [new[c] if known is None else known for c, known in zip(distinct, ids, strict=True)]
+        short = {c: x for c, x in new.items() if len(c) <= KEPT_LENGTH}
+        if len(self.seen) + len(short) > KEEP:
             self.seen.clear()
-        self._learn([c for c in distinct if c not in self.seen])
+        if len(short) <= KEEP:
+            self.seen.update(short)
         # the ids of the distinct chunks in a row, then of each chunk its run of them
-        ids = [self.seen[c] for c in distinct]
         flat = np.frombuffer(b"".join(ids), np.dtype(self.code))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // flat.itemsize
         runs = sizes[codes]
@@ -165,6 +184,7 @@ def library(path: str) -> Library:
 
 def write(docs: DataFrame, vocabulary: str, folder: str, length: int = LENGTH, batch: int = BATCH, end: int = END, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Write the files to ``folder`` and return their manifest."""
+    place(folder)
     rows = docs.select(F.col(key).cast("long").alias("key"), whole(text).alias("text"))
     rows = rows.repartitionByRange("key", F.xxhash64("text")).sortWithinPartitions("key", F.xxhash64("text"))
 
@@ -191,8 +211,7 @@ def write(docs: DataFrame, vocabulary: str, folder: str, length: int = LENGTH, b
             out.write_batch(pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(x), length) for x in (padded, mask)], schema=schema))
 
         for big in batches:
-            for k in range(0, big.num_rows, 500):
-                b = big.slice(k, 500)
+            for b in slices(big, 1, ROWS, BYTES):
                 starts, sizes = [], []
                 for ids in lib.encode(b.column(1)):
                     starts.append(at)

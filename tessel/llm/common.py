@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 #: The white space that separates words (space and \x09 to \x0D).
 SPACE = " \t\n\x0b\f\r"
 SPACE_RE = "[\\x20\\x09-\\x0D]+"
@@ -46,3 +50,17 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     """Marked for broadcast if it has at most ``rows`` rows; else left to a shuffled join. For settled tables of narrow rows."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def slices(batch: pa.RecordBatch, column: int, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of at most ``rows`` rows and, but for a longer text alone, ``size`` bytes of the text column."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right"))
+        until = min(max(full, at + 1), at + rows)
+        yield batch.slice(at, until - at)
+        at = until

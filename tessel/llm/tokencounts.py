@@ -39,7 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .arrowtokens import chunk_starts
 from .bpe import BLANK, PATTERN, Store, alphabet
-from .common import whole
+from .common import slices, whole
 
 #: Chunks that a worker keeps, and the longest that it keeps (characters).
 KEEP, KEPT_LENGTH = 1 << 18, 48
@@ -167,17 +167,6 @@ def merger(path: str) -> Merger:
     return Merger(path)
 
 
-def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Runs of at most ROWS rows and, but for a longer text, BYTES bytes of the column."""
-    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < batch.num_rows:
-        full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BYTES, "right"))
-        until = min(max(full, at + 1), at + ROWS)
-        yield batch.slice(at, until - at)
-        at = until
-
-
 def count(docs: DataFrame, vocabulary: str, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_bytes of the text's UTF-8, n_tokens, over_limit: more tokens than ``limit``) per row."""
     docs = docs.select(F.col(key).alias("key"), whole(text).alias("text"))
@@ -187,7 +176,7 @@ def count(docs: DataFrame, vocabulary: str, limit: int, key: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = merger(vocabulary)
         for big in batches:
-            for b in slices(big, 1):
+            for b in slices(big, 1, ROWS, BYTES):
                 texts = b.column(1).cast(pa.large_string())
                 n = m.counts(texts)
                 yield pa.RecordBatch.from_arrays([b.column(0), pc.binary_length(texts).cast(pa.int64()), pa.array(n), pa.array(n > limit)], schema=arrow)

@@ -124,6 +124,23 @@ def test_arrow_chunks_as_the_library():
     assert lib.encode(pa.array([], pa.string())) == []
 
 
+def test_arrow_store_stays_small(monkeypatch):
+    monkeypatch.setattr(arrowtokens, "KEEP", 50)
+    draw, lib = random.Random(2), arrowtokens.Library(VOCABULARY)
+    texts = [" ".join("w%d" % draw.randrange(300) + "x" * draw.choice([0, 90]) for _ in range(30)) for _ in range(60)]
+    for k in range(0, 60, 7):
+        some = texts[k : k + 7]
+        assert [np.frombuffer(x, lib.code).tolist() for x in lib.encode(pa.array(some))] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in some]
+        assert len(lib.seen) <= 50 and all(len(c) <= arrowtokens.KEPT_LENGTH for c in lib.seen)
+
+
+def test_arrow_folders(tmp_path):
+    assert arrowtokens.place(str(tmp_path))[1] == str(tmp_path) and arrowtokens.place(f"file://{tmp_path}")[1] == str(tmp_path)
+    assert arrowtokens.place("s3a://bucket/folder?region=us-east-1")[1] == "bucket/folder"
+    with pytest.raises(ValueError, match="s3a"):
+        arrowtokens.place("wasb://store/in")
+
+
 def groups(texts, k, num, den):
     """Brute force: root of each text; None without words."""
     sets = []

@@ -8,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tessel.llm import tokencounts
+from tessel.llm.common import slices
 from tessel.llm.queries import QUERIES, VOCABULARY
 
 LIBRARY = Tokenizer.from_file(VOCABULARY)
@@ -37,7 +38,9 @@ def test_texts_longer_than_a_slice(monkeypatch):
     texts = ["".join(rng.choice(parts) for _ in range(n)) for n in (0, 1, 50, 400, 900)] + ["z" * 3000, " " * 3000]
     assert m.counts(pa.array(texts, pa.large_string())).tolist() == [want(t) for t in texts]
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])
-    assert [t for b in tokencounts.slices(batch, 0) for t in b.column(0).to_pylist()] == texts
+    parts = [b.column(0).to_pylist() for b in slices(batch, 0, 3, 400)]
+    assert [t for p in parts for t in p] == texts
+    assert all(len(p) <= 3 and (len(p) == 1 or sum(len(t.encode()) for t in p) <= 400) for p in parts)
 
 
 def test_long_word_is_not_quadratic():
