@@ -44,6 +44,8 @@ TYPE_ANNUAL = "annual_metric"
 # no later step has to read a column's meaning out of its name.
 GROUP, METRIC_NAME = "tessel.group", "tessel.metric"
 QUARANTINE = "quarantine"
+# Group of the columns that repeat a document's other top-level fields on each of its rows.
+PASSTHROUGH = "passthrough"
 
 
 def tagged(col: Column, name: str, group: str, metric: str) -> Column:

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.schema import (QUARANTINE, TYPE_ANNUAL, TYPE_METRIC, TYPE_QUARTERLY, by_freq, group_of, quoted, tagged,
+from ..functions.schema import (PASSTHROUGH, QUARANTINE, TYPE_ANNUAL, TYPE_METRIC, TYPE_QUARTERLY, by_freq, group_of, quoted, tagged,
                                 unique_names)
 from .series import aligned_rows_sql, columns_for, has_points_sql, sql_ident, sql_str, with_period_prep
 
@@ -50,7 +50,8 @@ def non_empty_series(docs: DataFrame) -> Column:
 
 def typed_union(docs: DataFrame, metric_keys: Sequence[str],
                 series_metrics: Mapping[str, Sequence[str]] | Sequence[str],
-                align_mode: str = "period", bearing_only: bool = False, corrupt: str | None = None) -> DataFrame:
+                align_mode: str = "period", bearing_only: bool = False, corrupt: str | None = None,
+                passthrough: Sequence[str] = ()) -> DataFrame:
     """One wide typed frame for all documents (F1: P11, P12, P13, U1).
 
     Columns: ``type, symbol, date, <metric keys>, quarterly_<m>..., annual_<m>...``,
@@ -65,14 +66,16 @@ def typed_union(docs: DataFrame, metric_keys: Sequence[str],
     annual and quarterly points (W3 evaluated per document, which is how the
     reference decides it: per entity). ``corrupt`` names a column with the text
     of a malformed record: such a record becomes one row of type
-    ``quarantine`` that holds the text, and nothing else.
+    ``quarantine`` that holds the text, and nothing else. ``passthrough`` names
+    columns of ``docs`` that every row of the document repeats (P10).
     """
     metrics = by_freq(series_metrics)
     wanted = [*metric_keys, *[f"quarterly_{m}" for m in metrics["quarterly"]], *[f"annual_{m}" for m in metrics["annual"]]]
+    wanted_metrics = [*metric_keys, *metrics["quarterly"], *metrics["annual"]]
     keys = ["type", "symbol", "date", *([QUARANTINE] if corrupt else [])]
-    names = unique_names(wanted, keys)
-    k, q = len(metric_keys), len(metric_keys) + len(metrics["quarterly"])
-    m_names, q_names, a_names = names[:k], names[k:q], names[q:]
+    names = unique_names([*wanted, *passthrough], keys)
+    k, q, a = len(metric_keys), len(metric_keys) + len(metrics["quarterly"]), len(wanted)
+    m_names, q_names, a_names, p_names = names[:k], names[k:q], names[q:a], names[a:]
     q_spec = {n: ("quarterly", m) for n, m in zip(q_names, metrics["quarterly"])}
     a_spec = {n: ("annual", m) for n, m in zip(a_names, metrics["annual"])}
     s_null, d_null = "CAST(NULL AS STRING)", "CAST(NULL AS DOUBLE)"
@@ -83,6 +86,7 @@ def typed_union(docs: DataFrame, metric_keys: Sequence[str],
         parts += [f"{sql_str(n)}, {v}" for n, v in zip(m_names, metric_vals)]
         parts += [f"{sql_str(n)}, {v}" for n, v in zip(q_spec, q_vals)]
         parts += [f"{sql_str(n)}, {v}" for n, v in zip(a_spec, a_vals)]
+        parts += [f"{sql_str(n)}, {sql_ident(c)}" for n, c in zip(p_names, passthrough)]
         return "named_struct(" + ", ".join(parts) + ")"
 
     m_null, q_null, a_null = [s_null] * k, [d_null] * len(q_spec), [d_null] * len(a_spec)
@@ -100,8 +104,8 @@ def typed_union(docs: DataFrame, metric_keys: Sequence[str],
         text = sql_ident(corrupt)
         rows = f"IF({text} IS NULL, {rows}, array({row(QUARANTINE, 'NULL', m_null, q_null, a_null, text)}))"
     typed = with_period_prep(docs, {"_tq": q_spec, "_ta": a_spec}, align_mode).select(F.expr(f"inline({rows})"))
-    groups = [TYPE_METRIC] * k + [TYPE_QUARTERLY] * len(q_spec) + [TYPE_ANNUAL] * len(a_spec)
-    originals = [*metric_keys, *metrics["quarterly"], *metrics["annual"]]
+    groups = [TYPE_METRIC] * k + [TYPE_QUARTERLY] * len(q_spec) + [TYPE_ANNUAL] * len(a_spec) + [PASSTHROUGH] * len(p_names)
+    originals = [*wanted_metrics, *passthrough]
     out = [tagged(F.col(QUARANTINE), QUARANTINE, QUARANTINE, QUARANTINE)] if corrupt else []
     out += [tagged(F.col(quoted(n)), n, g, m) for n, g, m in zip(names, groups, originals)]
     return typed.select("type", "symbol", "date", *out)
@@ -123,12 +127,12 @@ def series_bearing(typed: DataFrame) -> DataFrame:
 def split_by_type(typed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Typed frame -> ``metric``, ``quarterly_metric``, ``annual_metric`` by the
     ``type`` marker only (W1, P14, P15); a column's group is in its metadata
-    (an untagged column counts as a metric)."""
+    (an untagged column counts as a metric, a passed-through one is in all three)."""
     fields = [f for f in typed.schema.fields if f.name not in ("type", "symbol", "date")]
     of = lambda *groups: [quoted(f.name) for f in fields if group_of(f) in groups]
-    metric = typed.filter(F.col("type") == TYPE_METRIC).select("symbol", *of(TYPE_METRIC, None))
-    quarterly = typed.filter(F.col("type") == TYPE_QUARTERLY).select("date", "symbol", *of(TYPE_QUARTERLY))
-    annual = typed.filter(F.col("type") == TYPE_ANNUAL).select("date", "symbol", *of(TYPE_ANNUAL))
+    metric = typed.filter(F.col("type") == TYPE_METRIC).select("symbol", *of(TYPE_METRIC, PASSTHROUGH, None))
+    quarterly = typed.filter(F.col("type") == TYPE_QUARTERLY).select("date", "symbol", *of(TYPE_QUARTERLY, PASSTHROUGH))
+    annual = typed.filter(F.col("type") == TYPE_ANNUAL).select("date", "symbol", *of(TYPE_ANNUAL, PASSTHROUGH))
     return metric, quarterly, annual
 
 

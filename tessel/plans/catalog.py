@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions import casts, keys
 from ..functions.json import parse_documents, parse_json
 from ..functions.schema import DOC_SCHEMA, FREQS
-from ..operators import facts, joins, quality, reshape, series
+from ..operators import facts, joins, nested, quality, reshape, series
 from ..session import scratch_path
 from ..sinks import writers
 from ..sources import directory, landing
@@ -33,6 +33,7 @@ NEW_KEY_CUTOFF = "1996-01-01"
 SNAPSHOTS = ("2024-01-07", "2024-01-14")
 SCAN_DATE = "2024-01-15"
 WAREHOUSE_DB = "core"
+SMALL_BALANCE = 1000  # parts the documents of the made cases
 PROPS_SCHEMA = T.StructType([T.StructField("k", T.LongType())])
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
@@ -197,6 +198,92 @@ def ragged_union(spark, sf_dir):
     return reshape.union_ragged([first, second])
 
 
+# --- documents of undeclared shape (VARIANT) ---------------------------------
+
+def _wild_text(spark, sf_dir):
+    """Documents whose shape no schema declares: other top-level fields, one of them of two types; metrics nested two
+    and three deep, with an empty object and an array between; points without a ``v`` where a frequency is short."""
+    d = documents(spark, sf_dir)
+    nation, balance = F.col("metric")["s_nationkey"].cast("int"), F.col("metric")["s_acctbal"].cast("double")
+    place = F.struct(nation.alias("nation"), F.struct(F.col("metric")["firstShip"].alias("first"), nation.alias("port")).alias("ship"))
+    metric = F.struct(F.col("metric")["firstShip"].alias("since"), place.alias("place"), F.create_map().cast("map<string,int>").alias("none"),
+                      F.array(nation, nation).alias("codes"), F.struct(balance.alias("usd.cents")).alias("balance"))
+    notes = F.array(F.struct(F.col("symbol").alias("by"), nation.alias("rank")))
+
+    def text(code, mark):
+        return F.to_json(F.struct("symbol", metric.alias("metric"), "series", F.lit("all").alias("metricType"), (balance < SMALL_BALANCE).alias("small"),
+                                  nation.alias("nation"), code.alias("code"), F.struct(notes.alias("notes"), mark.alias("mark")).alias("profile")))
+
+    text = F.when(balance < SMALL_BALANCE, text(F.col("symbol"), balance)).otherwise(text(nation, nation))
+    return d.select(text.alias("doc"))
+
+
+def _wild(spark, sf_dir):
+    """The declared fields, and all others as a map of VARIANT."""
+    doc = F.try_parse_json("doc")
+    parsed = parse_json(F.col("doc"), DOC_SCHEMA)
+    once = _wild_text(spark, sf_dir).select(F.inline(F.array(F.struct(parsed.alias("p"), doc.alias("v")))))
+    return once.select("p.*", nested.rest(F.col("v")).alias(nested.REST))
+
+
+@query("doc_passthrough")
+def doc_passthrough(spark, sf_dir):
+    """P10: the other top-level scalars, found in the data, on every metric and series row."""
+    d = _wild(spark, sf_dir)
+    d, names = nested.with_scalars(d, nested.scalar_fields(d))
+    typed = reshape.typed_union(d, ["since"], SERIES_METRICS, passthrough=names)
+    return typed.select("type", "symbol", "date", "since", "annual_sales", *names)
+
+
+@query("legacy_wide_passthrough")
+def legacy_wide_passthrough(spark, sf_dir):
+    """F5 with the other top-level scalars repeated beside the metrics."""
+    d = _wild(spark, sf_dir)
+    d, names = nested.with_scalars(d, nested.scalar_fields(d))
+    return staging.legacy_wide(d, ["since"], SERIES_METRICS, names).select("symbol", "date", "since", "annual_sales", "quarterly_sales", *names)
+
+
+@query("passthrough_fact")
+def passthrough_fact(spark, sf_dir):
+    """P10 through the jobs: fields found in the landing reach staging and the fact in the lake, with their types."""
+    from . import jobs
+    root, staged, lake = (scratch_path(spark, x) for x in ("wild-landing", "staging", "lake"))
+    _wild_text(spark, sf_dir).write.text(f"{root}/{writers.DATE_COL}={SNAPSHOTS[0]}")
+    jobs.transform_landing(spark, root, staged, SNAPSHOTS[0], ["since"], SERIES_METRICS, passthrough=True)
+    jobs.update_lake(spark, staged, lake, SNAPSHOTS[0], ["annual_metric"])
+    return writers.lake_read(spark, f"{lake}/annual_metric_fact")
+
+
+@query("metric_flatten")
+def metric_flatten(spark, sf_dir):
+    """Nested metrics under dotted names; the empty object and the array are left out."""
+    d = _wild_text(spark, sf_dir).select(F.get_json_object("doc", "$.symbol").alias("symbol"), F.try_parse_json("doc").alias("v"))
+    d = d.select("symbol", F.try_variant_get("v", "$.metric", "variant").alias("metric"))
+    return reshape.metric_long(nested.flatten_metrics(d))
+
+
+def _wild_paths(spark, sf_dir):
+    return nested.paths(_wild_text(spark, sf_dir).select(F.try_parse_json("doc").alias("doc")))
+
+
+@query("schema_paths")
+def schema_paths(spark, sf_dir):
+    """Every path of the documents with the kinds found there."""
+    return _wild_paths(spark, sf_dir)
+
+
+@query("schema_arrays")
+def schema_arrays(spark, sf_dir):
+    """P2 as data: the arrays of objects inside the documents."""
+    return nested.object_arrays(_wild_paths(spark, sf_dir))
+
+
+@query("schema_leaves")
+def schema_leaves(spark, sf_dir):
+    """P3 as data: the fields of those arrays' elements, with the type that holds all their values."""
+    return nested.array_fields(_wild_paths(spark, sf_dir))
+
+
 # --- directory, keys, joins ---------------------------------------------------
 
 @query("symbol_directory")
@@ -430,16 +517,23 @@ def awkward_keys(spark, sf_dir):
 
 @query("landing_quarantine")
 def landing_quarantine(spark, sf_dir):
-    """Q1 in the job: documents land beside lines that are no JSON; good ones reach staging, the others the quarantine."""
+    """Q1 in the job: lines that are no JSON go to the quarantine, and one value that does not fit costs that value alone.
+
+    To make the cases, nation names land beside the documents, and the first
+    value of each document with a small balance is put in words.
+    """
     from . import jobs
-    lines = document_text(spark, sf_dir).unionByName(table(spark, sf_dir, "nation").select(F.col("n_name").alias("doc")))
+    spoilt = F.regexp_replace("doc", '^(.*?"v":)[0-9.]+', '$1"unknown"')
+    below = F.get_json_object("doc", "$.metric.s_acctbal").cast("double") < SMALL_BALANCE
+    texts = document_text(spark, sf_dir).select(F.when(below, spoilt).otherwise(F.col("doc")).alias("doc"))
+    lines = texts.unionByName(table(spark, sf_dir, "nation").select(F.col("n_name").alias("doc")))
     root, staged = scratch_path(spark, "mixed-landing"), scratch_path(spark, "staging")
     lines.write.text(f"{root}/{writers.DATE_COL}={SNAPSHOTS[0]}")
     jobs.transform_landing(spark, root, staged, SNAPSHOTS[0])
-    good = reshape.split_by_type(landing.stage_read_typed(spark, staged, SNAPSHOTS[0]))[0]
+    good, _, annual = reshape.split_by_type(landing.stage_read_typed(spark, staged, SNAPSHOTS[0]))
+    values = annual.groupBy("symbol").agg(*[F.count(f"annual_{m}").alias(f"n_{m}") for m in SERIES_METRICS])
     bad = jobs.read_quarantine(spark, staged, SNAPSHOTS[0])
-    return good.select("symbol").withColumn("text", F.lit(None).cast("string")).withColumn("reason", F.lit(None).cast("string")) \
-        .unionByName(bad.withColumn("symbol", F.lit(None).cast("string")))
+    return good.select("symbol").join(values, "symbol", "left").unionByName(bad, allowMissingColumns=True)
 
 
 @query("discovered_metrics")

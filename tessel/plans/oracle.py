@@ -266,11 +266,76 @@ ORACLE.update({
     "awkward_keys": BASE + (
         "SELECT symbol, CAST(s_acctbal AS FLOAT) AS annual_yield, CAST(s_nationkey AS FLOAT) AS quarterly_x_y, "
         "CAST(s_acctbal AS FLOAT) AS metric_date, CAST(s_nationkey AS FLOAT) AS metric_type FROM met"),
-    "landing_quarantine": (
-        "SELECT s_name AS symbol, NULL AS text, NULL AS reason FROM supplier UNION ALL "
-        "SELECT NULL, n_name, 'malformed json' FROM nation"),
     "discovered_metrics": BASE + (
         "SELECT unnest(['firstShip', 's_acctbal', 's_nationkey']) AS name, 'metric' AS side UNION ALL "
         "SELECT DISTINCT metric, freq FROM pts WHERE NOT (freq = 'quarterly' AND metric = 'sales')"),
     "warehouse_selected": ORACLE["fact_quarterly"],
 })
+
+# --- documents of undeclared shape -------------------------------------------
+
+_WILD = BASE.rstrip() + """,
+wild AS (
+  SELECT s_name AS symbol, s_acctbal < 1000 AS small, CAST(s_nationkey AS BIGINT) AS nation, 'all' AS metricType,
+         CASE WHEN s_acctbal < 1000 THEN s_name ELSE CAST(s_nationkey AS VARCHAR) END AS code,
+         regexp_replace(CAST(CAST(CAST(s_acctbal AS DECIMAL(12,2)) AS DOUBLE) AS VARCHAR), '[.]0$', '') AS usd
+  FROM supplier)
+"""
+_OTHERS = "w.code, w.metricType, w.nation, w.small"
+
+
+def _sales(freq: str) -> str:
+    return f"max(v) FILTER (WHERE freq = '{freq}' AND metric = 'sales')"
+
+
+ORACLE.update({
+    "doc_passthrough": _WILD + f"""
+SELECT 'metric' AS type, m.symbol, NULL AS date, m.firstShip AS since, NULL AS annual_sales, {_OTHERS} FROM met m JOIN wild w USING (symbol)
+UNION ALL SELECT p.type, p.symbol, p.date, NULL, p.sales, {_OTHERS} FROM (
+  SELECT freq || '_metric' AS type, symbol, period AS date, {_sales('annual')} AS sales FROM pts GROUP BY freq, symbol, period) p JOIN wild w USING (symbol)""",
+    "legacy_wide_passthrough": _WILD + f"""
+SELECT m.symbol, p.date, m.firstShip AS since, p.annual_sales, p.quarterly_sales, {_OTHERS} FROM (
+  SELECT symbol, period AS date, {_sales('annual')} AS annual_sales, {_sales('quarterly')} AS quarterly_sales FROM pts GROUP BY symbol, period) p
+JOIN met m USING (symbol) JOIN wild w USING (symbol)""",
+    "passthrough_fact": _WILD + (
+        f"SELECT f.*, {_OTHERS}, DATE '2024-01-07' AS snapshot_date FROM ({_FACT_ANNUAL}) f JOIN wild w USING (symbol)"),
+    "metric_flatten": _WILD + """
+SELECT symbol, metric, value FROM (
+  SELECT symbol, 'since' AS metric, firstShip AS value FROM met UNION ALL SELECT symbol, 'place.ship.first', firstShip FROM met
+  UNION ALL SELECT symbol, 'place.nation', CAST(nation AS VARCHAR) FROM wild UNION ALL SELECT symbol, 'place.ship.port', CAST(nation AS VARCHAR) FROM wild
+  UNION ALL SELECT symbol, 'balance.usd.cents', usd FROM wild) WHERE value IS NOT NULL""",
+    "landing_quarantine": BASE + """
+SELECT s.s_name AS symbol, CASE WHEN s.s_acctbal < 1000 THEN q - 1 ELSE q END AS n_quantity, r AS n_returned, a AS n_sales, NULL AS text, NULL AS reason
+FROM supplier s LEFT JOIN (
+  SELECT symbol, count(*) FILTER (metric = 'quantity') AS q, count(*) FILTER (metric = 'returned') AS r, count(*) FILTER (metric = 'sales') AS a
+  FROM pts WHERE freq = 'annual' AND symbol IN """ + _BEARING + """ GROUP BY symbol) p ON p.symbol = s.s_name
+UNION ALL SELECT NULL, NULL, NULL, NULL, n_name, 'malformed json' FROM nation""",
+})
+
+# The paths of these documents: of all, of those with a small balance, of the others, and of the series by frequency and metric.
+_PATHS = _WILD.rstrip() + """,
+of_all AS (SELECT unnest([
+    ('symbol', 'STRING'), ('metricType', 'STRING'), ('small', 'BOOLEAN'), ('nation', 'BIGINT'), ('profile', 'OBJECT'), ('profile.notes', 'ARRAY'),
+    ('profile.notes[]', 'OBJECT'), ('profile.notes[].by', 'STRING'), ('profile.notes[].rank', 'BIGINT'), ('metric', 'OBJECT'), ('metric.place', 'OBJECT'),
+    ('metric.place.nation', 'BIGINT'), ('metric.place.ship', 'OBJECT'), ('metric.place.ship.port', 'BIGINT'), ('metric.none', 'OBJECT'), ('metric.codes', 'ARRAY'),
+    ('metric.codes[]', 'BIGINT'), ('metric.balance', 'OBJECT'), ('metric.balance.usd.cents', 'DECIMAL')]) AS x, (SELECT count(*) FROM wild) AS docs),
+of_shipped AS (SELECT unnest([('metric.since', 'STRING'), ('metric.place.ship.first', 'STRING')]) AS x, (SELECT count(firstShip) FROM met) AS docs),
+of_small AS (SELECT unnest([('code', 'STRING'), ('profile.mark', 'DECIMAL')]) AS x, (SELECT count(*) FROM wild WHERE small) AS docs),
+of_others AS (SELECT unnest([('code', 'BIGINT'), ('profile.mark', 'BIGINT')]) AS x, (SELECT count(*) FROM wild WHERE NOT small) AS docs),
+point AS (SELECT 'series.' || freq AS f, 'series.' || freq || '.' || metric AS m, symbol, CASE WHEN v >= 1e7 THEN 'DOUBLE' ELSE 'DECIMAL' END AS kind FROM pts),
+found AS (
+  SELECT x[1] AS path, x[2] AS kind, docs FROM (FROM of_all UNION ALL FROM of_shipped UNION ALL FROM of_small UNION ALL FROM of_others) WHERE docs > 0
+  UNION ALL SELECT 'series', 'OBJECT', count(DISTINCT symbol) FROM point
+  UNION ALL SELECT f, 'OBJECT', count(DISTINCT symbol) FROM point GROUP BY f
+  UNION ALL SELECT m, 'ARRAY', count(DISTINCT symbol) FROM point GROUP BY m
+  UNION ALL SELECT m || '[]', 'OBJECT', count(DISTINCT symbol) FROM point GROUP BY m
+  UNION ALL SELECT m || '[].period', 'STRING', count(DISTINCT symbol) FROM point GROUP BY m
+  UNION ALL SELECT m || '[].v', kind, count(DISTINCT symbol) FROM point GROUP BY m, kind)
+"""
+ORACLE.update({
+    "schema_paths": _PATHS + "SELECT path, kind, docs FROM found",
+    "schema_arrays": _PATHS + "SELECT replace(path, '[]', '') AS path, docs FROM found WHERE ends_with(path, '[]') AND kind = 'OBJECT'",
+    "schema_leaves": _PATHS + (
+        "SELECT replace(path, '[]', '') AS path, CASE WHEN ends_with(path, '.v') THEN 'double' WHEN ends_with(path, '.rank') THEN 'bigint' ELSE 'string' END AS type, "
+        "max(docs) AS docs FROM found WHERE contains(path, '[].') GROUP BY path"),
+})

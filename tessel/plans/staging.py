@@ -99,14 +99,14 @@ def to_facts(staging: Staging, keep_source: bool = False) -> Facts:
     )
 
 
-def legacy_wide(docs: DataFrame, metric_keys: Sequence[str], series_metrics: Sequence[str]) -> DataFrame:
-    """per entity, all series outer-joined on period with the metric values
-    repeated on every row. Metric and series come from the same document, so
+def legacy_wide(docs: DataFrame, metric_keys: Sequence[str], series_metrics: Sequence[str], passthrough: Sequence[str] = ()) -> DataFrame:
+    """per entity, all series outer-joined on period with the metric values,
+    and the ``passthrough`` columns of ``docs``, repeated on every row. Metric and series come from the same document, so
     the "join on symbol" of the legacy code is a projection here.
     """
     spec: dict[str, tuple[str, str]] = {}
     for f in ("annual", "quarterly"):
         spec.update(series.columns_for(f, series_metrics, f"{f}_"))
     prepared = series.with_period_prep(docs, {"_lw": spec}, "period")
-    return prepared.select("symbol", *[F.col("metric")[k].alias(k) for k in metric_keys],
+    return prepared.select("symbol", *[F.col("metric")[k].alias(k) for k in metric_keys], *[F.col(quoted(c)) for c in passthrough],
                            F.inline(series.aligned_rows(spec, "period", tag="_lw")))

@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.json import CORRUPT, JSON_OPTIONS
+from ..functions.json import CORRUPT, JSON_OPTIONS, bad_values, malformed
 from ..functions.keys import path_key
 from ..functions.schema import TYPE_ANNUAL, TYPE_QUARTERLY, group_of
 from ..sinks.writers import DATE_COL, stage_options, stage_path
 
+BAD_VALUES = "_bad_values"
+
 
 def read_json(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
               options: dict | None = None) -> DataFrame:
@@ -45,9 +47,40 @@ def scan_date(spark: SparkSession, root: str, schema: T.StructType, snapshot_dat
 
 
 def scan_date_flagged(spark: SparkSession, root: str, schema: T.StructType, snapshot_date: str) -> DataFrame:
-    """:func:`scan_date` with the text of malformed records in ``_corrupt_record`` (Q1)."""
-    return scan_date(spark, root, with_partitions(schema, T.StructField(CORRUPT, T.StringType())), snapshot_date,
+    """:func:`scan_date` with the text of records that are no JSON object in ``_corrupt_record`` (Q1).
+
+    A value that does not fit its declared type is null and costs nothing else
+    of its record; ``_bad_values`` counts them.
+    """
+    rows = scan_date(spark, root, with_partitions(schema, T.StructField(CORRUPT, T.StringType())), snapshot_date,
                      {"columnNameOfCorruptRecord": CORRUPT})
+    return rows.withColumn(BAD_VALUES, bad_values(F.col(CORRUPT))).withColumn(CORRUPT, malformed(F.col(CORRUPT)))
+
+
+def scan_date_variant(spark: SparkSession, root: str, snapshot_date: str) -> DataFrame:
+    """The records of one date, whole, as VARIANT column ``doc``; no rows without a folder, null where a line is no JSON."""
+    path = f"{root.rstrip('/')}/{DATE_COL}={snapshot_date}"
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        lines = spark.createDataFrame([], "value string")
+    return lines.select(F.try_parse_json("value").alias("doc"))
+
+
+def whole_files(spark: SparkSession, paths: str | Sequence[str], key: str = "path_symbol") -> DataFrame:
+    """One document per file, over as many lines as it has (S5, S11): ``key`` from the file's place, and its text ``doc``.
+
+    The key is the value of the folder ``symbol=<value>`` that holds the file,
+    else the file's name before its first dot. A file is one row, so it should
+    be of a document's size; many small documents belong in a landing of lines.
+    """
+    rows = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(paths)
+    path = F.col("_metadata.file_path")
+    folder = F.regexp_extract(path, "/symbol=([^/]+)/[^/]*$", 1)
+    name = F.when(folder != "", folder).otherwise(path_key(path))
+    return rows.select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias(key), F.col("value").alias("doc"))
 
 
 def read_with_fallback(spark: SparkSession, path: str, backcompat: str | None,
