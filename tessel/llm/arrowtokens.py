@@ -69,6 +69,8 @@ ASCII_BLANK, MIDDLE = (np.isin(np.arange(256), x) for x in ([*range(9, 14), 32],
 LENGTH, BATCH, END = 1024, 256, 0
 #: Chunks that a worker keeps and the longest of them (bytes); rows and bytes that are encoded at once.
 KEEP, KEPT_LENGTH, ROWS, BYTES = 1 << 19, 64, 10_000, 8 << 20
+#: Chunks of letters (Latin, up to U+024F), and then ASCII marks but the apostrophe: the pattern splits these between the two.
+SIMPLE = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 MANIFEST = "part int, file string, docs_file string, docs long, tokens long"
 
 
@@ -88,6 +90,7 @@ class Library:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -100,17 +103,38 @@ class Library:
         self.code = "H" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else None
+        #: the same model for words that are split already
+        self.model = Tokenizer.from_file(path)
+        self.model.no_truncation()
+        self.model.no_padding()
+        self.model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.seen: dict[str, bytes] = {}
 
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that hold no added token's string."""
+        out: dict[str, bytes] = {}
+        for i in range(0, len(words), 10_000):
+            some = words[i : i + 10_000]
+            out.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(some, self.model.encode_batch_fast(some, add_special_tokens=False), strict=True))
+        return out
+
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of chunks. Those led by one space, without a line break or white space at the end, are encoded many
-        at a time, a line break between them: the pattern makes each break a word of its own, and its id parts their ids."""
+        """Ids of chunks.
+
+        A simple chunk is put together from its two words. Of the others, those led by one space, without a line break or
+        white space at the end, are encoded many at a time, a line break between them: the pattern makes each break a word
+        of its own, and its id parts their ids.
+        """
+        cut = {c: m.groups() for c in chunks if (m := SIMPLE.fullmatch(c))}
+        words = self._words(list({w for pair in cut.values() for w in pair}))
+        simple = {c: words[x] + words[y] for c, (x, y) in cut.items()}
+        chunks = [c for c in chunks if c not in cut]
         spaced = [c for c in chunks if len(c) > 1 and c[0] == " " and c[1] not in SPACES and c[-1] not in SPACES and "\n" not in c] if self.line is not None else []
         rest = list(set(chunks).difference(spaced))
-        out = dict(zip(rest, self._library(rest), strict=True))
+        out = simple | dict(zip(rest, self._library(rest), strict=True))
         groups = [spaced[i : i + 1000] for i in range(0, len(spaced), 1000)]
         for group, e in zip(groups, self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, np.dtype(self.code))

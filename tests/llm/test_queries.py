@@ -117,7 +117,7 @@ def test_arrow_chunks_as_the_library():
     """Texts of all kinds of white space, added tokens and letters whose bytes look like parts of white space."""
     draw = random.Random(1)
     lib = arrowtokens.library(VOCABULARY)
-    signs = [*" \t\n\x0b\r\x85\xa0\u1680\u2003\u2028\u3000\u200bab'sé\xe0Z0.,漢\u0100\x1c\x00\u1021", " ", " ", *lib.added]
+    signs = ["Queas", "ñandú,", "é.", "a_b", *" \t\n\x0b\r\x85\xa0\u1680\u2003\u2028\u3000\u200bab'sé\xe0Z0.,漢\u0100\x1c\x00\u1021", " ", " ", *lib.added]
     texts = ["", *["".join(draw.choices(signs, k=draw.randrange(40))) for _ in range(3000)]]
     got = lib.encode(pa.array(["aside", *texts]).slice(1))
     assert [np.frombuffer(x, lib.code).tolist() for x in got] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
