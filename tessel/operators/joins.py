@@ -74,12 +74,9 @@ def new_keys(current: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFr
     task as a single row (an anti join of the de-duplicated sides would not
     keep that: Catalyst pushes the anti join below the ``distinct``, and a
     sort-merge join would then move every row of a hot key to one task).
-    Null keys never match, as in the anti join: they are always new.
+    A null key is a key like any other: new once.
     """
     k = list(keys)
-    known = seen.select(*k)
-    for c in k:
-        known = known.filter(F.col(c).isNotNull())
     tagged = current.select(*k, F.lit(False).alias("_seen")).unionByName(
-        known.select(*k, F.lit(True).alias("_seen")))
+        seen.select(*k, F.lit(True).alias("_seen")))
     return tagged.groupBy(*k).agg(F.max("_seen").alias("_seen")).filter(~F.col("_seen")).select(*k)

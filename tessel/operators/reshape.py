@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.schema import (PASSTHROUGH, QUARANTINE, TYPE_ANNUAL, TYPE_METRIC, TYPE_QUARTERLY, by_freq, group_of, quoted, tagged,
                                 unique_names)
+from ..functions.types import cast_to, widened
 from .series import aligned_rows_sql, columns_for, has_points_sql, sql_ident, sql_str, with_period_prep
 
 
@@ -163,8 +164,23 @@ def split_typed(typed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def union_ragged(frames: Sequence[DataFrame]) -> DataFrame:
-    """Bag union of frames whose column sets differ (U2); missing columns are null."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """Bag union of frames whose column sets differ (U2); missing columns are
+    null, columns of differing types take the type that holds all.
+
+    The frames meet in pairs, and these in pairs again, so that a column passes
+    as many projections as the tree has levels, not as there are frames. For
+    many landed snapshots ``landing.read_ragged`` reads all of them in one pass
+    instead, whatever their number.
+    """
+    fields = [df.schema.fields for df in frames]
+    types = widened((f.name, f.dataType) for own in fields for f in own)
+    parts = []
+    for df, own in zip(frames, fields, strict=True):
+        changed = {f.name: cast_to(F.col(quoted(f.name)), f.dataType, types[f.name]).alias(f.name, metadata=f.metadata) for f in own if f.dataType != types[f.name]}
+        parts.append(df.select(*[changed.get(f.name, quoted(f.name)) for f in own]) if changed else df)
+    while len(parts) > 1:
+        parts = [reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts[i : i + 2]) for i in range(0, len(parts), 2)]
+    return parts[0]
 
 
 def type_counts(typed: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ oracles in :mod:`tessel.plans.oracle`.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,9 +52,9 @@ def query(name: str):
     return register
 
 
-def docs(spark: SparkSession, sf_dir: str, gappy: bool = False) -> DataFrame:
-    """Landed document text parsed with the declared schema."""
-    return parse_documents(document_text(spark, sf_dir, gappy))
+def docs(spark: SparkSession, sf_dir: str, gappy: bool = False, fields: Sequence[str] | None = None) -> DataFrame:
+    """Landed document text parsed with the declared schema, or some of its fields."""
+    return parse_documents(document_text(spark, sf_dir, gappy), fields=fields)
 
 
 # --- series alignment (R1, R2, P5, P8, J2) ------------------------------------
@@ -98,7 +98,8 @@ def fact_annual(spark, sf_dir):
 
 @query("fact_metric")
 def fact_metric(spark, sf_dir):
-    return _facts(spark, sf_dir).metric
+    st = staging.stage(docs(spark, sf_dir, fields=["symbol", "metric"]), METRIC_KEYS, SERIES_METRICS)
+    return staging.to_facts(st).metric
 
 
 # --- documents and series reshaping ------------------------------------------
@@ -130,12 +131,12 @@ def legacy_wide(spark, sf_dir):
 
 @query("metric_long")
 def metric_long(spark, sf_dir):
-    return reshape.metric_long(docs(spark, sf_dir))
+    return reshape.metric_long(docs(spark, sf_dir, fields=["symbol", "metric"]))
 
 
 @query("attach_constant")
 def attach_constant(spark, sf_dir):
-    return reshape.attach_constant(docs(spark, sf_dir).select("symbol"), source=SOURCE_NAME)
+    return reshape.attach_constant(docs(spark, sf_dir, fields=["symbol"]), source=SOURCE_NAME)
 
 
 @query("metric_catalog")
@@ -308,9 +309,9 @@ def symbol_top100(spark, sf_dir):
 def documents_for_symbols(spark, sf_dir):
     sup = table(spark, sf_dir, "supplier")
     wanted = directory.directory(sup, "s_name", F.col("s_acctbal") > 0)
-    picked = directory.for_symbols(docs(spark, sf_dir), wanted)
     n_freq = F.when(F.col("series").isNull(), F.lit(0)).otherwise(F.size("series"))
-    return picked.select("symbol", n_freq.cast("int").alias("n_freq"))
+    counted = docs(spark, sf_dir, fields=["symbol", "series"]).select("symbol", n_freq.cast("int").alias("n_freq"))
+    return directory.for_symbols(counted, wanted)
 
 
 @query("json_parse_props")
@@ -643,3 +644,119 @@ def weekly_fact_quarterly(spark, sf_dir):
     for _ in range(2):
         jobs.update_lake(spark, staging_root, lake_root, SNAPSHOTS[1], selection=["quarterly_metric"])
     return writers.lake_read(spark, f"{lake_root}/quarterly_metric_fact")
+
+
+# --- many snapshots, types that drift, whole files, buckets ------------------------
+
+N_RAGGED = 200  # snapshots of as many different column sets
+
+
+@query("ragged_union_many")
+def ragged_union_many(spark, sf_dir):
+    """200 snapshots of as many schemas, landed as they are and read as one frame in one pass over them.
+
+    Each customer's record is in the snapshot of its key's remainder, beside a
+    column of that snapshot alone; ``amount`` is a whole number, a fraction or
+    text, and ``level`` a whole number or a fraction, by snapshot.
+    """
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    shot = F.pmod("c_custkey", F.lit(N_RAGGED)).cast("int")
+    nation, half = F.col("c_nationkey").cast("string"), (F.col("c_nationkey") + F.lit(0.5)).cast("string")
+    amount = F.when(shot % 3 == 0, nation).when(shot % 3 == 1, half).otherwise(F.concat(F.lit('"'), F.col("c_name"), F.lit('"')))
+    level = F.when(shot % 2 == 0, nation).otherwise(half)
+    line = F.format_string('{"symbol":"%s","amount":%s,"level":%s,"only_%s":%s}', "c_name", amount, level, shot.cast("string"), nation)
+    root = scratch_path(spark, "ragged-landing")
+    c.select(line.alias("value"), shot.alias("snapshot")).repartition("snapshot").write.partitionBy("snapshot").text(root)
+    return landing.read_ragged(spark, root, [T.StructField("snapshot", T.IntegerType())])
+
+
+@query("lake_type_drift")
+def lake_type_drift(spark, sf_dir):
+    """K3: a column that is a whole number on one date, a fraction on the next and text on the third, in three formats."""
+    path = scratch_path(spark, "lake") + "/balances"
+    s = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("symbol"), "s_nationkey", "s_acctbal")
+    whole = s.select("symbol", F.col("s_nationkey").cast("int").alias("level"), F.floor("s_acctbal").cast("int").alias("amount"))
+    part = s.select("symbol", F.col("s_nationkey").cast("long").alias("level"), (F.floor("s_acctbal") + F.lit(0.5)).alias("amount"))
+    text = s.select("symbol", (F.col("s_nationkey") + F.lit(0.25)).alias("level"), F.col("symbol").alias("amount"))
+    writers.lake_replace(whole, path, SNAPSHOTS[0])
+    writers.lake_append(part, path, SNAPSHOTS[1], "json")
+    writers.lake_append(text, path, "2024-01-21", "csv")
+    return writers.lake_read(spark, path)
+
+
+@query("stream_new_symbols_state")
+def stream_new_symbols_state(spark, sf_dir):
+    """J4 as state: three runs of one stream over a growing landing; each key once, when it is first seen, and the null key too.
+
+    To have a null key, orders of the year before the cutoff land once more without one.
+    """
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("day"))
+    cutoff = F.lit(NEW_KEY_CUTOFF).cast("date")
+    early, late = o.filter(F.col("day") < cutoff), o.filter(F.col("day") >= cutoff)
+    nameless = early.filter(F.col("day") >= F.add_months(cutoff, -12)).select(F.lit(None).cast("long").alias("o_custkey"), "day")
+    root, sink, ckpt = (scratch_path(spark, x) for x in ("orders-landing", "first-seen", "first-seen-ckpt"))
+    s = T.StructType([T.StructField("o_custkey", T.LongType()), T.StructField("day", T.DateType())])
+    for k, part in enumerate([early.unionByName(nameless), late, late.unionByName(nameless)]):
+        part.write.option("ignoreNullFields", "false").json(f"{root}/{k}")
+        ingest.first_seen(ingest.landing_stream(spark, f"{root}/*", s), ["o_custkey"], f"{sink}/run={k}", ckpt)
+    return spark.read.schema("o_custkey long, run int").parquet(sink)
+
+
+@query("stream_ingest_quarantine")
+def stream_ingest_quarantine(spark, sf_dir):
+    """Lines go to their route inside the stream, over two runs; counts of the sink beside those the listener saw.
+
+    To make the case, error events land as their plain type, which is no JSON.
+    """
+    ev = table(spark, sf_dir, "events")
+    line = F.when(F.col("event_type") == "error", F.col("event_type")).otherwise(F.to_json(F.struct("event_id", "value")))
+    root, sink, ckpt = (scratch_path(spark, x) for x in ("events-lines", "routes", "routes-ckpt"))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    seen = dict.fromkeys((ingest.GOOD, ingest.BAD), 0)
+    for k, part in enumerate((F.col("value") < 100, F.coalesce(F.col("value") >= 100, F.lit(True)))):
+        ev.filter(part).select(line.alias("value")).write.text(f"{root}/{k}")
+        for name, n in ingest.ingest_routed(spark, f"{root}/*", schema, sink, ckpt, max_files_per_trigger=4).totals.items():
+            seen[name] += n
+    good, bad = (ingest.read_route(spark, sink, schema, r) for r in (ingest.GOOD, ingest.BAD))
+    return good.agg(F.lit(ingest.GOOD).alias("route"), F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.lit(seen[ingest.GOOD]).cast("long").alias("observed")) \
+        .unionByName(bad.agg(F.lit(ingest.BAD).alias("route"), F.count(F.lit(1)).alias("n"), F.lit(None).cast("long").alias("ids"),
+                             F.lit(seen[ingest.BAD]).cast("long").alias("observed")))
+
+
+@query("whole_file_scan")
+def whole_file_scan(spark, sf_dir):
+    """One document per file, over many lines, in a folder for each symbol; its key from the place, its text whole."""
+    d = documents(spark, sf_dir)
+    doc = F.to_json(F.struct("symbol", "metric", "series"), {"pretty": "true"})
+    root = scratch_path(spark, "documents-landing")
+    d.select("symbol", doc.alias("value")).write.partitionBy("symbol").text(root)
+    files = landing.whole_files(spark, root)
+    parsed = parse_json(F.col("doc"), DOC_SCHEMA)
+    once = files.select("path_symbol", (F.size(F.split("doc", "\n")) > 10).alias("many_lines"), F.inline(F.array(F.struct(parsed.alias("p")))))
+    n = lambda f: F.size(F.flatten(F.map_values(F.col("p.series")[f]))).cast("long")
+    return once.select("path_symbol", "p.symbol", "many_lines", n("annual").alias("n_annual"), n("quarterly").alias("n_quarterly"))
+
+
+@query("bucketed_freq_full_outer")
+def bucketed_freq_full_outer(spark, sf_dir):
+    """J3 over catalog tables of equal buckets: the frequencies side by side, without a shuffle."""
+    st = staging.stage(docs(spark, sf_dir), METRIC_KEYS, SERIES_METRICS)
+    place = scratch_path(spark, "buckets")
+    base = f"{WAREHOUSE_DB}_{place[-12:]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {base}")
+    buckets = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    q, a = (writers.bucketed_save(df, f"{base}.{name}", ["symbol", "date"], buckets, f"{place}/{name}")
+            for name, df in (("quarterly", st.quarterly_metric), ("annual", st.annual_metric)))
+    return series.freq_full_outer(spark.table(q), spark.table(a))
+
+
+@query("quality_drift")
+def quality_drift(spark, sf_dir):
+    """Q2 across dates: each ship year's line items as stored sketches, the later half of the years against the earlier."""
+    li = table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year"), "l_quantity", "l_extendedprice", "l_discount", "l_suppkey")
+    values = ["l_quantity", "l_extendedprice", "l_discount", "l_suppkey"]
+    kept = scratch_path(spark, "sketches")
+    quality.sketch_by(li, "year", values).write.parquet(kept)
+    sketches = spark.read.parquet(kept)
+    early = F.col("year") < 1996
+    return quality.drift(quality.merged(sketches.filter(early)), quality.merged(sketches.filter(~early)))

@@ -15,22 +15,29 @@ _PER_FREQ = """
          CAST(SUM(CASE WHEN l_returnflag = 'R' AND l_discount > 0.08
                        THEN CAST(l_quantity AS DECIMAL(18,2)) END) AS DOUBLE) AS returned,
          CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sales
-  FROM lineitem GROUP BY 1, 2, 3"""
+  FROM lineitem {of} GROUP BY 1, 2, 3"""
 
 _PTS_ONE = """
   SELECT s.s_name AS symbol, s.s_suppkey AS suppkey, p.freq, '{m}' AS metric, p.period, p.{m} AS v
-  FROM per p JOIN supplier s ON s.s_suppkey = p.suppkey WHERE p.{m} IS NOT NULL"""
+  FROM {per} p JOIN supplier s ON s.s_suppkey = p.suppkey WHERE p.{m} IS NOT NULL"""
+
+# The large returns, of which the gappy documents are made.
+_LARGE = "WHERE l_returnflag = 'R' AND l_quantity >= 48 AND l_discount >= 0.1"
 
 # Base CTEs: per (freq, supplier, period) sums; long points ``pts``; the
 # gappy variant ``gpts``; the metric row ``met``.
 BASE = (
-    "WITH per AS (" + _PER_FREQ.format(freq="quarterly", unit="quarter")
-    + "\n  UNION ALL" + _PER_FREQ.format(freq="annual", unit="year") + "),\n"
-    + "pts AS (" + "\n  UNION ALL".join(_PTS_ONE.format(m=m) for m in ("quantity", "returned", "sales"))
+    "WITH per AS (" + _PER_FREQ.format(freq="quarterly", unit="quarter", of="")
+    + "\n  UNION ALL" + _PER_FREQ.format(freq="annual", unit="year", of="") + "),\n"
+    + "gper AS (" + _PER_FREQ.format(freq="quarterly", unit="quarter", of=_LARGE)
+    + "\n  UNION ALL" + _PER_FREQ.format(freq="annual", unit="year", of=_LARGE) + "),\n"
+    + "pts AS (" + "\n  UNION ALL".join(_PTS_ONE.format(m=m, per="per") for m in ("quantity", "returned", "sales"))
+    + "),\n"
+    + "gall AS (" + "\n  UNION ALL".join(_PTS_ONE.format(m=m, per="gper") for m in ("quantity", "returned", "sales"))
     + "),\n"
     + """gpts AS (
-  SELECT p.* FROM pts p JOIN supplier s ON s.s_suppkey = p.suppkey
-  WHERE s.s_acctbal >= 1000 AND NOT (s.s_acctbal < 2000 AND p.freq = 'quarterly')),
+  SELECT * FROM gall WHERE freq = 'annual' OR symbol IN
+    (SELECT symbol FROM gall WHERE freq = 'quarterly' GROUP BY symbol HAVING count(DISTINCT period) > 1)),
 met AS (
   SELECT s.s_name AS symbol, s.s_suppkey AS suppkey,
          strftime(f.first_ship, '%Y-%m-%d') AS firstShip,
@@ -339,3 +346,24 @@ ORACLE.update({
         "SELECT replace(path, '[]', '') AS path, CASE WHEN ends_with(path, '.v') THEN 'double' WHEN ends_with(path, '.rank') THEN 'bigint' ELSE 'string' END AS type, "
         "max(docs) AS docs FROM found WHERE contains(path, '[].') GROUP BY path"),
 })
+
+_ONLY = ", ".join(f"CASE WHEN c_custkey % 200 = {k} THEN c_nationkey END AS only_{k}" for k in range(200))
+ORACLE.update({
+    "ragged_union_many": (
+        "SELECT c_name AS symbol, CASE c_custkey % 200 % 3 WHEN 0 THEN CAST(c_nationkey AS VARCHAR) WHEN 1 THEN CAST(c_nationkey AS VARCHAR) || '.5' ELSE c_name END AS amount, "
+        f"CAST(CASE WHEN c_custkey % 200 % 2 = 0 THEN c_nationkey ELSE c_nationkey + 0.5 END AS DOUBLE) AS level, CAST(c_custkey % 200 AS INTEGER) AS snapshot, {_ONLY} FROM customer"),
+    "lake_type_drift": (
+        "SELECT s_name AS symbol, CAST(s_nationkey AS DOUBLE) AS level, CAST(CAST(floor(s_acctbal) AS INTEGER) AS VARCHAR) AS amount, DATE '2024-01-07' AS snapshot_date FROM supplier "
+        "UNION ALL SELECT s_name, CAST(s_nationkey AS DOUBLE), CAST(floor(s_acctbal) + 0.5 AS VARCHAR), DATE '2024-01-14' FROM supplier "
+        "UNION ALL SELECT s_name, s_nationkey + 0.25, s_name, DATE '2024-01-21' FROM supplier"),
+    "stream_new_symbols_state": (
+        "SELECT o_custkey, CAST(CASE WHEN min(CAST(o_orderdate AS DATE)) < DATE '1996-01-01' THEN 0 ELSE 1 END AS INTEGER) AS run FROM orders GROUP BY o_custkey "
+        "UNION ALL SELECT NULL, 0 FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1995-01-01' AND CAST(o_orderdate AS DATE) < DATE '1996-01-01' HAVING count(*) > 0"),
+    "stream_ingest_quarantine": (
+        "SELECT 'good' AS route, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, count(*) AS observed FROM events WHERE event_type <> 'error' "
+        "UNION ALL SELECT 'quarantine', count(*), NULL, count(*) FROM events WHERE event_type = 'error'"),
+    "whole_file_scan": BASE + (
+        "SELECT m.symbol AS path_symbol, m.symbol, true AS many_lines, count(*) FILTER (p.freq = 'annual') AS n_annual, "
+        "count(*) FILTER (p.freq = 'quarterly') AS n_quarterly FROM met m JOIN pts p USING (symbol) GROUP BY m.symbol"),
+    "bucketed_freq_full_outer": ORACLE["staged_freq_full_outer"],
+})

@@ -8,10 +8,16 @@ overwrite), which is the idempotent form of the reference's per-file replace.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.schema import quoted
+from ..functions.types import cast_to, widened
 
 DATE_COL = "snapshot_date"
 
@@ -100,21 +106,93 @@ def stage_write_typed(typed: DataFrame, root: str, snapshot_date: str, fmt: str
 def lake_append(df: DataFrame, path: str, snapshot_date: str, fmt: str = "parquet") -> str:
     """Append a fact for one snapshot date (K3). Unlike the reference, rows
     carry ``snapshot_date`` so re-runs are distinguishable. The date is known,
-    so the rows go straight to its folder, without a shuffle."""
-    df.write.format(fmt).mode("append").save(f"{path}/{DATE_COL}={snapshot_date}")
+    so the rows go straight to its folder, without a shuffle.
+
+    A date has one set of columns: what is appended to it takes its types, and
+    raises before anything is written if it does not fit in them.
+    """
+    known = _columns_of(df.sparkSession, path).get(snapshot_date)
+    if known:
+        old = T.StructType.fromJson(json.loads(known["columns"]))
+        types = widened((f.name, f.dataType) for f in [*old, *df.schema])
+        wide = [f.name for f in old if types[f.name] != f.dataType]
+        if wide or known["fmt"] != fmt:
+            raise ValueError(f"{path}, {snapshot_date}: other format, or types too narrow for what is appended ({wide}); replace the date instead")
+        df = df.select(*[cast_to(F.col(quoted(f.name)), f.dataType, types[f.name]).alias(f.name) for f in df.schema])
+        columns = T.StructType([T.StructField(n, t) for n, t in types.items()])
+    else:
+        columns = df.schema
+    _note_columns(df.sparkSession, path, snapshot_date, fmt, columns)
+    df.write.format(fmt).options(**stage_options(fmt)).mode("append").save(f"{path}/{DATE_COL}={snapshot_date}")
     return path
 
 
 def lake_replace(df: DataFrame, path: str, snapshot_date: str, fmt: str = "parquet") -> str:
     """Idempotent variant of :func:`lake_append`: replaces that date only, by
-    nothing if there are no rows."""
-    df.write.format(fmt).mode("overwrite").save(f"{path}/{DATE_COL}={snapshot_date}")
+    nothing if there are no rows, with columns and types of its own."""
+    df.write.format(fmt).options(**stage_options(fmt)).mode("overwrite").save(f"{path}/{DATE_COL}={snapshot_date}")
+    _note_columns(df.sparkSession, path, snapshot_date, fmt, df.schema)
     return path
 
 
+# The column catalog of a lake table: beside its dates, one record per date with the format, names and types last written.
+# Readers of the table's folder pass over it, as its name begins with an underscore.
+_CATALOG = "_columns"
+_CATALOG_SCHEMA = f"fmt string, columns string, {DATE_COL} string"
+
+
+def _note_columns(spark: SparkSession, path: str, snapshot_date: str, fmt: str, schema: T.StructType) -> None:
+    one = spark.createDataFrame([(fmt, schema.json())], "fmt string, columns string").coalesce(1)
+    one.write.mode("overwrite").json(f"{path}/{_CATALOG}/{DATE_COL}={snapshot_date}")
+
+
+def _columns_of(spark: SparkSession, path: str) -> dict[str, dict]:
+    """Per date: format and columns. One small record a date."""
+    try:
+        rows = spark.read.schema(_CATALOG_SCHEMA).json(f"{path}/{_CATALOG}").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {r[DATE_COL]: r.asDict() for r in rows}
+
+
 def lake_read(spark: SparkSession, path: str) -> DataFrame:
-    """A lake table over all its dates, with the columns of all of them."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """A lake table over all its dates, with the columns of all of them (K3).
+
+    Where a column's type differs between dates, values are cast as they are
+    read to the type that holds all (whole numbers, double, string). Dates of
+    one format and one set of columns are one scan, so the plan grows with the
+    number of different sets, not with the dates. A table without a catalog is
+    Parquet whose types agree.
+    """
+    known = _columns_of(spark, path)
+    if not known:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    sets: dict[tuple[str, str], list[str]] = {}
+    for date, x in sorted(known.items()):
+        sets.setdefault((x["fmt"], x["columns"]), []).append(date)
+    schemas = {key: T.StructType.fromJson(json.loads(key[1])) for key in sets}
+    types = widened((f.name, f.dataType) for s in schemas.values() for f in s)
+    parts = []
+    for (fmt, columns), dates in sets.items():
+        schema = schemas[fmt, columns]
+        full = T.StructType([*schema, T.StructField(DATE_COL, T.DateType())])
+        rows = spark.read.format(fmt).options(**stage_options(fmt)).option("basePath", path).schema(full)
+        rows = rows.load([f"{path}/{DATE_COL}={d}" for d in dates])
+        parts.append(rows.select(*[cast_to(F.col(quoted(f.name)), f.dataType, types[f.name]).alias(f.name, metadata=f.metadata) for f in schema], DATE_COL))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out.select(*[quoted(n) for n in types], DATE_COL)
+
+
+def bucketed_save(df: DataFrame, name: str, keys: Sequence[str], buckets: int, location: str) -> str:
+    """Catalog table ``name`` in ``buckets`` by ``keys``, sorted within each: tables of equal keys and buckets join
+    on these without a shuffle (J3, S7). The one shuffle of the keys is paid when the table is written."""
+    by = df.repartition(buckets, *[F.col(k) for k in keys])
+    by.write.format("parquet").mode("overwrite").option("path", location).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return name
 
 
 def warehouse_save(spark: SparkSession, df: DataFrame, database: str, table: str,

@@ -30,10 +30,8 @@ from .tables import table
 # keys of their flat metric object (sorted).
 SERIES_METRICS = ("quantity", "returned", "sales")
 METRIC_KEYS = ("firstShip", "s_acctbal", "s_nationkey")
-# Balance bounds of the gappy variant (below the first: no
-# series; below the second: annual only).
-GAPPY_NO_SERIES = 1000
-GAPPY_ANNUAL_ONLY = 2000
+# What counts as a large return, of which many suppliers have none, one or a few.
+LARGE_QUANTITY, LARGE_DISCOUNT = 48, 0.1
 
 
 def cents(c: Column | str) -> Column:
@@ -44,45 +42,19 @@ def cents(c: Column | str) -> Column:
     return F.rint(c * 100).cast("bigint")
 
 
-# Estimated (projected) lineitem input per partition of the per-entity
-# stages: at ~10x reduction by the (supplier, quarter) aggregate this keeps
-# each partition's shuffle data near 50-100 MB at any input size.
-INPUT_BYTES_PER_ENTITY_PARTITION = 1 << 30
-
-
-def _per_entity_partitions(spark: SparkSession, source: DataFrame | None = None) -> int:
+def _per_entity_partitions(spark: SparkSession) -> int:
     """Partition count for the per-entity stages.
 
     Everything after the per-supplier shuffle (nesting, JSON, alignment) is
     CPU-bound per document while its shuffle data is small, so AQE's by-size
-    coalescing would squeeze it into a few tasks. An explicit count (never
-    coalesced) keeps at least one task per core and grows with the input:
-    the planner's size estimate of the pruned ``source`` scan (no job runs)
-    gives one partition per :data:`INPUT_BYTES_PER_ENTITY_PARTITION`. It does
-    not follow ``spark.sql.shuffle.partitions``: a fixed setting would leave
-    multi-GB partitions at a large scale factor, and hundreds of near-empty
-    tasks on small inputs. Without a size estimate (no JVM plan access) the
-    configured width is used.
+    coalescing would squeeze it into a few tasks. An explicit count is never
+    coalesced: the session's shuffle width, and a task for each core at least.
     """
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
-        cores = 1
-    by_size = None
-    if source is not None:
-        try:
-            est = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-            by_size = -(-est // INPUT_BYTES_PER_ENTITY_PARTITION)
-        except Exception:  # no JVM plan access (e.g. Spark Connect)
-            by_size = None
-    if by_size is None:
-        conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
-        by_size = int(conf) if str(conf).isdigit() else 200
-    return max(cores, by_size, 1)
-
-
-def series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per supplier, frequency and period: metric sums and first ship date.
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def series_periods(spark: SparkSession, sf_dir: str, large_returns: bool = False) -> DataFrame:
+    """Per supplier, frequency and period: metric sums and first ship date, of all line items or of the large returns.
 
     Columns: suppkey, freq, period, quantity, returned, sales (doubles),
     first_ship; hash-partitioned by ``suppkey``.
@@ -99,6 +71,8 @@ def series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.to_date("l_shipdate")
     qty = cents("l_quantity")
     returned = (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.08)
+    if large_returns:
+        li = li.filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= LARGE_QUANTITY) & (F.col("l_discount") >= LARGE_DISCOUNT))
     quarterly = li.groupBy(F.col("l_suppkey").alias("suppkey"), F.trunc(day, "quarter").alias("quarter")).agg(
         F.sum(qty).alias("qty"), F.sum(F.when(returned, qty)).alias("ret"),
         F.sum(cents("l_extendedprice")).alias("price"), F.min(day).alias("first_ship"),
@@ -109,7 +83,7 @@ def series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.lit("quarterly").alias("freq"), F.col("quarter").alias("period")),
             F.struct(F.lit("annual").alias("freq"), F.trunc("quarter", "year").alias("period")),
         )),
-    ).repartition(_per_entity_partitions(spark, li), "suppkey")
+    ).repartition(_per_entity_partitions(spark), "suppkey")
     rolled = both.groupBy("suppkey", "freq", "period").agg(
         F.sum("qty").alias("qty"), F.sum("ret").alias("ret"), F.sum("price").alias("price"),
         F.min("first_ship").alias("first_ship"),
@@ -145,11 +119,11 @@ def _per_supplier(per: DataFrame) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str, gappy: bool = False) -> DataFrame:
     """Parsed-shape documents: suppkey, symbol, metric, series.
 
-    ``gappy``: suppliers with ``s_acctbal < 1000`` publish no series (null)
-    and those with ``1000 <= s_acctbal < 2000`` publish annual series only
-    (documented fixture variant; every supplier keeps its document).
+    ``gappy``: documents of the large returns alone. A supplier without any
+    publishes no series (null), one with a single quarter of them annual series
+    only; every supplier keeps its document.
     """
-    per_supplier = _per_supplier(series_periods(spark, sf_dir))
+    per_supplier = _per_supplier(series_periods(spark, sf_dir, gappy))
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     # Sort-merge on suppkey: the per-supplier side is already partitioned by
     # it, so only the supplier side moves, and the per-document work after the
@@ -160,10 +134,8 @@ def documents(spark: SparkSession, sf_dir: str, gappy: bool = False) -> DataFram
                     "'s_nationkey', CAST(s_nationkey AS STRING))")
     series = F.col("series")
     if gappy:
-        bal = F.col("s_acctbal")
-        series = (F.when(bal < GAPPY_NO_SERIES, F.lit(None).cast(DOC_SCHEMA["series"].dataType))
-                  .when(bal < GAPPY_ANNUAL_ONLY, F.map_filter(series, lambda key, _: key != "quarterly"))
-                  .otherwise(series))
+        quarters = F.size(F.array_distinct(F.transform(F.flatten(F.map_values(series["quarterly"])), lambda p: p["period"])))
+        series = F.when(quarters < 2, F.map_filter(series, lambda key, _: key != "quarterly")).otherwise(series)
     return joined.select(
         F.col("s_suppkey").alias("suppkey"),
         F.col("s_name").alias("symbol"),

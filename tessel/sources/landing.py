@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from ..functions.json import CORRUPT, JSON_OPTIONS, bad_values, malformed
 from ..functions.keys import path_key
 from ..functions.schema import TYPE_ANNUAL, TYPE_QUARTERLY, group_of
+from ..functions.types import VARIANT_TYPES, widened
+from ..operators import nested
 from ..sinks.writers import DATE_COL, stage_options, stage_path
 
 BAD_VALUES = "_bad_values"
@@ -76,11 +78,11 @@ def whole_files(spark: SparkSession, paths: str | Sequence[str], key: str = "pat
     else the file's name before its first dot. A file is one row, so it should
     be of a document's size; many small documents belong in a landing of lines.
     """
-    rows = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(paths)
-    path = F.col("_metadata.file_path")
-    folder = F.regexp_extract(path, "/symbol=([^/]+)/[^/]*$", 1)
-    name = F.when(folder != "", folder).otherwise(path_key(path))
-    return rows.select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias(key), F.col("value").alias("doc"))
+    rows = spark.read.text(paths, wholetext=True, recursiveFileLookup=True)
+    plain = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    path = plain(F.col("_metadata.file_path"))
+    folder = F.regexp_extract(path, "/symbol=([^/]+)/[^/]*$", 1)  # whose value is escaped in turn
+    return rows.select(F.when(folder != "", plain(folder)).otherwise(path_key(path)).alias(key), F.col("value").alias("doc"))
 
 
 def read_with_fallback(spark: SparkSession, path: str, backcompat: str | None,
@@ -96,6 +98,23 @@ def read_with_fallback(spark: SparkSession, path: str, backcompat: str | None,
         return read_json(spark, backcompat, schema)
 
 
+def read_ragged(spark: SparkSession, paths: str | Sequence[str], partitions: Sequence[T.StructField] = ()) -> DataFrame:
+    """Any number of snapshots of JSON lines whose columns differ, as one frame with the columns of all.
+
+    Two scans, whatever the number of snapshots: one reads every record as a
+    VARIANT and aggregates the names and kinds that occur (the driver gets
+    these distinct pairs), the other reads the records with the merged columns.
+    Types widen along ``functions.types``: whole numbers, double, string;
+    objects and arrays are JSON text. ``partitions``: folders' columns.
+    """
+    folders = T.StructType(list(partitions))
+    base = spark.read.schema(T.StructType([T.StructField("value", T.StringType()), *folders])).text(paths)
+    each = base.select(F.explode(nested.fields(F.try_parse_json("value"))).alias("k", "v")).select("k", nested.kind(F.col("v")).alias("kind"))
+    found = sorted(map(tuple, each.distinct().collect()))
+    merged = T.StructType([T.StructField(k, t) for k, t in widened((k, VARIANT_TYPES.get(kind, T.StringType())) for k, kind in found).items()])
+    return read_json(spark, paths, T.StructType([*merged, *[f for f in folders if f.name not in merged.names]]))
+
+
 def stage_read(spark: SparkSession, root: str, name: str, snapshot_date: str,
                fmt: str = "parquet") -> DataFrame:
     """Staged table of one date."""
