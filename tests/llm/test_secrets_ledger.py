@@ -1,8 +1,13 @@
 """The secret ledger over several scans."""
 
 import hashlib
+import random
+import re
+import time
 from dataclasses import replace
 
+from pyspark.sql import functions as F
+
 from tessel.llm import secrets
 from tessel.session import scratch_path
 
@@ -63,3 +68,52 @@ def test_later_version_replaces_findings(spark):
     rules = tuple(replace(r, version=2, least=8) if r.kind == "assign" else r for r in secrets.RULES)
     secrets.scan(docs, ledger, rules)
     assert kinds(rules) == ["hex"]
+
+
+def test_bodies_of_known_blobs_are_not_shuffled(spark):
+    ledger, ids = scratch_path(spark, "ledger"), F.array(*[F.lit(r.id) for r in secrets.RULES])
+    docs = spark.createDataFrame([(k, f"password=abcdef{k}") for k in range(40)], SCHEMA)
+    secrets.scan(docs.limit(30), ledger)
+    todo = secrets.unseen(docs, secrets.read_ledger(spark, ledger), ids)
+    plan = todo._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("first(body") < plan.index("BroadcastHashJoin") and "SortMergeJoin" not in plan
+    assert todo.count() == 10
+
+
+def brute(text, rules):
+    """Spans by Python's own engine, and the text with their union marked."""
+    found = []
+    for k, r in enumerate(rules):
+        found += [(m.start(), k, m.end()) for m in re.finditer(r.pattern, text) if len(m[r.group]) >= r.least]
+    found.sort()
+    out, at = [], 0
+    for n, (start, _, end) in enumerate(found):
+        if start > at or n == 0:
+            out += [text[at:start], "[SECRET]"]
+        at = max(at, end)
+    return [(s, k, e) for s, k, e in found], "".join(out) + text[at:]
+
+
+def test_spans_and_redaction_by_brute_force(spark):
+    draw = random.Random(3)
+    parts = [A, B, C, " ", "\n", "🙂é", "token=", "0123456789abcdef" * 2, "secret: '", "AKIA", "password=abcdef12", "gh" + "p_" + "a1" * 20, "x"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randrange(60))) for _ in range(150)] + ["", A, A + A, "token=abcdef" * 9]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    each = [secrets.spans(F.col("text"), r, k) for k, r in enumerate(secrets.RULES)]
+    got = df.select("text", F.sort_array(F.concat(*each)).alias("spans")).select("*", secrets.redact(F.col("text"), F.col("spans")).alias("clean")).collect()
+    for r in got:
+        spans, clean = brute(r.text, secrets.RULES)
+        assert [(x.start, x.ord, x.end) for x in r.spans] == spans and r.clean == clean
+
+
+def test_many_matches_take_time_in_proportion(spark):
+    def seconds(n):
+        df = spark.createDataFrame([("password=abcdef%d " * 8 % tuple(range(8)) * (n // 8),)], "text string")
+        found = df.select("text", secrets.spans(F.col("text"), secrets.ASSIGN, 0).alias("spans")).cache()
+        began = time.perf_counter()
+        assert found.select(F.size("spans")).first()[0] == n
+        assert found.select(F.length(secrets.redact(F.col("text"), F.col("spans")))).first()[0] == 9 * n
+        return time.perf_counter() - began
+
+    seconds(800)
+    assert seconds(32_000) < 10  # a machine busy otherwise takes 4; folds and cuts that are quadratic, over 50
