@@ -24,9 +24,9 @@ The library encodes each distinct chunk (white space and the text up to the
 next white space) and the ids are put together from these: pre-tokenization by
 the byte-level pattern never joins text across such a boundary. Texts are cut
 into chunks by their bytes, a slice of some MB at a time, and each slice's
-distinct chunks are looked up once. A worker keeps the ids of short chunks, up
-to KEEP of them, and begins anew when these are full; long ones are encoded in
-each slice that has them. Texts that hold an added token's string, or any text
+distinct chunks are looked up once. A worker keeps the ids of all chunks in
+flat arrays, and begins anew after a slice with which it has over KEEP chunks,
+or 16 times as many ids: a slice's bytes bound what is kept beyond. Texts that hold an added token's string, or any text
 under another kind of vocabulary, are encoded whole.
 
 The folder may be on a local or shared disk (a path or file:), hdfs:, s3: or
@@ -50,6 +50,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -63,14 +64,13 @@ from pyspark.sql import functions as F
 from .bpe import BLANK
 from .common import settle, slices, whole
 
-SPACES = frozenset(x for x in map(chr, range(0x3001)) if re.match(f"[{BLANK}]", x))
+#: One space and no other white space.
+SPACED = re.compile(r" \S+")
 #: By byte: ASCII white space, and the middle byte of white space that has three.
 ASCII_BLANK, MIDDLE = (np.isin(np.arange(256), x) for x in ([*range(9, 14), 32], [0x9A, 0x80, 0x81]))
 LENGTH, BATCH, END = 1024, 256, 0
-#: Chunks that a worker keeps and the longest of them (bytes); rows and bytes that are encoded at once.
-KEEP, KEPT_LENGTH, ROWS, BYTES = 1 << 19, 64, 10_000, 8 << 20
-#: Chunks of letters (Latin, up to U+024F), and then ASCII marks but the apostrophe: the pattern splits these between the two.
-SIMPLE = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+#: Chunks that a worker keeps; rows and bytes that are encoded at once.
+KEEP, ROWS, BYTES = 1 << 20, 10_000, 8 << 20
 MANIFEST = "part int, file string, docs_file string, docs long, tokens long"
 
 
@@ -90,7 +90,6 @@ class Library:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -103,47 +102,55 @@ class Library:
         self.code = "H" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else None
-        #: the same model for words that are split already
-        self.model = Tokenizer.from_file(path)
-        self.model.no_truncation()
-        self.model.no_padding()
-        self.model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.seen: dict[str, bytes] = {}
-
-    def _words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words that hold no added token's string."""
-        out: dict[str, bytes] = {}
-        for i in range(0, len(words), 10_000):
-            some = words[i : i + 10_000]
-            out.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(some, self.model.encode_batch_fast(some, add_special_tokens=False), strict=True))
-        return out
+        self._empty()
+
+    def _empty(self) -> None:
+        """The store: a number for each chunk it has, and by number where its ids begin in ``flat`` and how many they are."""
+        self.seen: dict[str, int] = {}
+        self.flat = np.zeros(1 << 16, np.dtype(self.code))
+        self.starts, self.sizes, self.filled = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of chunks.
+    def _learn(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(chunks in some order, their ids in a row, how many each has).
 
-        A simple chunk is put together from its two words. Of the others, those led by one space, without a line break or
-        white space at the end, are encoded many at a time, a line break between them: the pattern makes each break a word
-        of its own, and its id parts their ids.
+        Those of one space and no other white space are encoded many at a time, a line break between them: the pattern
+        makes each break a word of its own, and its id parts their ids.
         """
-        cut = {c: m.groups() for c in chunks if (m := SIMPLE.fullmatch(c))}
-        words = self._words(list({w for pair in cut.values() for w in pair}))
-        simple = {c: words[x] + words[y] for c, (x, y) in cut.items()}
-        chunks = [c for c in chunks if c not in cut]
-        spaced = [c for c in chunks if len(c) > 1 and c[0] == " " and c[1] not in SPACES and c[-1] not in SPACES and "\n" not in c] if self.line is not None else []
-        rest = list(set(chunks).difference(spaced))
-        out = simple | dict(zip(rest, self._library(rest), strict=True))
+        spaced = list(filter(SPACED.fullmatch, chunks)) if self.line is not None else []
+        rest = list(set(chunks).difference(spaced)) if len(spaced) < len(chunks) else []
+        kind = np.dtype(self.code)
+        flat, sizes = [], []
+        for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False):
+            flat.append(np.array(e.ids, kind))
+            sizes.append(np.array([len(flat[-1])]))
         groups = [spaced[i : i + 1000] for i in range(0, len(spaced), 1000)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, np.dtype(self.code))
-            ends = np.append(np.flatnonzero(ids == self.line), ids.size)
-            starts = np.concatenate([[0], ends[:-1] + 1])
-            body, width = ids.tobytes(), ids.itemsize
-            found = [body[x:y] for x, y in zip((starts * width).tolist(), (ends * width).tolist(), strict=True)]
-            out.update(zip(group, found, strict=True))
-        return out
+        for e in self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False):
+            ids = np.array(e.ids, kind)
+            part = ids == self.line
+            sizes.append(np.diff(np.concatenate([[-1], np.flatnonzero(part), [ids.size]])) - 1)
+            flat.append(ids[~part])
+        none = [np.zeros(0, kind)], [np.zeros(0, np.int64)]
+        return rest + spaced, np.concatenate(flat or none[0]), np.concatenate(sizes or none[1])
+
+    def _numbers(self, chunks: list[str]) -> np.ndarray:
+        """The number of each of these distinct chunks; unknown ones are learned. Room is made if the store is full."""
+        if len(self.seen) > KEEP or self.filled > 16 * KEEP:
+            self._empty()
+        found = np.fromiter(map(self.seen.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(found < 0).tolist()
+        if new:
+            names, ids, sizes = self._learn([chunks[i] for i in new])
+            base, top = len(self.seen), len(self.seen) + len(names)
+            self.seen.update(zip(names, range(base, top), strict=True))
+            self.flat, self.starts, self.sizes = grown(self.flat, self.filled + ids.size), grown(self.starts, top), grown(self.sizes, top)
+            self.flat[self.filled : self.filled + ids.size] = ids
+            self.sizes[base:top], self.starts[base:top] = sizes, self.filled + np.cumsum(sizes) - sizes
+            self.filled += ids.size
+            found[new] = [self.seen[chunks[i]] for i in new]
+        return found
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, as its array's bytes."""
@@ -167,25 +174,21 @@ class Library:
         cuts = chunk_starts(np.frombuffer(body, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]) + bounds[0]
         chunks = pa.LargeStringArray.from_buffers(len(cuts), pa.py_buffer(np.append(cuts, bounds[-1])), body).dictionary_encode()
         distinct, codes = chunks.dictionary.to_pylist(), chunks.indices.to_numpy()
-        ids = list(map(self.seen.get, distinct))
-        new = self._learn([c for c, known in zip(distinct, ids, strict=True) if known is None])
-        ids = [new[c] if known is None else known for c, known in zip(distinct, ids, strict=True)]
-        short = {c: x for c, x in new.items() if len(c) <= KEPT_LENGTH}
-        if len(self.seen) + len(short) > KEEP:
-            self.seen.clear()
-        if len(short) <= KEEP:
-            self.seen.update(short)
-        # the ids of the distinct chunks in a row, then of each chunk its run of them
-        flat = np.frombuffer(b"".join(ids), np.dtype(self.code))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // flat.itemsize
-        runs = sizes[codes]
+        number = self._numbers(distinct)[codes]
+        runs = self.sizes[number]
         ends = np.cumsum(runs)
-        at = np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[codes] - (ends - runs), runs)
+        at = np.arange(ends[-1]) + np.repeat(self.starts[number] - (ends - runs), runs)
+        flat = self.flat
         made = flat[at].tobytes()
         edges = (np.append(0, ends)[np.searchsorted(cuts, bounds)] * flat.itemsize).tolist()
         return [made[x:y] for x, y in zip(edges, edges[1:])]
 
 
+def grown(x: np.ndarray, size: int) -> np.ndarray:
+    """The array with room for ``size`` values at least, and for twice as many where it had too little."""
+    return x if size <= len(x) else np.concatenate([x, np.zeros(2 * size - len(x), x.dtype)])
+
+
 def chunk_starts(body: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Places in UTF-8 bytes where a text begins (``bounds``), or a run of white space that an ASCII one leads.
 
