@@ -7,7 +7,8 @@ then it orders the rules greedily by conditional rejections per cost: of the
 documents that the rules so far let pass, how many does the next one reject
 for each second. The verdict is a chain of CASE branches in that order, so a
 document meets the dear rules only if the cheap and selective ones let it
-pass. The order changes cost only; a document is kept if and only if no rule
+pass. The words, which most rules need, are split once for all of a document's
+rules. The order changes cost only; a document is kept if and only if no rule
 rejects it, so the verdicts do not depend on the sample.
 
 Edge cases: a null text counts as empty (no words, hence rejected by
@@ -31,14 +32,6 @@ SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
 
 
-def n_words(text: Column) -> Column:
-    return F.size(words(text)).cast("long")
-
-
-def word_chars(text: Column) -> Column:
-    return F.length(F.array_join(words(text), "")).cast("long")
-
-
 def n_symbols(text: Column) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS + "+", ""))).cast("long")
 
@@ -56,7 +49,7 @@ def n_dup_lines(text: Column) -> Column:
     return let(lines(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
-def n_repeat_words(text: Column) -> Column:
+def n_repeat_words(w: Column) -> Column:
     """Words in windows of WINDOW words that occur twice or more in the text.
 
     Hashes of the windows tell the texts without any repeat (equal windows have
@@ -89,20 +82,34 @@ def n_repeat_words(text: Column) -> Column:
     def count(w: Column) -> Column:
         return F.when((F.size(w) > WINDOW) & repeats(w), covered(w)).otherwise(F.lit(0))
 
-    return let(words(text), count).cast("long")
+    return count(w).cast("long")
 
 
-MEASURES = {"n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_lines": n_lines, "n_dup_lines": n_dup_lines, "n_repeat_words": n_repeat_words}
+#: Measures of the text, and of its words.
+OF_TEXT = {"n_symbols": n_symbols, "n_lines": n_lines, "n_dup_lines": n_dup_lines}
+OF_WORDS = {
+    "n_words": lambda w: F.size(w).cast("long"),
+    "word_chars": lambda w: F.length(F.array_join(w, "")).cast("long"),
+    "n_repeat_words": n_repeat_words,
+}
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
 class Measures:
-    """The measures by name: as expressions of a text, or as columns where they have been computed."""
+    """The measures by name: as expressions of a text and its words, or as columns where they have been computed."""
 
-    def __init__(self, text: Column | None = None):
-        self.text = text
+    def __init__(self, text: Column | None = None, split: Column | None = None):
+        self.text, self.split = text, split
 
     def __getattr__(self, name: str) -> Column:
-        return F.col(name) if self.text is None else MEASURES[name](self.text)
+        if self.text is None:
+            return F.col(name)
+        return OF_TEXT[name](self.text) if name in OF_TEXT else OF_WORDS[name](self.split)
+
+
+def measured(text: Column, body: Callable[[Measures], Column]) -> Column:
+    """``body`` of the text's measures, for which its words are split once."""
+    return let(words(text), lambda w: body(Measures(text, w)))
 
 
 @dataclass(frozen=True)
@@ -130,25 +137,28 @@ def method_rules() -> list[Rule]:
 
 
 def estimate(docs: DataFrame, rules: Sequence[Rule], text: str = "text", sample_rows: int = 1000, fraction: float = 0.02,
-             seed: int = 7) -> tuple[dict[str, float], dict[int, int]]:
+             seed: int = 7, runs: int = 3) -> tuple[dict[str, float], dict[int, int]]:
     """Seconds of each rule on the sample, and how many sampled documents each set of rules (a bit mask) rejects.
 
-    The sample has at most ``sample_rows`` rows; the driver gets one row per
-    mask that occurs.
+    The sample has at most ``sample_rows`` rows, drawn from all of the table. A
+    rule's cost is the least of ``runs`` timings, less that of splitting the
+    words, which all rules share; the driver gets one row per mask that occurs.
     """
-    sample = settle(docs.select(whole(text).alias("t")).sample(fraction, seed).limit(sample_rows), "quality-sample")
+    sample = docs.select(whole(text).alias("t")).sample(fraction, seed).orderBy(F.rand(seed)).limit(sample_rows)
+    sample = settle(sample, "quality-sample")
     t = F.col("t")
-    m = Measures(t)
 
-    def seconds(e: Column) -> float:
+    def once(e: Column) -> float:
         began = time.perf_counter()
         sample.agg(F.count_if(e)).collect()
         return time.perf_counter() - began
 
-    seconds(F.length(t) < 0)  # warm: file listing and code generation count for no rule
-    idle = seconds(F.length(t) < 0)
-    cost = {r.name: max(1e-4, seconds(r.rejects(m)) - idle) for r in rules}
-    mask = sum((F.when(r.rejects(m), F.lit(1 << k)).otherwise(F.lit(0)) for k, r in enumerate(rules)), F.lit(0))
+    def seconds(body: Callable[[Measures], Column]) -> float:
+        return min(once(measured(t, body)) for _ in range(runs))
+
+    idle = seconds(lambda m: m.n_words < 0)
+    cost = {r.name: max(1e-4, seconds(r.rejects) - idle) for r in rules}
+    mask = measured(t, lambda m: sum((F.when(r.rejects(m), F.lit(1 << k)).otherwise(F.lit(0)) for k, r in enumerate(rules)), F.lit(0)))
     return cost, {x["m"]: x["n"] for x in sample.groupBy(mask.alias("m")).agg(F.count("*").alias("n")).collect()}
 
 
@@ -179,4 +189,5 @@ def planned(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "t
 
 def keep(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "text") -> DataFrame:
     """The documents that no rule rejects, with all their columns."""
-    return docs.filter(cascade(planned(docs, rules, text), Measures(whole(text))).isNull())
+    rules = planned(docs, rules, text)
+    return docs.filter(measured(whole(text), lambda m: cascade(rules, m)).isNull())
