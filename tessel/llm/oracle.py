@@ -98,13 +98,17 @@ FROM o LEFT JOIN h5 ON o.src IS NOT DISTINCT FROM h5.s_ AND o.shard = h5.k_
 """
 
 
+#: Levels that the SQL of op5 spells out: more than any path of the given pages has.
+LEVELS = 12
+
+
 def _op5(t: Tree = Tree()) -> str:
 
     rules = sorted(policies(POLICY), key=lambda r: (len(r.name), r.verdict == "block", r.name), reverse=True)
     fits = [f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in rules]
     case = lambda f: "CASE " + " ".join(f"WHEN {x} THEN '{f(r)}'" for x, r in zip(fits, rules, strict=True)) + " END"
     levels = []
-    for k in range(1, t.depth + 1):
+    for k in range(1, LEVELS + 1):
         src = f"t{k - 1}"
         levels.append(f"""
 l{k} AS (SELECT *, CASE WHEN len(segs) >= {k} THEN segs[{k}] END AS seg,
@@ -128,7 +132,7 @@ v AS (SELECT *, {case(lambda r: r.name)} AS rule, {case(lambda r: r.verdict)} AS
 c AS (SELECT host, path, count(*) AS n, count(ruled) AS labelled, count(*) FILTER (ruled = 'block') AS bad FROM v GROUP BY host, path),
 t0 AS (SELECT *, string_split(path, '/')[2:] AS segs, '' AS tpl FROM c),
 {",".join(levels)},
-f AS (SELECT host, path, labelled, bad, CASE WHEN len(segs) > {t.depth} THEN tpl || '/**' ELSE tpl END AS tpl FROM t{t.depth}),
+f AS (SELECT host, path, labelled, bad, tpl FROM t{LEVELS}),
 q AS (SELECT host, tpl, sum(labelled) AS lab, sum(bad) AS bad FROM f GROUP BY host, tpl),
 g AS (SELECT CASE WHEN sum(lab) > 0 THEN sum(bad) / sum(lab)::DOUBLE ELSE 0 END AS prior FROM q),
 hh AS (SELECT host, (sum(bad) + {t.smooth} * any_value(prior)) / (sum(lab) + {t.smooth}) AS share FROM q, g GROUP BY host),

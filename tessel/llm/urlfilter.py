@@ -16,7 +16,10 @@ every level, below every template so far:
   siblings, never with each sibling, so the work is linear in the branches;
 * any other segment keeps its name.
 
-Segments beyond ``depth`` stay in one tail wildcard ``**``. A template's
+The tree grows to the last segment of every path. Where one distinct path is
+left below a template, each further segment would keep its name; from level
+``alone`` on such paths take all of theirs at once, so that a path of
+thousands of segments costs no level of its own. A template's
 bad share is smoothed towards its host's, the host's towards that of all
 labelled pages: ``(bad + a * prior) / (labelled + a)``. A template is rejected
 if its smoothed share is at least ``cut``.
@@ -91,7 +94,7 @@ def longest(rules: Sequence[Policy], host: Column, path: Column) -> tuple[Column
 
 @dataclass(frozen=True)
 class Tree:
-    depth: int = 6
+    alone: int = 4
     min_children: int = 12
     max_share: float = 0.05
     distance: float = 0.2
@@ -108,10 +111,16 @@ def shape(segs: Column, level: int) -> Column:
 
 def templates(pages: DataFrame, t: Tree = Tree()) -> DataFrame:
     """(host, path, tpl) for every distinct host and path of ``pages`` (host, path, n, labelled, bad)."""
-    rows = pages.withColumn("segs", F.slice(F.split("path", "/"), 2, 1 << 20)).withColumn("tpl", F.lit(""))
+    rows = pages.withColumn("segs", F.slice(F.split("path", "/"), 2, F.greatest(F.lit(1), F.length("path")))).withColumn("tpl", F.lit(""))
     rows = settle(rows, "url-paths")
     deepest = rows.agg(F.max(F.size("segs"))).first()[0] or 0
-    for k in range(min(t.depth, deepest)):
+    done = None
+    for k in range(deepest):
+        if k >= t.alone:
+            rows, ended = parted(rows, k)
+            done = ended if done is None else done.unionByName(ended)
+            if rows.isEmpty():
+                break
         seg = F.get("segs", F.lit(k))
         s = shape(F.col("segs"), k)
         here = rows.withColumn("seg", seg).withColumn("shape", s)
@@ -134,8 +143,18 @@ def templates(pages: DataFrame, t: Tree = Tree()) -> DataFrame:
         named = both.select("host", "tpl", "seg", F.when(variable, "*").when(similar, "~").otherwise(F.col("seg")).alias("as"))
         rows = here.join(named, ["host", "tpl", "seg"], "left").withColumn("tpl", F.when(F.col("seg").isNull(), F.col("tpl")).otherwise(F.concat("tpl", F.lit("/"), "as"))).drop("seg", "shape", "as")
         rows = settle(rows, "url-level")
-    deep = F.size("segs") > t.depth
-    return rows.select("host", "path", "n", "labelled", "bad", F.when(deep, F.concat("tpl", F.lit("/**"))).otherwise(F.col("tpl")).alias("tpl"))
+    rows = rows if done is None else rows.unionByName(done)
+    return rows.select("host", "path", "n", "labelled", "bad", "tpl")
+
+
+def parted(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """The rows whose template several paths share that go on beyond ``k`` segments, and the others, with their whole template."""
+    goes_on = F.size("segs") > k
+    shared = rows.filter(goes_on).groupBy("host", "tpl").agg(F.count("*").alias("paths")).filter("paths > 1")
+    both = settle(rows.join(shared, ["host", "tpl"], "left").withColumn("shared", goes_on & F.col("paths").isNotNull()).drop("paths"), "url-shared")
+    rest = F.concat("tpl", F.lit("/"), F.array_join(F.slice("segs", k + 1, F.greatest(F.lit(1), F.size("segs"))), "/"))
+    ended = both.filter(~F.col("shared")).withColumn("tpl", F.when(goes_on, rest).otherwise(F.col("tpl")))
+    return both.filter("shared").drop("shared"), ended.drop("shared")
 
 
 def judged(pages: DataFrame, t: Tree = Tree()) -> DataFrame:
