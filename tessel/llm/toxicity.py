@@ -47,6 +47,8 @@ from .common import settle, whole, words
 MARKS = "\"'`“”„‘’«»‹›"
 REPORT = frozenset("said says say called quoted quote wrote writes reported dit disait écrit cité appelé sagte sagt schrieb zitierte nannte dijo dice escribió citó llamó".split())
 ADDRESS = frozenset("you your you're youre u tu vous toi votre du ihr dich dein sie usted ustedes eres te".split())
+#: Texts scored at once.
+ROWS = 500
 EDGE = re.compile(r"^\W+|\W+$")
 STATES, KEEP = 1 << 16, 1 << 19
 
@@ -240,7 +242,7 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Learn) -> DataFrame:
     """(y, text) of at most ``learn.sample`` labelled documents. docs: doc_id, text; labels: doc_id, y."""
     ids = labels.filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(learn.sample)  # the bound of what is broadcast
-    return settle(docs.join(F.broadcast(settle(ids, "toxic-ids")), "doc_id").select("y", whole("text").alias("text")).dropDuplicates(["text"]), "toxic-sample")
+    return settle(docs.join(F.broadcast(settle(ids, "toxic-ids")), "doc_id").groupBy(whole("text").alias("text")).agg(F.max("y").alias("y")).select("y", "text"), "toxic-sample")
 
 
 def lexicon(rows: DataFrame, learn: Learn) -> list[tuple[str, bool]]:
@@ -301,7 +303,9 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            yield pd.DataFrame({"doc_id": p["doc_id"].astype("Int64"), "score": model.scores(p["text"].tolist())})
+        for big in parts:
+            for at in range(0, len(big), ROWS):
+                p = big.iloc[at : at + ROWS]
+                yield pd.DataFrame({"doc_id": p["doc_id"].astype("Int64"), "score": model.scores(p["text"].tolist())})
 
     return rows.mapInPandas(run, "doc_id long, score double")

