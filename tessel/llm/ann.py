@@ -24,7 +24,8 @@ entry; its ids are cut to the least ``top + 1`` by a limit that works before
 the shuffle (no answer needs more of them), and its queries are one query.
 
 Edge cases: rows whose id is null, or whose vector is null, empty, zero, or
-holds null or non-finite components take no part; repeated rows count once;
+holds null or non-finite components take no part; repeated rows count once; an
+id with several vectors is a candidate by each, and a query by each, under one id;
 vectors of other dimensions are no candidates; ties go to the smaller id;
 fewer than ``top`` candidates give all of them; an empty table gives an empty
 result; other columns are not read.

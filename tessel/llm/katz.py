@@ -36,6 +36,8 @@ most) are split by their history, and pairs that do by block; their totals come
 counts of counts. The sample is drawn from all of the table and grows with the partitions;
 it decides the layout only.
 
+Words and pairs are told apart by 64-bit hashes.
+
 Edge cases: null and empty texts have the end alone; rows without an id count as
 training rows and are scored; repeated rows count each; without training rows
 every token is unknown (probability 1, score 0); an empty table gives an empty

@@ -7,7 +7,9 @@ Learning (labelled rows outside the held-out fold; a bounded sample of at most
    prefixes; the terms of the lexicon are the prefixes that are far more frequent in toxic
    documents, each in its longest form that keeps nearly all of its count. A
    term is closed (a whole word) or open (any ending follows, as in inflected
-   languages). At most ``terms`` terms.
+   languages). A term has any length: prefixes are counted up to ``most``
+   letters, longer words whole. As each term is in ``share`` of the sampled
+   toxic documents, the sample bounds their number.
 2. Hits on the same documents give the features below; a logistic
    regression on them gives the score.
 
@@ -56,9 +58,7 @@ STATES, KEEP = 1 << 16, 1 << 19
 @dataclass(frozen=True)
 class Learn:
     sample: int = 8_000
-    terms: int = 512
-    least: int = 4  # letters of a term
-    most: int = 12
+    most: int = 64  # letters of a prefix
     support: int = 5  # toxic documents at least, and
     share: float = 0.01  # of all toxic documents
     odds: float = 3.0
@@ -252,28 +252,30 @@ def lexicon(rows: DataFrame, learn: Learn) -> list[tuple[str, bool]]:
         return []
     bare = F.transform(words(F.col("text")), lambda w: F.regexp_replace(F.lower(w), "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", ""))
     by_word = rows.select("y", F.explode(F.array_distinct(bare)).alias("w")).groupBy("w").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c"))
-    cut = F.explode(F.sequence(F.lit(learn.least), F.least(F.length("w"), F.lit(learn.most)))).alias("k")
-    prefixes = by_word.filter(F.length("w") >= learn.least).select("w", "t", "c", cut).select(F.substring("w", F.lit(1), F.col("k")).alias("p"), "t", "c", (F.length("w") == F.col("k")).alias("end"))
+    size = F.length("w")
+    cut = F.explode(F.array_union(F.sequence(F.lit(1), F.least(size, F.lit(learn.most))), F.array(size))).alias("k")
+    prefixes = by_word.filter(size > 0).select("w", "t", "c", cut).select(F.substring("w", F.lit(1), F.col("k")).alias("p"), "t", "c", (size == F.col("k")).alias("end"))
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
     found = prefixes.groupBy("p").agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.sum(F.when(F.col("end"), F.col("t")).otherwise(0)).alias("whole")).filter(F.col("t") >= max(learn.support, learn.share * toxic)).withColumn("odds", odds).filter(F.col("odds") >= learn.odds)
-    top = found.orderBy(F.desc("t"), "p").limit(16 * learn.terms).collect()
-    return chosen({r["p"]: (r["t"], r["whole"]) for r in top}, learn)
+    return chosen({r["p"]: (r["t"], r["whole"]) for r in found.collect()})  # prefixes in a share of the sample's toxic documents each
 
 
-def chosen(found: dict[str, tuple[int, int]], learn: Learn) -> list[tuple[str, bool]]:
-    """Of each shortest prefix, its longest form with nearly all of its count; the most frequent terms."""
+def chosen(found: dict[str, tuple[int, int]]) -> list[tuple[str, bool]]:
+    """Of each shortest prefix, its longest form with nearly all of its count; the most frequent terms first."""
     out: dict[str, tuple[int, bool]] = {}
+    grown: dict[str, list[str]] = {}
+    for p in sorted(found):
+        grown.setdefault(p[:-1], []).append(p)
     roots = [p for p in sorted(found) if p[:-1] not in found]
     for root in roots:
         term = root
         while True:
-            longer = [p for p in found if len(p) == len(term) + 1 and p.startswith(term) and found[p][0] >= 0.9 * found[term][0]]
+            longer = [p for p in grown.get(term, ()) if found[p][0] >= 0.9 * found[term][0]]
             if not longer or found[term][1] >= 0.9 * found[term][0]:
                 break
             term = longer[0]
         out[term] = (found[term][0], found[term][1] < 0.9 * found[term][0])
-    best = sorted(out, key=lambda p: (-out[p][0], p))[: learn.terms]
-    return [(p, out[p][1]) for p in best]
+    return [(p, out[p][1]) for p in sorted(out, key=lambda p: (-out[p][0], p))]
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Learn = Learn()) -> Model:

@@ -14,11 +14,13 @@ from scripts.oracle_check import compare
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tessel.llm import arrowtokens, katz, mixing, ssjoin, toxicity, urlfilter
+from tessel.llm import ann, arrowtokens, mixing, secrets, ssjoin, toxicity, urlfilter
 from tessel.llm.oracle import ORACLE
 from tessel.llm.queries import QUERIES, VOCABULARY
 
+from . import test_katz as test_katz_layout
 from .conftest import corpus
+from .test_secrets_ledger import brute as marked
 
 LIBRARY = Tokenizer.from_file(VOCABULARY)
 
@@ -52,33 +54,12 @@ def test_toxicity(spark, small):
 
 
 def test_katz(spark, small, docs):
-    texts = [(i, [*(t or "").encode().lower().split(), b""]) for i, t in docs]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
-    c1, c2, seen = Counter(), Counter(), defaultdict(list)
-    for i, t in texts:
-        if not held(i):
-            c1.update(t)
-            c2.update(zip([b" ", *t[:-1]], t, strict=True))
-    for (h, w), c in c2.items():
-        seen[h].append((w, c))
-    n, v = sum(c1.values()), len(c1)
-    discounts = [katz.discounts(np.array([sum(x == k for x in c.values()) for k in range(1, 7)])) for c in (c1, c2)]
-    kept = lambda c, d: c - katz.KEEP_BACK if c > katz.K else d[c]
-    p = {w: kept(c, discounts[0]) / n for w, c in c1.items()}
-    unknown = 1 - sum(p.values())
-    total = {h: sum(c for _, c in x) for h, x in seen.items()}
-    back = {h: (1 - sum(kept(c, discounts[1]) for _, c in x) / total[h]) / (1 - sum(p[w] for w, _ in x)) for h, x in seen.items()}
-    prob = lambda h, w: kept(c2[h, w], discounts[1]) / total[h] if c2[h, w] else back.get(h, 1) * p.get(w, unknown)
-    for h in [b" ", *list(seen)[:20], b"never"]:
-        assert abs(sum(prob(h, w) for w in c1) + prob(h, b"unknown word") - 1) < 1e-9
-    want = Counter()
-    for i, t in texts:
-        base = sum(math.log10((c1[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t)
-        score = sum(math.log10(prob(h, w)) for h, w in zip([b" ", *t[:-1]], t, strict=True))
-        want[i, held(i), len(t), sum(c1[w] > 0 for w in t), n, round(base, 4), round(score, 4)] += 1
-    got = Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), round(r.score, 4)) for r in rows(spark, "op3_katz", small))
-    assert sum((got - want).values()) <= 2  # a fourth decimal may round the other way
-    assert sorted(got.elements(), key=str)[0][:5] == sorted(want.elements(), key=str)[0][:5]
+    order = lambda r: (str(r[:5]), round(r[5], 2), round(r[6], 2))
+    want = sorted(test_katz_layout.brute([(i, held(i), t or "") for i, t in docs]), key=order)
+    got = sorted(map(tuple, rows(spark, "op3_katz", small)), key=order)
+    assert [r[:5] for r in got] == [w[:5] for w in want]
+    assert np.allclose([r[5:] for r in got], [w[5:] for w in want], atol=1e-4)
 
 
 def test_ann(spark, small):
@@ -95,6 +76,25 @@ def test_ann(spark, small):
         assert np.allclose([s for _, s, _ in sorted(got[i])], [d for d, _ in near])
 
 
+def test_ann_beyond_the_scan(spark):
+    """Clusters of over ``scan`` rows in all, so that most cells are never read."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16)) * 4
+    x = (centres[rng.integers(0, 40, 5000)] + rng.normal(size=(5000, 16))).astype(float)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(dict)
+    for r in ann.search(df, ann.F.col("id") % 50 == 0, s=ann.Search(scan=400, cell=64)).collect():
+        got[r.query_id][r.id] = r.score
+    hits = 0
+    for q in range(0, 5000, 50):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        near = np.argsort(d)[:10]
+        assert len(got[q]) == 10 and all(abs(s - d[k]) < 1e-9 for k, s in got[q].items())
+        hits += len(set(near.tolist()) & set(got[q]))
+    assert len(got) == 100 and hits >= 0.9 * 1000
+
+
 def test_bpe_as_the_library(spark, small, docs):
     want = Counter()
     for i, t in docs:
@@ -231,7 +231,7 @@ def test_pipeline(spark, small, duck):
     for (i, t), _ in (before - after).items():
         new = next(x for (k, x) in after if k == i)
         assert "[SECRET]" in new and "[SECRET]" not in t
-    assert all("AKIA" not in (t or "") and "password=abcdef12" not in (t or "") for _, t in after)
+    assert after == Counter((i, t and marked(t, secrets.RULES)[1]) for i, t in before.elements())
 
     mixed = corpus_pipeline.settle(corpus_pipeline.mixed(spark, clean, small), "test")
     assert mixed.columns == columns
@@ -303,7 +303,7 @@ def test_urls_of_any_depth(spark):
     """Branches that part only at the eighth segment, and a path of thousands of segments."""
     deep = "/a/b/c/d/e/f/g"
     rows = [("h.org", f"{deep}/{side}/{k % 3}", side == "bad") for side in ("bad", "good") for k in range(9)]
-    rows += [("h.org", "/" + "/".join(f"s{k}" for k in range(3000)), None), ("h.org", deep, None), ("i.org", "", None)]
+    rows += [("j.org", "/" + "/".join(f"s{k}" for k in range(3000)), None), ("h.org", deep, None), ("i.org", "", None)]
     got = {r.path: r for r in urlfilter.judged(spark.createDataFrame(rows, "host string, path string, bad boolean")).collect()}
     assert len(got) == 9
     assert {r.verdict for p, r in got.items() if "/bad/" in p} == {"block"} and {r.verdict for p, r in got.items() if "/good/" in p} == {"allow"}
@@ -325,3 +325,49 @@ def test_toxic_label_of_equal_texts(spark):
         labels = spark.createDataFrame([(k, int(k == 3)) for k in range(12)], "doc_id long, y int").repartition(parts)
         got = {r.text: r.y for r in toxicity.sample(docs.repartition(parts), labels, toxicity.Learn()).collect()}
         assert got["same text"] == 1 and len(got) == 7
+
+
+def test_toxic_terms_of_any_length(spark):
+    """A term of two letters and one of 70 are learned, and the 70 letters count as they are, not as their beginning."""
+    draw = random.Random(4)
+    plain = ["".join(draw.choice("aeioustn") for _ in range(6)) for _ in range(200)]
+    long = "".join(draw.choice("bcdfg") for _ in range(70))
+    rows = [(k, " ".join([*draw.sample(plain, 12), *([] if k % 3 else ["zq" if k % 2 else long])]), int(k % 3 == 0)) for k in range(240)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, y int"))
+    terms = [t for t, _ in model.terms]
+    assert "zq" in terms and any(len(t) >= 64 for t in terms)
+    scores = model.scores([f"{plain[0]} zq {plain[1]}", f"{plain[0]} {long}", " ".join(plain[:9])])
+    assert scores[0] > 0.8 and scores[1] > 0.8 and scores[2] < 0.2
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_matcher_by_brute_force():
+    draw = random.Random(5)
+    say = lambda n: "".join(draw.choice("abc") for _ in range(n))
+    terms = list({say(draw.randrange(2, 11)): draw.choice([True, False]) for _ in range(25)}.items())
+    m = toxicity.Matcher(terms)
+    for _ in range(3000):
+        word = say(draw.randrange(13))
+        hits = []
+        for k, (term, open_) in enumerate(terms):
+            ends = [word[:n] for n in range(1, len(word) + 1)] if open_ else [word]
+            best = min((edits(term, e) for e in ends), default=99)
+            if word and best <= toxicity.allowed(term):
+                hits.append((best, k))
+        assert m.match(word) == min(hits, default=None), (word, terms)
+
+
+def test_quotation_lowers_the_score():
+    m = toxicity.Matcher([("moron", False)])
+    x = lambda t: toxicity.features(t, m, 8)
+    abuse, quoted = x("you are a moron and you know it"), x('he said that the report called him a "moron" as they quoted it')
+    assert abuse[0] > quoted[0] and abuse[1] < quoted[1]
