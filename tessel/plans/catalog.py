@@ -760,3 +760,40 @@ def quality_drift(spark, sf_dir):
     sketches = spark.read.parquet(kept)
     early = F.col("year") < 1996
     return quality.drift(quality.merged(sketches.filter(early)), quality.merged(sketches.filter(~early)))
+
+
+def _landed_facts(spark, sf_dir) -> tuple[str, str]:
+    """Documents landed and staged for a date: place of the staging, and a place for what is made of it."""
+    from . import jobs
+    landed = writers.land_json(documents(spark, sf_dir).drop("suppkey"), scratch_path(spark, "doc-landing"), SNAPSHOTS[0])
+    staged = scratch_path(spark, "staging")
+    jobs.transform_landing(spark, landed, staged, SNAPSHOTS[0], METRIC_KEYS, SERIES_METRICS)
+    return staged, scratch_path(spark, "facts")
+
+
+@query("lake_metric_fact")
+def lake_metric_fact(spark, sf_dir):
+    """The metric fact through the jobs into the lake."""
+    from . import jobs
+    staged, place = _landed_facts(spark, sf_dir)
+    jobs.update_lake(spark, staged, place, SNAPSHOTS[0], ["metric"])
+    return writers.lake_read(spark, f"{place}/metric_fact")
+
+
+@query("warehouse_metric_fact")
+def warehouse_metric_fact(spark, sf_dir):
+    """The metric fact through the jobs into a catalog table."""
+    from . import jobs
+    staged, place = _landed_facts(spark, sf_dir)
+    return spark.table(jobs.update_warehouse(spark, staged, f"{WAREHOUSE_DB}_{place[-12:]}", SNAPSHOTS[0], ["metric"], place)[0])
+
+
+@query("manifest_per_symbol")
+def manifest_per_symbol(spark, sf_dir):
+    """A folder for each symbol; the file at each path of the manifest holds the document of its symbol."""
+    root = writers.land_json(documents(spark, sf_dir).drop("suppkey"), scratch_path(spark, "doc-landing"), SNAPSHOTS[0], per_symbol=True)
+    landed = landing.scan_date(spark, root, DOC_SCHEMA, SNAPSHOTS[0])
+    listed = writers.manifest(landed)
+    read = landing.whole_files(spark, f"{root}/{writers.DATE_COL}={SNAPSHOTS[0]}")
+    n = F.size(F.flatten(F.map_values(parse_json(F.col("doc"), DOC_SCHEMA)["series"]["annual"]))).cast("long")
+    return listed.join(read.select("path_symbol", "file_path", n.alias("n_annual")), "file_path").select("symbol", writers.DATE_COL, "path_symbol", "n_annual")

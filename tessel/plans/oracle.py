@@ -367,3 +367,13 @@ ORACLE.update({
         "count(*) FILTER (p.freq = 'quarterly') AS n_quarterly FROM met m JOIN pts p USING (symbol) GROUP BY m.symbol"),
     "bucketed_freq_full_outer": ORACLE["staged_freq_full_outer"],
 })
+
+ORACLE.update({
+    "lake_metric_fact": BASE + (
+        "SELECT symbol, TRY_CAST(firstShip AS FLOAT) AS firstShip, TRY_CAST(s_acctbal AS FLOAT) AS s_acctbal, "
+        "TRY_CAST(s_nationkey AS FLOAT) AS s_nationkey, DATE '2024-01-07' AS snapshot_date FROM met"),
+    "warehouse_metric_fact": ORACLE["fact_metric"],
+    "manifest_per_symbol": BASE + (
+        "SELECT m.symbol, DATE '2024-01-07' AS snapshot_date, m.symbol AS path_symbol, count(*) AS n_annual "
+        "FROM met m JOIN pts p ON p.symbol = m.symbol AND p.freq = 'annual' GROUP BY m.symbol"),
+})

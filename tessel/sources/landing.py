@@ -72,7 +72,8 @@ def scan_date_variant(spark: SparkSession, root: str, snapshot_date: str) -> Dat
 
 
 def whole_files(spark: SparkSession, paths: str | Sequence[str], key: str = "path_symbol") -> DataFrame:
-    """One document per file, over as many lines as it has (S5, S11): ``key`` from the file's place, and its text ``doc``.
+    """One document per file, over as many lines as it has (S5, S11): ``key`` from the file's place, its ``file_path`` as
+    in a manifest, and its text ``doc``.
 
     The key is the value of the folder ``symbol=<value>`` that holds the file,
     else the file's name before its first dot. A file is one row, so it should
@@ -82,7 +83,7 @@ def whole_files(spark: SparkSession, paths: str | Sequence[str], key: str = "pat
     plain = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
     path = plain(F.col("_metadata.file_path"))
     folder = F.regexp_extract(path, "/symbol=([^/]+)/[^/]*$", 1)  # whose value is escaped in turn
-    return rows.select(F.when(folder != "", plain(folder)).otherwise(path_key(path)).alias(key), F.col("value").alias("doc"))
+    return rows.select(F.when(folder != "", plain(folder)).otherwise(path_key(path)).alias(key), F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("doc"))
 
 
 def read_with_fallback(spark: SparkSession, path: str, backcompat: str | None,

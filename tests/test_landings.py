@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessel.functions.json import parse_documents
 from tessel.operators import joins, quality, reshape, series
 from tessel.session import scratch_path
 from tessel.sinks import writers
@@ -74,6 +75,14 @@ def test_whole_files_and_their_keys(spark):  # S5, S11
     assert [r.path_symbol.startswith("part-") for r in landing.whole_files(spark, flat).collect()] == [True]
 
 
+def test_full_outer_series_comes_in_order_of_periods(spark):  # L3
+    points = lambda *days: [{"period": f"2023-{m:02d}-01", "v": float(m)} for m in days]
+    docs = [{"symbol": s, "series": {"annual": {"a": points(*draw), "b": points(*draw[::-1])}}} for s, draw in (("A", [3, 1, 2]), ("B", [9, 12, 4, 1]))]
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "doc string").coalesce(1)
+    got = series.full_outer_series(parse_documents(df), ["annual"], ["a", "b"]).collect()
+    assert [(r.symbol, r.date.month) for r in got] == [("A", 1), ("A", 2), ("A", 3), ("B", 1), ("B", 4), ("B", 9), ("B", 12)]
+
+
 def test_bucketed_join_has_no_exchange(spark):  # J3, S7
     place = scratch_path(spark, "buckets")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS b_{place[-8:]}")
