@@ -42,9 +42,9 @@ from .bpe import BLANK, PATTERN, Store, alphabet
 from .common import slices, whole
 
 #: Chunks that a worker keeps, and the longest that it keeps (characters).
-KEEP, KEPT_LENGTH = 1 << 18, 48
+KEEP, KEPT_LENGTH = 1 << 20, 48
 #: Rows and bytes that are counted at once.
-ROWS, BYTES = 4000, 4 << 20
+ROWS, BYTES = 10_000, 8 << 20
 #: A place that a text can be cut before its second character.
 EDGE = re.compile(f"[^{BLANK}][{BLANK}]")
 PLACE = 40
