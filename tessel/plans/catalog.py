@@ -655,16 +655,16 @@ N_RAGGED = 200  # snapshots of as many different column sets
 def ragged_union_many(spark, sf_dir):
     """200 snapshots of as many schemas, landed as they are and read as one frame in one pass over them.
 
-    Each customer's record is in the snapshot of its key's remainder, beside a
+    Each part's record is in the snapshot of its key's remainder, beside a
     column of that snapshot alone; ``amount`` is a whole number, a fraction or
     text, and ``level`` a whole number or a fraction, by snapshot.
     """
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
-    shot = F.pmod("c_custkey", F.lit(N_RAGGED)).cast("int")
-    nation, half = F.col("c_nationkey").cast("string"), (F.col("c_nationkey") + F.lit(0.5)).cast("string")
-    amount = F.when(shot % 3 == 0, nation).when(shot % 3 == 1, half).otherwise(F.concat(F.lit('"'), F.col("c_name"), F.lit('"')))
-    level = F.when(shot % 2 == 0, nation).otherwise(half)
-    line = F.format_string('{"symbol":"%s","amount":%s,"level":%s,"only_%s":%s}', "c_name", amount, level, shot.cast("string"), nation)
+    c = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    shot = F.pmod("p_partkey", F.lit(N_RAGGED)).cast("int")
+    whole, half = F.col("p_size").cast("string"), (F.col("p_size") + F.lit(0.5)).cast("string")
+    amount = F.when(shot % 3 == 0, whole).when(shot % 3 == 1, half).otherwise(F.concat(F.lit('"'), F.col("p_brand"), F.lit('"')))
+    level = F.when(shot % 2 == 0, whole).otherwise(half)
+    line = F.format_string('{"part":%s,"amount":%s,"level":%s,"only_%s":%s}', F.col("p_partkey").cast("string"), amount, level, shot.cast("string"), whole)
     root = scratch_path(spark, "ragged-landing")
     c.select(line.alias("value"), shot.alias("snapshot")).repartition("snapshot").write.partitionBy("snapshot").text(root)
     return landing.read_ragged(spark, root, [T.StructField("snapshot", T.IntegerType())])

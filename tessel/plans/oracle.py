@@ -347,11 +347,11 @@ ORACLE.update({
         "max(docs) AS docs FROM found WHERE contains(path, '[].') GROUP BY path"),
 })
 
-_ONLY = ", ".join(f"CASE WHEN c_custkey % 200 = {k} THEN c_nationkey END AS only_{k}" for k in range(200))
+_ONLY = ", ".join(f"CASE WHEN p_partkey % 200 = {k} THEN p_size END AS only_{k}" for k in range(200))
 ORACLE.update({
     "ragged_union_many": (
-        "SELECT c_name AS symbol, CASE c_custkey % 200 % 3 WHEN 0 THEN CAST(c_nationkey AS VARCHAR) WHEN 1 THEN CAST(c_nationkey AS VARCHAR) || '.5' ELSE c_name END AS amount, "
-        f"CAST(CASE WHEN c_custkey % 200 % 2 = 0 THEN c_nationkey ELSE c_nationkey + 0.5 END AS DOUBLE) AS level, CAST(c_custkey % 200 AS INTEGER) AS snapshot, {_ONLY} FROM customer"),
+        "SELECT p_partkey AS part, CASE p_partkey % 200 % 3 WHEN 0 THEN CAST(p_size AS VARCHAR) WHEN 1 THEN CAST(p_size AS VARCHAR) || '.5' ELSE p_brand END AS amount, "
+        f"CAST(CASE WHEN p_partkey % 200 % 2 = 0 THEN p_size ELSE p_size + 0.5 END AS DOUBLE) AS level, CAST(p_partkey % 200 AS INTEGER) AS snapshot, {_ONLY} FROM part"),
     "lake_type_drift": (
         "SELECT s_name AS symbol, CAST(s_nationkey AS DOUBLE) AS level, CAST(CAST(floor(s_acctbal) AS INTEGER) AS VARCHAR) AS amount, DATE '2024-01-07' AS snapshot_date FROM supplier "
         "UNION ALL SELECT s_name, CAST(s_nationkey AS DOUBLE), CAST(floor(s_acctbal) + 0.5 AS VARCHAR), DATE '2024-01-14' FROM supplier "
