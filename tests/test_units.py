@@ -274,12 +274,12 @@ def test_doc_freq_full_outer_equals_join(spark):  # J3
     assert "Exchange" not in local._jdf.queryExecution().executedPlan().toString().split("Generate")[0]
 
 
-def test_entity_width_grows_with_input(spark, monkeypatch):
+def test_entity_width_follows_the_shuffle_width(spark):
     from tessel.sources import fixtures
-    from tessel.sources.tables import table
-    li = table(spark, "/root/testdata/sf0.01", "lineitem").select("l_suppkey", "l_quantity")
-    base = fixtures._per_entity_partitions(spark, li)
-    assert base >= spark.sparkContext.defaultParallelism
-    est = int(li._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    monkeypatch.setattr(fixtures, "INPUT_BYTES_PER_ENTITY_PARTITION", max(est // (base * 4), 1))
-    assert fixtures._per_entity_partitions(spark, li) >= base * 4
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for width in (1, 4 * cores):
+            spark.conf.set("spark.sql.shuffle.partitions", width)
+            assert fixtures._per_entity_partitions(spark) == max(cores, width)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
