@@ -40,3 +40,7 @@ def rows(spark, made, name):
 
 def test_metric_width_counts_all_series(spark, made):
     assert rows(spark, made, "metric_width") == [("S1", 3, 4), ("S2", 3, 6), ("S3", 3, 0)]
+
+
+def test_series_bearing_counts_all_periods(spark, made):
+    assert rows(spark, made, "series_bearing") == [("S1", 2, 2), ("S2", 1, 2)]
