@@ -44,3 +44,9 @@ def test_metric_width_counts_all_series(spark, made):
 
 def test_series_bearing_counts_all_periods(spark, made):
     assert rows(spark, made, "series_bearing") == [("S1", 2, 2), ("S2", 1, 2)]
+
+
+def test_split_keeps_all_annual_rows(spark, made):
+    day = dt.date
+    assert rows(spark, made, "split_typed_gappy_annual") == [
+        (day(2023, 1, 1), "S1", 4.0, None, 40.0), (day(2024, 1, 1), "S1", 3.0, None, 30.0), (day(2024, 1, 1), "S2", 11.0, 11.0, 110.0)]
