@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,11 +10,14 @@ from pyspark.sql import types as T
 
 from tessel.functions.json import parse_documents
 from tessel.operators import joins, quality, reshape, series
+from tessel.plans.catalog import QUERIES
 from tessel.session import scratch_path
 from tessel.sinks import writers
 from tessel.sources import landing
 from tessel.streaming import ingest
 
+from .conftest import SF_SMALL
+
 
 def test_ragged_read_widens_types(spark):  # U2
     root = scratch_path(spark, "ragged")
@@ -163,3 +167,28 @@ def test_sketches_of_empty_and_missing_columns(spark):
     got = {r.column_name: r for r in quality.drift(none, some).collect()}
     assert got["x"].old_n == 0 and got["x"].rank_shift is None and got["z"].new_n == 2 and got["z"].old_n is None
     assert quality.summary(none).first().q50 is None
+
+
+def symbol_files(spark, root):
+    """Of the files in symbol folders: the numbers of the tasks that wrote them, and the most files of a folder."""
+    files = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path").collect()]
+    per_symbol = {}
+    for f in files:
+        per_symbol.setdefault(re.search("symbol=([^/]+)", f)[1], []).append(f)
+    return {re.search(r"/part-(\d+)-", f)[1] for f in files}, max(map(len, per_symbol.values()))
+
+
+def test_pair_folders_are_written_by_many_tasks(spark):  # K5
+    root = QUERIES["parquet_pair"](spark, SF_SMALL).inputFiles()[0].split("/series/")[0]
+    for side in ("metrics", "series"):
+        tasks, most = symbol_files(spark, f"{root}/{side}")
+        assert len(tasks) > 1 and most == 1
+
+
+def test_landed_folders_are_written_by_many_tasks(spark):  # S10
+    root = scratch_path(spark, "landing-per-symbol")
+    many = spark.range(0, 200, 1, 4).selectExpr("concat('S', id % 100) AS symbol", "id AS v")
+    writers.land_json(many, root, "2024-01-01", per_symbol=True)
+    tasks, most = symbol_files(spark, root)
+    assert len(tasks) > 1 and most == 1  # and one file for all documents of a symbol
+    assert spark.read.json(root).count() == 200
