@@ -185,6 +185,12 @@ def test_pair_folders_are_written_by_many_tasks(spark):  # K5
         assert len(tasks) > 1 and most == 1
 
 
+def test_metric_folders_are_written_by_many_tasks(spark):  # K5
+    root = QUERIES["parquet_pair_metrics"](spark, SF_SMALL).inputFiles()[0].split("/metrics/")[0]
+    tasks, most = symbol_files(spark, f"{root}/metrics")
+    assert len(tasks) > 1 and most == 1
+
+
 def test_landed_folders_are_written_by_many_tasks(spark):  # S10
     root = scratch_path(spark, "landing-per-symbol")
     many = spark.range(0, 200, 1, 4).selectExpr("concat('S', id % 100) AS symbol", "id AS v")
