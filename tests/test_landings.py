@@ -1,8 +1,11 @@
 """Landings of many shapes: ragged snapshots, types that drift, whole files, buckets, stateful keys, routes, sketches."""
 
+import datetime
 import json
+import os
 import random
 import re
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +14,8 @@ from pyspark.sql import types as T
 from tessel.functions.json import parse_documents
 from tessel.operators import joins, quality, reshape, series
 from tessel.plans.catalog import QUERIES
-from tessel.session import scratch_path
-from tessel.sinks import writers
+from tessel.session import per_entity_partitions, scratch_path
+from tessel.sinks import folders, writers
 from tessel.sources import landing
 from tessel.streaming import ingest
 
@@ -198,3 +201,70 @@ def test_landed_folders_are_written_by_many_tasks(spark):  # S10
     tasks, most = symbol_files(spark, root)
     assert len(tasks) > 1 and most == 1  # and one file for all documents of a symbol
     assert spark.read.json(root).count() == 200
+
+
+def layout(root):
+    """Folders below a root that hold files, with the number of files and of checksum files of each."""
+    out = {}
+    for at, _, names in os.walk(root):
+        if names := [x for x in names if "_SUCCESS" not in x]:
+            out[os.path.relpath(at, root)] = (len([x for x in names if not x.startswith(".")]), len([x for x in names if x.endswith(".crc")]))
+    return out
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_folders_as_of_sparks_writer(spark, tmp_path, fmt):  # K5, S10
+    odd = [None, "", " a ", "a/b=c%2F", "é+ü", "x{y}[z]^", "\x01\x7f", 'q"\'#:*?\\', "~!@$&(),;|<>`"] + [f"S{i}" for i in range(40)]
+    rows = [(s, i, f"t\n\"{i}\"" if i % 3 else None, datetime.date(1500 + 17 * (i % 40), 1, 1), Decimal(i) / 4, [{"k": float(i)}] if i % 2 else []) for i, s in enumerate(odd * 3)]
+    df = spark.createDataFrame(rows, "symbol string, `a.b` int, t string, d date, x decimal(9,2), m array<map<string,double>>").withColumn(
+        "d0", F.when(F.col("`a.b`") % 2 == 0, F.lit("2024-01-07").cast("date"))).repartition(3, "`a.b`")
+    spark_at, at = str(tmp_path / "spark"), str(tmp_path / "here")
+    df.write.format(fmt).partitionBy("d0", "symbol").save(spark_at)
+    assert folders.write(df, f"file://{at}", fmt, ["d0", "symbol"])
+    assert layout(at) == layout(spark_at)
+    read = lambda p: sorted(map(repr, spark.read.schema(df.schema).format(fmt).load(p).collect()))  # noqa: E731  # verifies the checksums
+    assert len(read(at)) == len(rows) and read(at) == read(spark_at)
+    mode = lambda p: {oct(os.stat(os.path.join(d, x)).st_mode) for d, a, b in os.walk(p) for x in a + b}
+    assert mode(at) == mode(spark_at)
+    if fmt == "parquet":  # names and types of columns without a declared schema, too
+        assert spark.read.parquet(at).schema == spark.read.parquet(spark_at).schema
+
+
+def test_folders_replaced_again_and_failed(spark, tmp_path):
+    at = str(tmp_path / "here")
+    write = lambda df: writers.write_partitioned(df, at, "json", ["symbol"], as_dealt=True)
+    many = spark.range(0, 30000, 1, 2).selectExpr("'hot' AS symbol", "id").union(spark.range(5).selectExpr("concat('S', id) AS symbol", "id"))
+    write(many.repartition(4, "symbol"))
+    assert {k: v[0] for k, v in layout(at).items()} == {"symbol=hot": 1, **{f"symbol=S{i}": 1 for i in range(5)}}  # one file, over batches
+    write(spark.range(7).selectExpr("concat('S', id % 2) AS symbol", "id + 100 AS id"))
+    got = [tuple(r) for r in spark.read.schema("symbol string, id long").json(at).filter("symbol <> 'hot'").select("symbol", "id").collect()]
+    assert sorted(got) == sorted([(f"S{i % 2}", i + 100) for i in range(7)] + [(f"S{i}", i) for i in (2, 3, 4)])
+    before = layout(at)
+    with pytest.raises(Exception, match="broken"):
+        write(spark.range(0, 100, 1, 4).selectExpr("concat('S', id) AS symbol", "if(id = 99, raise_error('broken'), id) AS id"))
+    assert layout(at) == before and not [x for x in os.listdir(at) if x.startswith(".")]
+
+
+def test_folders_left_to_sparks_writer(spark, tmp_path):
+    df = spark.sql("SELECT 'S' AS symbol, TIMESTAMP'2024-01-07 01:02:03' AS t")
+    assert not folders.write(df, str(tmp_path), "parquet", ["symbol"])  # Arrow writes another kind of timestamp
+    writers.write_partitioned(df, str(tmp_path / "t"), partition_cols=["symbol"], as_dealt=True)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+
+
+def test_symbol_folders_are_listed_and_read_in_few_tasks(spark):  # K5, S10
+    root, most, size = scratch_path(spark, "few-tasks"), "spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.maxPartitionBytes"
+    writers.land_json(spark.range(200).selectExpr("concat('S', id) AS symbol", "id AS v"), root, "2024-01-01", per_symbol=True)
+    schema = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("v", T.LongType())])
+    before, kept = spark.conf.get(size), spark.conf.get(most)
+    spark.conf.set(size, "4m")  # so a file a task, as each counts as 4 MB
+    seen = []
+    try:
+        assert landing.scan_date(spark, root, schema, "2024-01-01").rdd.getNumPartitions() == 200
+        got = landing.read_folders(spark, lambda: (seen.append(int(spark.conf.get(most))), landing.scan_date(spark, root, schema, "2024-01-01"))[1])
+        assert got.rdd.getNumPartitions() == seen[0] == per_entity_partitions(spark) and spark.conf.get(most) == kept
+        assert sorted(r.v for r in got.collect()) == [*range(200)]
+        for name in ("parquet_pair", "parquet_pair_metrics"):
+            assert QUERIES[name](spark, SF_SMALL).rdd.getNumPartitions() <= per_entity_partitions(spark)
+    finally:
+        spark.conf.set(size, before)
