@@ -224,6 +224,11 @@ def test_folders_as_of_sparks_writer(spark, tmp_path, fmt):  # K5, S10
     assert layout(at) == layout(spark_at)
     read = lambda p: sorted(map(repr, spark.read.schema(df.schema).format(fmt).load(p).collect()))  # noqa: E731  # verifies the checksums
     assert len(read(at)) == len(rows) and read(at) == read(spark_at)
+    opened = lambda s, o: spark.read.schema(s).options(**o).format(fmt).load(at)
+    found = landing.read_folders(spark, opened, df.schema, ["d0", "symbol"])  # of values, without Spark's search for them
+    leaf = found._jdf.queryExecution().optimizedPlan().collectLeaves().head()
+    assert leaf.relation().partitionSchema().isEmpty() and found.schema.names == spark.read.schema(df.schema).format(fmt).load(at).schema.names
+    assert sorted(map(repr, found.collect())) == read(spark_at)
     mode = lambda p: {oct(os.stat(os.path.join(d, x)).st_mode) for d, a, b in os.walk(p) for x in a + b}
     assert mode(at) == mode(spark_at)
     if fmt == "parquet":  # names and types of columns without a declared schema, too
@@ -261,9 +266,11 @@ def test_symbol_folders_are_listed_and_read_in_few_tasks(spark):  # K5, S10
     seen, few = [], landing.FOLDER_TASKS * per_entity_partitions(spark)
     try:
         assert landing.scan_date(spark, root, schema, "2024-01-01").rdd.getNumPartitions() == 200
-        got = landing.read_folders(spark, lambda: (seen.append(int(spark.conf.get(most))), landing.scan_date(spark, root, schema, "2024-01-01"))[1])
+        read = lambda s, o: (seen.append(int(spark.conf.get(most))), landing.read_json(spark, root, s, o))[1]
+        got = landing.read_folders(spark, read, schema, ["symbol"])
         assert got.rdd.getNumPartitions() == seen[0] == few < 200 and spark.conf.get(most) == kept
         assert sorted(r.v for r in got.collect()) == [*range(200)]
+        assert landing.scan_date(spark, root, schema, "2024-01-01", per_symbol=True).rdd.getNumPartitions() == few
         for name in ("parquet_pair", "parquet_pair_metrics", "manifest_per_symbol"):
             assert QUERIES[name](spark, SF_SMALL).rdd.getNumPartitions() <= few
     finally:
